@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.operators import clean, drift, metrics, sampling, scaling, validation
+from faultline.operators import clean, drift, impute, metrics, resample, sampling, scaling, validation
+from faultline.session import cut_lineage
 from faultline.plans import fixtures as fx
 from faultline.spec import ColumnSpec
 
@@ -124,6 +125,33 @@ def q_robust_scale(spark, sf_dir):
     return _round_doubles(model.transform(df))
 
 
+# -- F1 nearest-neighbour imputation -------------------------------------------
+def q_knn_impute(spark, sf_dir):
+    vm = fx.vec_missing(spark, sf_dir)
+    split = sampling.stratified_split(vm, "class", ["vec_id"], 0.2, SPLIT_SEED)
+    train, _ = sampling.train_test_frames(split)
+    model = impute.KNNImputer(n_neighbors=5).fit(train, "vec_id", fx.VEC_FEATURES)
+    return _round_doubles(model.transform(vm))
+
+
+# -- F4/F5/F6 rebalancing ------------------------------------------------------
+def _vec_rows(spark, sf_dir):
+    return resample.with_row_id(fx.vec_wide(spark, sf_dir), "vec_id").drop("vec_id")
+
+
+def q_smote(spark, sf_dir):
+    return _round_doubles(resample.smote_balance(_vec_rows(spark, sf_dir), "class", fx.VEC_FEATURES, k=5, seed=0))
+
+
+def q_tomek_links(spark, sf_dir):
+    return resample.tomek_links(_vec_rows(spark, sf_dir), "class", fx.VEC_FEATURES)
+
+
+def q_smote_tomek(spark, sf_dir):
+    balanced = cut_lineage(resample.smote_balance(_vec_rows(spark, sf_dir), "class", fx.VEC_FEATURES, k=5, seed=0))
+    return _round_doubles(resample.remove_tomek_links(balanced, "class", fx.VEC_FEATURES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_lineitem": q_drift_lineitem,
     "drift_events": q_drift_events,
@@ -136,4 +164,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classification_metrics": q_classification_metrics,
     "robust_scaler_fit": q_robust_scaler_fit,
     "robust_scale": q_robust_scale,
+    "knn_impute": q_knn_impute,
+    "smote": q_smote,
+    "tomek_links": q_tomek_links,
+    "smote_tomek": q_smote_tomek,
 }

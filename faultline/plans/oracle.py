@@ -53,8 +53,11 @@ FROM ({SENSOR_RAW}) raw
 """
 
 
-def split_sql(source: str, seed: int = 1, test_size: float = 0.2) -> str:
+def split_sql(source: str, seed: int = 1, test_size: float = 0.2, keys: list[str] | None = None) -> str:
     """Rows of ``source`` plus ``split``, mirroring sampling.stratified_split."""
+    keys = keys or list(fx.SENSOR_KEYS)
+    key_list = ", ".join(keys)
+    key_text = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
     return f"""
 WITH src AS ({source}),
 counts AS (SELECT class, count(*) AS n_class FROM src GROUP BY class),
@@ -66,7 +69,7 @@ a4 AS (SELECT *, n_train - sum(fl) OVER () AS need,
               row_number() OVER (ORDER BY cont - fl DESC, class) AS ord FROM a3),
 alloc AS (SELECT class, CAST(fl + CASE WHEN ord <= need THEN 1 ELSE 0 END AS BIGINT) AS train_k FROM a4),
 ranked AS (SELECT src.*, row_number() OVER (
-              PARTITION BY class ORDER BY md5(concat_ws(':', '{seed}', {KEY_TEXT})), {KEYS}) AS rn
+              PARTITION BY class ORDER BY md5(concat_ws(':', '{seed}', {key_text})), {key_list}) AS rn
            FROM src)
 SELECT ranked.* EXCLUDE (rn), CASE WHEN rn <= train_k THEN 'train' ELSE 'test' END AS split
 FROM ranked JOIN alloc USING (class)
@@ -248,6 +251,102 @@ SELECT {KEYS},
 FROM c
 """
 
+VF = list(fx.VEC_FEATURES)
+NF = len(VF)
+UNIT = "CAST(4503599627370496 AS DOUBLE)"
+
+
+def _unit(*parts: str) -> str:
+    return f"CAST(CAST('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 13) AS BIGINT) AS DOUBLE) / {UNIT}"
+
+
+VEC_WIDE = f"""
+SELECT vec_id, CASE WHEN label = 0 THEN 'pos' ELSE 'neg' END AS class,
+       {", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS f{i}" for i in range(1, NF + 1))}
+FROM embeddings
+"""
+
+VEC_MISSING = f"""
+SELECT vec_id, class,
+       {", ".join(f"CASE WHEN substr(md5(concat_ws(':', 'miss', '{c}', CAST(vec_id AS VARCHAR))), 1, 1) = '0' THEN NULL ELSE {c} END AS {c}" for c in VF)}
+FROM ({VEC_WIDE})
+"""
+
+_ss = " + ".join(f"coalesce((r.{c} - d.{c}) * (r.{c} - d.{c}), 0)" for c in VF)
+_nsh = " + ".join(f"CAST((r.{c} - d.{c}) IS NOT NULL AS INTEGER)" for c in VF)
+
+KNN_IMPUTE = f"""
+WITH vm AS ({VEC_MISSING}),
+don AS (SELECT * FROM ({split_sql("SELECT * FROM vm", keys=["vec_id"])}) WHERE split = 'train'),
+recv AS (SELECT * FROM vm WHERE {" OR ".join(f"{c} IS NULL" for c in VF)}),
+pr AS (SELECT r.vec_id AS rid, d.vec_id AS did, {_ss} AS ss, {_nsh} AS nsh,
+              {", ".join(f"d.{c} AS v_{c}, r.{c} IS NULL AS m_{c}" for c in VF)}
+       FROM recv r CROSS JOIN don d),
+dd AS (SELECT *, CASE WHEN nsh > 0 THEN sqrt(CAST({NF} AS DOUBLE) / nsh * ss) END AS dist FROM pr),
+cand AS ({" UNION ALL ".join(f"SELECT rid, '{c}' AS col, did, dist, v_{c} AS val FROM dd WHERE m_{c} AND v_{c} IS NOT NULL AND dist IS NOT NULL" for c in VF)}),
+top AS (SELECT *, row_number() OVER (PARTITION BY rid, col ORDER BY dist, did) AS r FROM cand),
+imp AS (SELECT rid, col, avg(val) AS v FROM top WHERE r <= 5 GROUP BY rid, col),
+means AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in VF)} FROM don)
+SELECT vm.vec_id, vm.class,
+       {", ".join(f"ROUNDX(coalesce(vm.{c}, i_{c}.v, means.{c}), {D}) AS {c}" for c in VF)}
+FROM vm CROSS JOIN means
+{" ".join(f"LEFT JOIN imp i_{c} ON i_{c}.rid = vm.vec_id AND i_{c}.col = '{c}'" for c in VF)}
+"""
+
+VEC_ROWS = f"SELECT CAST(vec_id AS VARCHAR) AS row_id, class, {', '.join(VF)} FROM ({VEC_WIDE})"
+
+
+def smote_sql(rows: str, seed: int = 0, k: int = 5) -> str:
+    """Original rows plus synthetic minority rows (mirrors resample.smote_balance)."""
+    return f"""
+WITH vr AS ({rows}),
+cnt AS (SELECT class, count(*) AS n FROM vr GROUP BY class),
+par AS (SELECT (SELECT class FROM cnt ORDER BY n, class LIMIT 1) AS mclass,
+               (SELECT max(n) FROM cnt) - (SELECT min(n) FROM cnt) AS n_new,
+               (SELECT min(n) FROM cnt) AS n_min),
+par2 AS (SELECT *, n_new // n_min AS base, n_new % n_min AS extra, least({k}, n_min - 1) AS k_eff FROM par),
+mino AS (SELECT vr.* FROM vr, par2 WHERE vr.class = par2.mclass AND par2.n_new > 0 AND par2.n_min >= 2),
+alloc AS (SELECT mino.*, row_number() OVER (ORDER BY md5(concat_ws(':', '{seed}', 'alloc', row_id)), row_id) AS ar FROM mino),
+per_row AS (SELECT alloc.*, base + CASE WHEN ar <= extra THEN 1 ELSE 0 END AS nj, k_eff FROM alloc, par2),
+draws AS (SELECT per_row.*, j FROM per_row, LATERAL (SELECT unnest(range(1, nj + 1)) AS j) WHERE nj > 0),
+draws2 AS (SELECT *, CAST(floor(({_unit(f"'{seed}'", "'nn'", "row_id", "CAST(j AS VARCHAR)")}) * k_eff) + 1 AS INTEGER) AS pick,
+                  {_unit(f"'{seed}'", "'step'", "row_id", "CAST(j AS VARCHAR)")} AS u
+           FROM draws),
+mp AS (SELECT a.row_id AS q, b.row_id AS b, sqrt({" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in VF)}) AS dist
+       FROM mino a JOIN mino b ON a.row_id <> b.row_id),
+nn AS (SELECT q, b, row_number() OVER (PARTITION BY q ORDER BY dist, b) AS rk FROM mp),
+synth AS (SELECT 's' || d.row_id || ':' || CAST(d.j AS VARCHAR) AS row_id, d.class,
+                 {", ".join(f"d.{c} + d.u * (m.{c} - d.{c}) AS {c}" for c in VF)}
+          FROM draws2 d JOIN nn ON nn.q = d.row_id AND nn.rk = d.pick JOIN mino m ON m.row_id = nn.b)
+SELECT row_id, class, {", ".join(VF)} FROM vr
+UNION ALL
+SELECT row_id, class, {", ".join(VF)} FROM synth
+"""
+
+
+def tomek_sql(rows: str) -> str:
+    """``(row_id, class, partner)`` for rows in a Tomek link of ``rows``."""
+    return f"""
+WITH tr AS ({rows}),
+pd AS (SELECT a.row_id AS q, b.row_id AS b, sqrt({" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in VF)}) AS dist
+       FROM tr a JOIN tr b ON a.row_id <> b.row_id),
+n1 AS (SELECT q, b FROM (SELECT q, b, row_number() OVER (PARTITION BY q ORDER BY dist, b) AS rk FROM pd) WHERE rk = 1)
+SELECT x.q AS row_id, lq.class, x.b AS partner
+FROM n1 x JOIN n1 y ON x.b = y.q AND y.b = x.q
+JOIN tr lq ON lq.row_id = x.q JOIN tr lb ON lb.row_id = x.b
+WHERE lq.class <> lb.class
+"""
+
+
+SMOTE = f"SELECT row_id, class, {', '.join(f'ROUNDX({c}, {D}) AS {c}' for c in VF)} FROM ({smote_sql(VEC_ROWS)})"
+TOMEK_LINKS = tomek_sql(VEC_ROWS)
+SMOTE_TOMEK = f"""
+WITH bal AS ({smote_sql(VEC_ROWS)}),
+links AS ({tomek_sql("SELECT * FROM bal")})
+SELECT row_id, class, {', '.join(f'ROUNDX({c}, {D}) AS {c}' for c in VF)}
+FROM bal WHERE row_id NOT IN (SELECT row_id FROM links)
+"""
+
 _RAW_ORACLE: dict[str, str] = {
     "drift_lineitem": DRIFT_LINEITEM,
     "drift_events": DRIFT_EVENTS,
@@ -260,6 +359,10 @@ _RAW_ORACLE: dict[str, str] = {
     "classification_metrics": CLASSIFICATION_METRICS,
     "robust_scaler_fit": ROBUST_SCALER_FIT,
     "robust_scale": ROBUST_SCALE,
+    "knn_impute": KNN_IMPUTE,
+    "smote": SMOTE,
+    "tomek_links": TOMEK_LINKS,
+    "smote_tomek": SMOTE_TOMEK,
 }
 
 ORACLE: dict[str, str] = {k: _finish(v) for k, v in _RAW_ORACLE.items()}
