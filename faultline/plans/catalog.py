@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.operators import clean, drift, impute, metrics, resample, sampling, scaling, validation
+from faultline.operators import clean, drift, evaluation, impute, metrics, resample, sampling, scaling, training, validation
 from faultline.session import cut_lineage
 from faultline.plans import fixtures as fx
 from faultline.spec import ColumnSpec
@@ -152,6 +152,52 @@ def q_smote_tomek(spark, sf_dir):
     return _round_doubles(resample.remove_tomek_links(balanced, "class", fx.VEC_FEATURES))
 
 
+# -- M5/M6 gates, M7 champion/challenger on given predictions ----------------------
+def q_adequacy_gates(spark, sf_dir):
+    lab = fx.table(spark, sf_dir, "labels").select(
+        "doc_id", F.col("toxic").alias("class"), (F.lit(1) - F.col("quality")).alias("y_pred")
+    )
+    split = sampling.stratified_split(lab, "class", ["doc_id"], 0.2, SPLIT_SEED)
+    return _round_doubles(evaluation.adequacy_gates(split, "class", "y_pred"))
+
+
+def q_champion_challenger(spark, sf_dir):
+    lab = fx.table(spark, sf_dir, "labels")
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    scored = lab.join(docs, "doc_id", "left").select(
+        F.col("toxic").alias("y_true"),
+        (F.lit(1) - F.col("quality")).alias("trained_pred"),
+        F.when((F.col("quality") == 0) & (F.col("n_chars") < 1500), 1).otherwise(0).alias("best_pred"),
+    )
+    return _round_doubles(evaluation.compare_models(scored, "y_true", "trained_pred", "best_pred"))
+
+
+# -- M1-M4 boosted trees, M2 random search (rows-only: tree output has no SQL twin)
+def _vec_labelled(spark, sf_dir):
+    vw = fx.vec_wide(spark, sf_dir).withColumn("label", F.when(F.col("class") == "pos", 1).otherwise(0))
+    return sampling.stratified_split(vw, "class", ["vec_id"], 0.2, SPLIT_SEED)
+
+
+def q_gbt_predict(spark, sf_dir):
+    split = _vec_labelled(spark, sf_dir)
+    train, test = sampling.train_test_frames(split)
+    model = training.fit_gbt(train, fx.VEC_FEATURES, "label", {"learning_rate": 0.1, "max_depth": 3, "n_estimators": 20})
+    return training.predict(model, test.select("vec_id", "class", "label", *fx.VEC_FEATURES)).select(
+        "vec_id", "class", "label", "prediction"
+    )
+
+
+def q_random_search(spark, sf_dir):
+    split = _vec_labelled(spark, sf_dir)
+    train, _ = sampling.train_test_frames(split)
+    res = training.random_search(train, fx.VEC_FEATURES, "label", ["vec_id"], training.SMALL_GRID, n_iter=3, n_folds=3)
+    rows = [
+        (p["learning_rate"], p["max_depth"], p["n_estimators"], float(m), p == res.best_params)
+        for p, m in zip(res.candidates, res.cv_accuracy)
+    ]
+    return spark.createDataFrame(rows, "learning_rate double, max_depth int, n_estimators int, cv_accuracy double, chosen boolean")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_lineitem": q_drift_lineitem,
     "drift_events": q_drift_events,
@@ -168,4 +214,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "smote": q_smote,
     "tomek_links": q_tomek_links,
     "smote_tomek": q_smote_tomek,
+    "adequacy_gates": q_adequacy_gates,
+    "champion_challenger": q_champion_challenger,
+    "gbt_predict": q_gbt_predict,
+    "random_search": q_random_search,
 }

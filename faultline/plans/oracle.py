@@ -347,6 +347,51 @@ SELECT row_id, class, {', '.join(f'ROUNDX({c}, {D}) AS {c}' for c in VF)}
 FROM bal WHERE row_id NOT IN (SELECT row_id FROM links)
 """
 
+_LAB_SPLIT = split_sql("SELECT doc_id, toxic AS class, 1 - quality AS y_pred FROM labels", keys=["doc_id"])
+
+
+def _score_cols(prefix: str, tp: str, fp: str, fn: str, tn: str) -> str:
+    return f"""
+  coalesce(2.0 * {tp} / nullif(2 * {tp} + {fp} + {fn}, 0), 0) AS {prefix}f1_score,
+  coalesce(CAST({tp} AS DOUBLE) / nullif({tp} + {fp}, 0), 0) AS {prefix}precision_score,
+  coalesce(CAST({tp} AS DOUBLE) / nullif({tp} + {fn}, 0), 0) AS {prefix}recall_score,
+  1.0 - (CAST({fp} + {fn} AS DOUBLE)) / nullif((CAST({tp} + {fn} AS DOUBLE) * ({tn} + {fn}) + CAST({tn} + {fp} AS DOUBLE) * ({tp} + {fp})) / ({tp} + {fp} + {fn} + {tn}), 0) AS {prefix}cohen_kappa_score,
+  (CAST({tp} AS DOUBLE) / nullif({tp} + {fn}, 0) + CAST({tn} AS DOUBLE) / nullif({tn} + {fp}, 0)) / 2.0 AS {prefix}roc_auc_score"""
+
+
+ADEQUACY_GATES = f"""
+WITH sp AS ({_LAB_SPLIT}),
+c AS (SELECT split, {_counts('class', 'y_pred')} FROM sp GROUP BY split),
+s AS (SELECT split, {_score_cols('', 'tp', 'fp', 'fn', 'tn')} FROM c),
+w AS (SELECT max(f1_score) FILTER (WHERE split = 'train') AS train_f1_score,
+             max(roc_auc_score) FILTER (WHERE split = 'train') AS train_roc_auc_score,
+             max(f1_score) FILTER (WHERE split = 'test') AS test_f1_score,
+             max(roc_auc_score) FILTER (WHERE split = 'test') AS test_roc_auc_score FROM s)
+SELECT ROUNDX(train_f1_score, {D}) AS train_f1_score, ROUNDX(train_roc_auc_score, {D}) AS train_roc_auc_score,
+       ROUNDX(test_f1_score, {D}) AS test_f1_score, ROUNDX(test_roc_auc_score, {D}) AS test_roc_auc_score,
+       ROUNDX(abs(train_f1_score - test_f1_score), {D}) AS f1_gap,
+       coalesce(train_f1_score > 0.6 AND train_roc_auc_score > 0.7, false) AS adequate,
+       coalesce(abs(train_f1_score - test_f1_score) <= 0.05, false) AS fit_ok,
+       coalesce(train_f1_score > 0.6 AND train_roc_auc_score > 0.7 AND abs(train_f1_score - test_f1_score) <= 0.05, false) AS passed
+FROM w
+"""
+
+_CC_COLS = ["f1_score", "precision_score", "recall_score", "cohen_kappa_score", "roc_auc_score"]
+CHAMPION_CHALLENGER = f"""
+WITH sc AS (SELECT l.toxic AS y_true, 1 - l.quality AS tp_, CASE WHEN l.quality = 0 AND d.n_chars < 1500 THEN 1 ELSE 0 END AS bp_
+            FROM labels l LEFT JOIN documents d USING (doc_id)),
+c AS (SELECT {_counts('y_true', 'tp_').replace(' AS tp', ' AS t_tp').replace(' AS fp', ' AS t_fp').replace(' AS fn', ' AS t_fn').replace(' AS tn', ' AS t_tn')},
+             {_counts('y_true', 'bp_').replace(' AS tp', ' AS b_tp').replace(' AS fp', ' AS b_fp').replace(' AS fn', ' AS b_fn').replace(' AS tn', ' AS b_tn')}
+      FROM sc),
+s AS (SELECT {_score_cols('trained_', 't_tp', 't_fp', 't_fn', 't_tn')}, {_score_cols('best_', 'b_tp', 'b_fp', 'b_fn', 'b_tn')} FROM c)
+SELECT {", ".join(f"ROUNDX(trained_{m}, {D}) AS trained_{m}" for m in _CC_COLS)},
+       {", ".join(f"ROUNDX(best_{m}, {D}) AS best_{m}" for m in _CC_COLS)},
+       ROUNDX(trained_f1_score - best_f1_score, {D}) AS improved_f1_score,
+       ROUNDX(trained_roc_auc_score - best_roc_auc_score, {D}) AS improved_roc_auc_score,
+       coalesce(trained_f1_score - best_f1_score > 0.02 OR trained_roc_auc_score - best_roc_auc_score > 0.02, false) AS is_model_accepted
+FROM s
+"""
+
 _RAW_ORACLE: dict[str, str] = {
     "drift_lineitem": DRIFT_LINEITEM,
     "drift_events": DRIFT_EVENTS,
@@ -363,6 +408,8 @@ _RAW_ORACLE: dict[str, str] = {
     "smote": SMOTE,
     "tomek_links": TOMEK_LINKS,
     "smote_tomek": SMOTE_TOMEK,
+    "adequacy_gates": ADEQUACY_GATES,
+    "champion_challenger": CHAMPION_CHALLENGER,
 }
 
 ORACLE: dict[str, str] = {k: _finish(v) for k, v in _RAW_ORACLE.items()}
