@@ -89,6 +89,7 @@ def random_search(
         estimatorParamMaps=maps,
         evaluator=MulticlassClassificationEvaluator(labelCol=label_col, metricName="accuracy"),
         foldCol=FOLD_COL,
+        numFolds=n_folds,
         parallelism=parallelism,
         seed=seed,
     )
