@@ -91,7 +91,7 @@ def hash_rank_cut(
     tie_cols: Sequence[str],
     quota: DataFrame,
     out: str = "_fl_in",
-    prefix_digits: int = 5,
+    prefix_digits: int = 4,
 ) -> DataFrame:
     """Flag rows whose rank within ``group_col`` by ``(hash_col, *tie_cols)``
     is at most the group's quota.

@@ -38,7 +38,11 @@ def sensor_clean_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sensor_split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.stratified_split(sensor_clean_frame(spark, sf_dir), "class", fx.SENSOR_KEYS, 0.2, SPLIT_SEED)
+    """The split is read by several branches; it is written once (checkpoint
+    in the shared folder) as the training job writes its split tables."""
+    return cut_lineage(
+        sampling.stratified_split(sensor_clean_frame(spark, sf_dir), "class", fx.SENSOR_KEYS, 0.2, SPLIT_SEED)
+    )
 
 
 # -- V5/V6 drift ---------------------------------------------------------------
@@ -80,7 +84,7 @@ def q_sensor_clean(spark, sf_dir):
 # -- V1-V4 schema checks -------------------------------------------------------
 def q_schema_violations(spark, sf_dir):
     raw = fx.sensor_raw(spark, sf_dir)
-    split = sampling.stratified_split(raw, "class", fx.SENSOR_KEYS, 0.2, SPLIT_SEED)
+    split = cut_lineage(sampling.stratified_split(raw, "class", fx.SENSOR_KEYS, 0.2, SPLIT_SEED))
     train, test = sampling.train_test_frames(split)
     spec = ColumnSpec(features=(*fx.SENSOR_MEASURES, "sensor_x"), label="class")
     return validation.violations({"train": train, "test": test}, spec)

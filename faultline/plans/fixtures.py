@@ -26,7 +26,19 @@ VEC_SPEC = ColumnSpec(features=tuple(VEC_FEATURES), label="class", keys=("vec_id
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one of the driver's tables.
+
+    A file written as one row group scans as a single task; when the scan has
+    fewer splits than the cluster has cores, rows are spread round-robin so
+    the row-wise work before the first shuffle (hashing, casts, unpivots)
+    runs on every core.  Large inputs already have enough splits and are
+    left untouched.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
