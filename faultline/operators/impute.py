@@ -35,15 +35,19 @@ class KNNImputerModel:
     k: int = 5
     block_rows: int = DEFAULT_BLOCK_ROWS
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, key: str | None = None) -> DataFrame:
+        """Impute ``df``; ``key`` (default: the training key) must identify its rows."""
         feats = self.features
+        key = key or self.key
         incomplete = _any_null(feats)
         complete_rows = df.filter(~incomplete)
         receivers = df.filter(incomplete)
-        cand = knn_impute_candidates(receivers, self.donors, self.key, feats, self.k, self.block_rows)
+        key_type = df.schema[key].dataType
+        donors = self.donors.select(F.col(self.key).cast(key_type).alias(key), *feats)
+        cand = knn_impute_candidates(receivers, donors, key, feats, self.k, self.block_rows)
         filled = cand.groupBy("q_key").pivot("column", feats).agg(F.avg("value"))
-        filled = filled.select(F.col("q_key").alias(self.key), *[F.col(c).alias(f"_fl_imp_{c}") for c in feats])
-        joined = receivers.join(filled, self.key, "left")
+        filled = filled.select(F.col("q_key").alias(key), *[F.col(c).alias(f"_fl_imp_{c}") for c in feats])
+        joined = receivers.join(filled, key, "left")
         out_cols = []
         for c in df.columns:
             if c in self.means:

@@ -24,8 +24,8 @@ class PreprocessorModel:
     scaler: RobustScalerModel
     features: list[str]
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.scaler.transform(self.imputer.transform(df))
+    def transform(self, df: DataFrame, key: str | None = None) -> DataFrame:
+        return self.scaler.transform(self.imputer.transform(df, key))
 
     def save(self, path: str) -> None:
         spark = self.imputer.donors.sparkSession

@@ -18,6 +18,7 @@ from faultline.functions.labels import decode_label, encode_label
 from faultline.operators import clean, drift, evaluation, metrics, registry, resample, sampling, training, validation
 from faultline.operators.preprocess import Preprocessor, PreprocessorModel
 from faultline.sources import documents, files, reports
+from faultline.session import cut_lineage
 from faultline.spec import ColumnSpec
 
 ROW_ID = "row_id"
@@ -111,7 +112,7 @@ def run_training(
     lab = "label"
 
     def prepared(df: DataFrame) -> DataFrame:
-        out = prep.transform(df.select(ROW_ID, label, *spec.features))
+        out = prep.transform(df.select(ROW_ID, label, *spec.features), ROW_ID)
         return out.select(F.col(ROW_ID).cast("string").alias(resample.ROW_ID), label, *spec.features)
 
     train_bal = resample.smote_tomek(prepared(train), label, spec.features, seed=resample_seed)
@@ -143,11 +144,11 @@ def run_training(
     reg = registry.ModelRegistry(spark, registry_root)
     eval_rows = sampling.union_frames([train, test], allow_missing=True).select(ROW_ID, label, *spec.features)
     eval_rows = eval_rows.withColumn(lab, encode_label(label))
-    trained_pred = training.predict(model, prep.transform(eval_rows)).select(ROW_ID, lab, F.col("prediction").alias("trained_pred"))
+    trained_pred = training.predict(model, prep.transform(eval_rows, ROW_ID)).select(ROW_ID, lab, F.col("prediction").alias("trained_pred"))
     if reg.has_model():
         best_model, best_prep_path, _ = reg.load_latest()
         best_prep = PreprocessorModel.load(spark, best_prep_path, spec.features)
-        best_pred = training.predict(best_model, best_prep.transform(eval_rows)).select(
+        best_pred = training.predict(best_model, best_prep.transform(eval_rows, ROW_ID)).select(
             ROW_ID, F.col("prediction").alias("best_pred")
         )
         verdict = evaluation.compare_models(trained_pred.join(best_pred, ROW_ID), lab, "trained_pred", "best_pred")
@@ -171,15 +172,21 @@ def run_training(
 
 
 # -- J3 ---------------------------------------------------------------------------
-def score_frame(raw: DataFrame, spec: ColumnSpec, model, prep: PreprocessorModel) -> DataFrame:
+def score_frame(raw: DataFrame, spec: ColumnSpec, model, prep: PreprocessorModel, materialise: bool = False) -> DataFrame:
     """Clean, validate, transform once, predict; output the decoded class
-    followed by the *raw* feature values."""
+    followed by the *raw* feature values.
+
+    Rows get an id for the imputation join; ``materialise`` checkpoints the
+    keyed rows so the id can never be recomputed differently (file sources
+    re-read identically, so micro-batches from files may skip it)."""
     df = clean.drop_lenient(raw, spec.drop)
     df = clean.missing_to_null(df)
     validation.assert_valid(validation.violations({"input": df}, spec, expect_label=False, check_values=False))
     df = clean.cast_features(df, spec.features).withColumn(ROW_ID, F.monotonically_increasing_id())
     keep = df.select(ROW_ID, *[F.col(c).alias(f"_fl_raw_{c}") for c in spec.features], *spec.features)
-    scored = training.predict(model, prep.transform(keep))
+    if materialise:
+        keep = cut_lineage(keep)
+    scored = training.predict(model, prep.transform(keep, ROW_ID))
     return scored.select(
         decode_label(F.col("prediction")).alias(spec.label),
         *[F.col(f"_fl_raw_{c}").alias(c) for c in spec.features],
@@ -191,6 +198,6 @@ def run_scoring(spark: SparkSession, input_path: str, spec: ColumnSpec, registry
     files.write_csv(raw, f"{out_dir.rstrip('/')}/sensor_raw")
     model, prep_path, _ = registry.ModelRegistry(spark, registry_root).load_latest()
     prep = PreprocessorModel.load(spark, prep_path, spec.features)
-    out = score_frame(raw, spec, model, prep)
+    out = score_frame(raw, spec, model, prep, materialise=True)
     files.write_csv(out, f"{out_dir.rstrip('/')}/sensor_output")
     return spark.read.option("header", True).csv(f"{out_dir.rstrip('/')}/sensor_output")
