@@ -34,34 +34,48 @@ REPORT_COLUMNS = [
 ]
 
 
-def _long_form(df: DataFrame, cols: Sequence[str], side: int, value_type: str) -> DataFrame:
-    projected = df.select(*[F.col(c).cast(value_type).alias(c) for c in cols])
-    if value_type == "double":
-        # NaN is a missing reading, never a value (Spark sorts NaN last).
-        projected = projected.select(*[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in cols])
-    return projected.unpivot([], list(cols), "column", "value").withColumn("_side", F.lit(side))
+def long_form(df: DataFrame, cols: Sequence[str], value_type: str = "double", side: int | None = None) -> DataFrame:
+    """``(col_idx int, value)`` rows, one per cell.  Columns travel as their
+    position, not their name: a fixed-width int key keeps the shuffle of
+    (column, value) pairs small and cheap to hash; names are joined back
+    from a one-row-per-column table at the end."""
+    def cell(c: str):
+        v = F.col(c).cast(value_type)
+        if value_type == "double":
+            # NaN is a missing reading, never a value (Spark sorts NaN last).
+            v = F.nanvl(v, F.lit(None).cast("double"))
+        return v
+    projected = df.select(*[cell(c).alias(str(i)) for i, c in enumerate(cols)])
+    out = projected.unpivot([], [str(i) for i in range(len(cols))], "_fl_col", "value")
+    out = out.select(F.col("_fl_col").cast("int").alias("col_idx"), "value")
+    return out if side is None else out.withColumn("_side", F.lit(side))
+
+
+def column_names(spark, cols: Sequence[str]) -> DataFrame:
+    """``(col_idx, column)``: one row per tested column, safe to broadcast."""
+    return F.broadcast(spark.createDataFrame(list(enumerate(cols)), "col_idx int, column string"))
 
 
 def _ks_for_type(base: DataFrame, current: DataFrame, cols: Sequence[str], value_type: str) -> DataFrame:
-    stacked = _long_form(base, cols, 0, value_type).unionByName(_long_form(current, cols, 1, value_type))
-    counts = stacked.groupBy("column", "value").agg(
+    stacked = long_form(base, cols, value_type, 0).unionByName(long_form(current, cols, value_type, 1))
+    counts = stacked.groupBy("col_idx", "value").agg(
         F.count_if(F.col("_side") == 0).alias("c1"),
         F.count_if(F.col("_side") == 1).alias("c2"),
     )
-    stats = counts.groupBy("column").agg(
+    stats = counts.groupBy("col_idx").agg(
         F.sum(F.when(F.col("value").isNotNull(), F.col("c1"))).alias("n_base"),
         F.sum(F.when(F.col("value").isNotNull(), F.col("c2"))).alias("n_current"),
         F.sum(F.when(F.col("value").isNull(), F.col("c1"))).alias("null_base"),
         F.sum(F.when(F.col("value").isNull(), F.col("c2"))).alias("null_current"),
     ).select(
-        "column", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_base", "n_current", "null_base", "null_current")]
+        "col_idx", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_base", "n_current", "null_base", "null_current")]
     )
     # One row per tested column: a proven bound, so broadcasting is safe.
     stats = F.broadcast(stats)
-    cum = running_totals(counts.filter(F.col("value").isNotNull()), ["column"], ["value"], ["c1", "c2"], groups_bounded=True)
+    cum = running_totals(counts.filter(F.col("value").isNotNull()), ["col_idx"], ["value"], ["c1", "c2"], groups_bounded=True)
     d = (
-        cum.join(stats, "column")
-        .groupBy("column")
+        cum.join(stats, "col_idx")
+        .groupBy("col_idx")
         .agg(
             F.max(
                 F.abs(
@@ -71,7 +85,8 @@ def _ks_for_type(base: DataFrame, current: DataFrame, cols: Sequence[str], value
             ).alias("d_statistic")
         )
     )
-    return stats.join(F.broadcast(d), "column", "left")
+    names = column_names(base.sparkSession, cols)
+    return names.join(stats, "col_idx").join(F.broadcast(d), "col_idx", "left").drop("col_idx")
 
 
 def ks_drift_report(

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.operators.drift import column_names, long_form
 from faultline.operators.ranking import running_totals
 
 _EPS10 = 10 * 2.220446049250313e-16
@@ -29,46 +30,41 @@ _EPS10 = 10 * 2.220446049250313e-16
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """``(column, prob, value)`` for every column and probability (NULLs ignored)."""
     cols = list(columns)
-    long = (
-        df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
-        .unpivot([], cols, "column", "value")
-        .filter(F.col("value").isNotNull())
-    )
-    counts = long.groupBy("column", "value").agg(F.count("*").alias("w"))
-    cum = running_totals(counts, ["column"], ["value"], ["w"], groups_bounded=True)
-    sizes = counts.groupBy("column").agg(F.sum("w").alias("n"))
+    long = long_form(df, cols).filter(F.col("value").isNotNull())
+    counts = long.groupBy("col_idx", "value").agg(F.count("*").alias("w"))
+    cum = running_totals(counts, ["col_idx"], ["value"], ["w"], groups_bounded=True)
+    sizes = counts.groupBy("col_idx").agg(F.sum("w").alias("n"))
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
     targets = (
-        sizes.select("column", "n", F.explode(prob_arr).alias("prob"))
+        sizes.select("col_idx", "n", F.explode(prob_arr).alias("prob"))
         .withColumn("h", (F.col("n") - 1).cast("double") * F.col("prob"))
         .withColumn("lo", F.floor("h"))
         .withColumn("hi", F.ceil("h"))
         .withColumn("frac", F.col("h") - F.col("lo"))
     )
     wanted = targets.select(
-        F.col("column").alias("t_column"),
+        F.col("col_idx").alias("t_col"),
         "prob",
         "frac",
         F.explode(F.array(F.struct(F.lit("lo").alias("which"), F.col("lo").alias("r")),
                           F.struct(F.lit("hi").alias("which"), F.col("hi").alias("r")))).alias("t"),
-    ).select("t_column", "prob", "frac", "t.which", "t.r")
+    ).select("t_col", "prob", "frac", "t.which", "t.r")
     # Bounded by columns x quantiles x 2: safe to broadcast.
     hit = cum.join(
         F.broadcast(wanted),
-        (cum["column"] == wanted["t_column"])
+        (cum["col_idx"] == wanted["t_col"])
         & (wanted["r"] >= cum["cum_w"] - cum["w"])
         & (wanted["r"] < cum["cum_w"]),
     )
-    picked = hit.groupBy("t_column", "prob").agg(
+    picked = hit.groupBy("t_col", "prob").agg(
         F.max(F.when(F.col("which") == "lo", F.col("value"))).alias("v_lo"),
         F.max(F.when(F.col("which") == "hi", F.col("value"))).alias("v_hi"),
         F.max("frac").alias("frac"),
     )
-    return picked.select(
-        F.col("t_column").alias("column"),
-        "prob",
-        (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"),
-    )
+    value = (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value")
+    return column_names(df.sparkSession, cols).join(
+        picked.select(F.col("t_col").alias("col_idx"), "prob", value), "col_idx"
+    ).drop("col_idx")
 
 
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10000) -> DataFrame:
