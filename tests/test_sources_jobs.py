@@ -77,3 +77,21 @@ def test_training_then_scoring_end_to_end(spark, tmp_uri):
     )
     assert res2.evaluation.first()["best_f1_score"] is not None
     assert reports.read_history(spark, f"{tmp_uri}/models/_metrics_history").count() == 1
+
+
+def test_etl_downsamples_and_replaces_collection(spark, tmp_uri):
+    path = f"{tmp_uri}/aps.csv"
+    vw = fx.vec_wide(spark, SF_CHECK).select("class", *fx.VEC_FEATURES).toPandas()
+    with open(path, "w") as f:
+        for i in range(14):
+            f.write(f"licence text line {i}\n\n")
+        vw.to_csv(f, index=False)
+    n_pos = int((vw["class"] == "pos").sum())
+    n_neg = int((vw["class"] == "neg").sum())
+    out = f"{tmp_uri}/collection"
+    n = jobs.run_etl(spark, path, out)
+    assert n == n_pos + round(0.3 * n_neg)
+    n_again = jobs.run_etl(spark, path, out)  # overwrite, same seeded rows
+    back = documents.read_documents(spark, out)
+    assert n_again == n and back.count() == n
+    assert back.filter(F.col("class") == "pos").count() == n_pos
