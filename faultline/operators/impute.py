@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.operators.neighbors import DEFAULT_BLOCK_ROWS, knn_impute_candidates
+from faultline.session import cut_lineage
 
 
 def _any_null(features: Sequence[str]):
@@ -81,7 +82,8 @@ class KNNImputer:
 
     def fit(self, df: DataFrame, key: str, features: Sequence[str]) -> KNNImputerModel:
         feats = list(features)
-        donors = df.select(key, *[F.col(c).cast("double").alias(c) for c in feats])
+        # The donor rows are the fitted state; written once, then read by every block.
+        donors = cut_lineage(df.select(key, *[F.col(c).cast("double").alias(c) for c in feats]))
         row = donors.agg(*[F.avg(c).alias(c) for c in feats]).first()  # one value per column
         empty = [c for c in feats if row[c] is None]
         if empty:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.hashing import seeded_int
+from faultline.session import cut_lineage
 
 # --- Fixed values: the reference's search space (XGBoost names). --------------
 REFERENCE_GRID = {"learning_rate": [0.0136, 0.03], "max_depth": [7, 11], "n_estimators": [469, 877]}
@@ -84,6 +85,8 @@ def random_search(
     points = sample_grid(grid, n_iter, seed)
     maps = [_param_map(gbt, p) for p in points]
     data = stratified_folds(df.withColumn(label_col, F.col(label_col).cast("double")), label_col, keys, n_folds, seed)
+    # Read once per fold and candidate plus the refit: write it once instead of recomputing.
+    data = cut_lineage(data.select(*keys, *features, label_col, FOLD_COL))
     cv = CrossValidator(
         estimator=pipe,
         estimatorParamMaps=maps,

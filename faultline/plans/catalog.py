@@ -179,7 +179,7 @@ def q_champion_challenger(spark, sf_dir):
 # -- M1-M4 boosted trees, M2 random search (rows-only: tree output has no SQL twin)
 def _vec_labelled(spark, sf_dir):
     vw = fx.vec_wide(spark, sf_dir).withColumn("label", F.when(F.col("class") == "pos", 1).otherwise(0))
-    return sampling.stratified_split(vw, "class", ["vec_id"], 0.2, SPLIT_SEED)
+    return cut_lineage(sampling.stratified_split(vw, "class", ["vec_id"], 0.2, SPLIT_SEED))
 
 
 def q_gbt_predict(spark, sf_dir):
