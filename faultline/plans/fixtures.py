@@ -57,13 +57,13 @@ def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     li = table(spark, sf_dir, "lineitem")
-    cut = F.lit(DRIFT_CUTOFF).cast("timestamp")
+    cut = F.lit(DRIFT_CUTOFF).cast("timestamp_ntz")
     return li.filter(F.col("l_shipdate") < cut), li.filter(F.col("l_shipdate") >= cut)
 
 
 def events_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     ev = table(spark, sf_dir, "events")
-    cut = F.lit(EVENTS_CUTOFF).cast("timestamp")
+    cut = F.lit(EVENTS_CUTOFF).cast("timestamp_ntz")
     return ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)
 
 
