@@ -37,19 +37,21 @@ def kolmogorov_sf(lam: Column) -> Column:
     )
 
 
-def ks_pvalue(d: Column, n1: Column, n2: Column, method: str = "asymptotic") -> Column:
+def ks_pvalue(d: Column, n1: Column, n2: Column, method: str = "stephens") -> Column:
     """Two-sided two-sample KS p-value from the statistic ``d``.
 
-    ``asymptotic``: limit law with ``lambda = d * sqrt(en)``, ``en = n1 n2/(n1+n2)``.
-    ``stephens``: the same law at ``(sqrt(en) + 0.12 + 0.11/sqrt(en)) * d``, a
-    closer fit for moderate samples.  SciPy's exact small-sample mode is not
-    reproduced (its cost grows with n1*n2).
+    ``stephens`` (default): the finite-n one-sample law at the effective size
+    ``n = round_half_even(n1 n2 / (n1 + n2))`` (what SciPy uses for large
+    samples), in Stephens' closed form ``Q((sqrt(n) + 0.12 + 0.11/sqrt(n)) d)``.
+    ``asymptotic``: the limit law ``Q(d sqrt(n1 n2/(n1+n2)))``.
+    SciPy's exact small-sample mode is not reproduced (its cost grows with
+    ``n1 * n2``).
     """
     en = n1.cast("double") * n2.cast("double") / (n1 + n2).cast("double")
-    se = F.sqrt(en)
     if method == "asymptotic":
-        lam = d * se
+        lam = d * F.sqrt(en)
     elif method == "stephens":
+        se = F.sqrt(F.greatest(F.bround(en, 0), F.lit(1.0)))
         lam = (se + F.lit(0.12) + F.lit(0.11) / se) * d
     else:
         raise ValueError(f"unknown KS p-value method {method!r}")

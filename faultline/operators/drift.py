@@ -95,7 +95,7 @@ def ks_drift_report(
     columns: Sequence[str] | None = None,
     threshold: float = 0.05,
     nan_policy: str = "omit",
-    pvalue_method: str = "asymptotic",
+    pvalue_method: str = "stephens",
 ) -> DataFrame:
     """Per-column KS drift report of ``current`` against ``base``.
 

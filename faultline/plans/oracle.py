@@ -123,7 +123,8 @@ def ks_sql(base: str, cur: str, numeric: list[str], textual: list[str] = (), pro
 WITH ks_base AS ({base}), ks_cur AS ({cur}),
 {",".join(chains)},
 rep AS ({" UNION ALL ".join(reps)}),
-lam AS (SELECT *, d_statistic * sqrt((CAST(n_base AS DOUBLE) * n_current) / (n_base + n_current)) AS lam FROM rep),
+en AS (SELECT *, sqrt(greatest(round_even((CAST(n_base AS DOUBLE) * CAST(n_current AS DOUBLE)) / CAST(n_base + n_current AS DOUBLE), 0), 1.0)) AS se FROM rep),
+lam AS (SELECT *, (se + 0.12 + 0.11 / se) * d_statistic AS lam FROM en),
 pv AS (SELECT *, CASE WHEN n_base > 0 AND n_current > 0 THEN
           CASE WHEN lam IS NULL THEN NULL WHEN lam < 0.2 THEN 1.0
                ELSE greatest(0.0, least(1.0, 2.0 * list_sum(list_transform(range(1, 101),

@@ -136,3 +136,10 @@ def test_strict_drop_raises(spark):
 
 def test_aps_spec_shape():
     assert len(APS_SPEC.features) == 163 and len(APS_SPEC.columns) == 164 and len(APS_SPEC.drop) == 7
+
+
+def test_ks_single_row_sides_do_not_fail(spark):
+    base = spark.createDataFrame([(1.0,)], "x double")
+    cur = spark.createDataFrame([(2.0,)], "x double")
+    r = drift.ks_drift_report(base, cur, ["x"]).first()
+    assert r["d_statistic"] == 1.0 and 0.0 <= r["p_value"] <= 1.0
