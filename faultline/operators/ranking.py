@@ -114,7 +114,7 @@ def hash_rank_cut(
         (F.col("_fl_cb") < F.col("_fl_k")) & (F.col("_fl_k") <= F.col("_fl_ci"))
     ).select(F.col(group_col).alias("_fl_g2"), F.col(b).alias("_fl_bstar"), (F.col("_fl_k") - F.col("_fl_cb")).alias("_fl_need"))
     # One row per group (classes): bounded, safe to broadcast.
-    plan = q.join(cut, q["_fl_g"].eqNullSafe(cut["_fl_g2"]), "left").drop("_fl_g2")
+    plan = q.join(F.broadcast(cut), q["_fl_g"].eqNullSafe(cut["_fl_g2"]), "left").drop("_fl_g2")
     t = tagged.join(F.broadcast(plan), tagged[group_col].eqNullSafe(plan["_fl_g"])).drop("_fl_g")
     on_edge = F.col(b) == F.col("_fl_bstar")
     clear = t.filter(~on_edge | F.col("_fl_bstar").isNull()).withColumn(

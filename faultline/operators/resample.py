@@ -95,21 +95,28 @@ def smote_balance(
 def tomek_links(
     df: DataFrame, label_col: str, features: Sequence[str], block_rows: int = DEFAULT_BLOCK_ROWS
 ) -> DataFrame:
-    """``(row_id, label, partner)`` for every row in a Tomek link."""
+    """``(row_id, label, partner)`` for every row in a Tomek link.
+
+    The 1-NN table is read once: each ``(row, nearest)`` edge is keyed by its
+    unordered endpoints, and an edge seen from both ends is a mutual pair."""
     nn = knn_join(df, df, ROW_ID, features, 1, exclude_self=True, block_rows=block_rows).select("q_key", "b_key")
-    a = nn.alias("a")
-    b = nn.alias("b")
-    mutual = a.join(b, (F.col("a.b_key") == F.col("b.q_key")) & (F.col("b.b_key") == F.col("a.q_key"))).select(
-        F.col("a.q_key").alias(ROW_ID), F.col("a.b_key").alias("partner")
-    )
     labels = df.select(ROW_ID, label_col)
-    lab_b = labels.select(F.col(ROW_ID).alias("partner"), F.col(label_col).alias("_fl_pl"))
-    return (
-        mutual.join(labels, ROW_ID)
-        .join(lab_b, "partner")
-        .filter(F.col(label_col) != F.col("_fl_pl"))
-        .select(ROW_ID, label_col, "partner")
+    edges = (
+        nn.join(labels.withColumnRenamed(ROW_ID, "q_key").withColumnRenamed(label_col, "_fl_lq"), "q_key")
+        .join(labels.withColumnRenamed(ROW_ID, "b_key").withColumnRenamed(label_col, "_fl_lb"), "b_key")
+        .select(
+            F.least("q_key", "b_key").alias("_fl_a"),
+            F.greatest("q_key", "b_key").alias("_fl_b"),
+            (F.col("_fl_lq") != F.col("_fl_lb")).alias("_fl_diff"),
+        )
     )
+    pairs = edges.groupBy("_fl_a", "_fl_b").agg(F.count("*").alias("_fl_n"), F.max("_fl_diff").alias("_fl_diff"))
+    links = pairs.filter((F.col("_fl_n") == 2) & F.col("_fl_diff"))
+    ends = links.select(
+        F.explode(F.array(F.struct(F.col("_fl_a").alias(ROW_ID), F.col("_fl_b").alias("partner")),
+                          F.struct(F.col("_fl_b").alias(ROW_ID), F.col("_fl_a").alias("partner")))).alias("e")
+    ).select("e.*")
+    return ends.join(labels, ROW_ID).select(ROW_ID, label_col, "partner")
 
 
 def remove_tomek_links(

@@ -94,7 +94,8 @@ def robust_scaler_params(
     )
     iqr = F.col("q_hi") - F.col("q_lo")
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    return F.broadcast(names).join(wide, "column", "left").select(
+    # One row per column on both sides: broadcast the fitted side.
+    return names.join(F.broadcast(wide), "column", "left").select(
         "column", "center", F.when(iqr < _EPS10, F.lit(1.0)).otherwise(iqr).alias("scale")
     )
 
