@@ -24,13 +24,6 @@ from faultline.spec import ColumnSpec
 ROW_ID = "row_id"
 
 
-def content_key(df: DataFrame, out: str = "_fl_row_hash") -> DataFrame:
-    """md5 of a row's full content: a sampling key for keyless raw files
-    (identical rows share it, and are interchangeable)."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in df.columns]
-    return df.withColumn(out, F.md5(F.concat_ws("\u0001", *parts)))
-
-
 # -- J1 ---------------------------------------------------------------------------
 def run_etl(
     spark: SparkSession,
@@ -44,8 +37,9 @@ def run_etl(
 ) -> int:
     """Preamble CSV -> all positives + seeded ``ratio`` of negatives ->
     replace the document collection.  Returns the number of rows loaded."""
-    raw = content_key(files.read_preamble_csv(spark, csv_path, header_line, null_value=None))
-    sampled = sampling.downsample(raw, label_col, ["_fl_row_hash"], ratio=ratio, seed=seed).drop("_fl_row_hash")
+    # The file's line number is the row key: unique even for duplicated rows.
+    raw = files.read_preamble_csv(spark, csv_path, header_line, null_value=None, line_col="_fl_line")
+    sampled = sampling.downsample(raw, label_col, ["_fl_line"], ratio=ratio, seed=seed).drop("_fl_line")
     return documents.write_documents(sampled, collection_path, batch_size=batch_size, mode="overwrite")
 
 

@@ -27,20 +27,28 @@ def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_preamble_csv(
-    spark: SparkSession, path: str, header_line: int = 14, null_value: str | None = MISSING_TOKEN
+    spark: SparkSession,
+    path: str,
+    header_line: int = 14,
+    null_value: str | None = MISSING_TOKEN,
+    line_col: str | None = None,
 ) -> DataFrame:
     """Rows of a CSV whose column names are on non-blank line ``header_line``
-    (0-based, like ``pandas.read_csv(header=14)``); all columns as strings."""
+    (0-based, like ``pandas.read_csv(header=14)``); all columns as strings.
+
+    ``line_col`` adds the row's non-blank line number: a unique, deterministic
+    row key for raw files that have none."""
     lines = spark.sparkContext.textFile(path).filter(lambda s: s.strip() != "").zipWithIndex()
     header_rows = lines.filter(lambda t: t[1] == header_line).map(lambda t: t[0]).take(1)
     if not header_rows:
         raise ValueError(f"{path}: fewer than {header_line + 1} non-blank lines")
     names = [c.strip().strip('"') for c in header_rows[0].split(",")]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    body = lines.filter(lambda t: t[1] > header_line).map(lambda t: (t[0],)).toDF("line STRING")
+    body = lines.filter(lambda t: t[1] > header_line).toDF("line STRING, line_no LONG")
     opts = {"nullValue": null_value} if null_value is not None else {}
-    parsed = body.select(F.from_csv(F.col("line"), schema.simpleString(), opts).alias("r"))
-    return parsed.select(*[F.col("r").getField(n).alias(n) for n in names])
+    parsed = body.select(F.from_csv(F.col("line"), schema.simpleString(), opts).alias("r"), "line_no")
+    extra = [F.col("line_no").alias(line_col)] if line_col else []
+    return parsed.select(*[F.col("r").getField(n).alias(n) for n in names], *extra)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
