@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.hashing import seeded_md5, seeded_uniform
-from faultline.operators.neighbors import DEFAULT_BLOCK_ROWS, knn_join
+from faultline.operators.neighbors import DEFAULT_BLOCK_ROWS, knn_join_pruned
 from faultline.operators.ranking import hash_rank_cut
 from faultline.session import cut_lineage
 
@@ -68,7 +68,7 @@ def smote(
     draws = draws.withColumn(
         "_fl_pick", (F.floor(seeded_uniform(seed, F.lit("nn"), F.col(ROW_ID), F.col("_fl_j")) * k_eff) + 1).cast("int")
     ).withColumn("_fl_u", seeded_uniform(seed, F.lit("step"), F.col(ROW_ID), F.col("_fl_j")))
-    nn = knn_join(mino, mino, ROW_ID, feats, k_eff, exclude_self=True, block_rows=block_rows)
+    nn = knn_join_pruned(mino, mino, ROW_ID, feats, k_eff, exclude_self=True, block_rows=block_rows)
     nn = nn.select(F.col("q_key").alias(ROW_ID), F.col("nn_rank").alias("_fl_pick"), F.col("b_key").alias("_fl_nb"))
     nbr = mino.select(F.col(ROW_ID).alias("_fl_nb"), *[F.col(c).alias(f"_fl_n_{c}") for c in feats])
     joined = draws.join(nn, [ROW_ID, "_fl_pick"]).join(nbr, "_fl_nb")
@@ -99,7 +99,7 @@ def tomek_links(
 
     The 1-NN table is read once: each ``(row, nearest)`` edge is keyed by its
     unordered endpoints, and an edge seen from both ends is a mutual pair."""
-    nn = knn_join(df, df, ROW_ID, features, 1, exclude_self=True, block_rows=block_rows).select("q_key", "b_key")
+    nn = knn_join_pruned(df, df, ROW_ID, features, 1, exclude_self=True, block_rows=block_rows).select("q_key", "b_key")
     labels = df.select(ROW_ID, label_col)
     edges = (
         nn.join(labels.withColumnRenamed(ROW_ID, "q_key").withColumnRenamed(label_col, "_fl_lq"), "q_key")

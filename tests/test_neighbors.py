@@ -98,3 +98,19 @@ def test_smote_balances_and_tomek_removes_links(spark):
     links = {r["row_id"] for r in resample.tomek_links(df, "class", feats).collect()}
     kept = {r["row_id"] for r in resample.remove_tomek_links(df, "class", feats).collect()}
     assert kept.isdisjoint(links) and len(kept) + len(links) == 200
+
+
+def test_pruned_knn_equals_brute_force_on_skewed_clusters(spark):
+    from faultline.operators.neighbors import knn_join_pruned
+
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(0, 1, (300, 3)), rng.normal(6, 0.3, (60, 3)), rng.normal(-5, 2, (40, 3))])
+    df = _frame(spark, x)
+    feats = ["f0", "f1", "f2"]
+    got = knn_join_pruned(df, df, "k", feats, 4, exclude_self=True, block_rows=32, max_pivots=16).collect()
+    got = {(r["q_key"], r["nn_rank"]): r["b_key"] for r in got}
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    for i in range(len(x)):
+        for rank, j in enumerate(np.lexsort((np.arange(len(x)), d[i]))[:4], start=1):
+            assert got[(i, rank)] == j
