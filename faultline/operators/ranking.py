@@ -97,7 +97,8 @@ def hash_rank_cut(
     is at most the group's quota.
 
     ``hash_col`` must be a hex digest (uniform); ``quota`` has columns
-    ``(group_col, _fl_k)`` with one row per group.  Exact, deterministic and
+    ``(group_col, _fl_k)`` with one row per group (a group without a row
+    gets quota 0).  Exact, deterministic and
     free of per-group tasks: rows are counted per hash-prefix bucket
     (``16**prefix_digits`` buckets, partial aggregation), the bucket where a
     group's running count reaches its quota is found on that small histogram,
@@ -115,11 +116,14 @@ def hash_rank_cut(
     ).select(F.col(group_col).alias("_fl_g2"), F.col(b).alias("_fl_bstar"), (F.col("_fl_k") - F.col("_fl_cb")).alias("_fl_need"))
     # One row per group (classes): bounded, safe to broadcast.
     plan = q.join(F.broadcast(cut), q["_fl_g"].eqNullSafe(cut["_fl_g2"]), "left").drop("_fl_g2")
-    t = tagged.join(F.broadcast(plan), tagged[group_col].eqNullSafe(plan["_fl_g"])).drop("_fl_g")
+    # Left join: rows of a group absent from ``quota`` are kept, never selected.
+    t = tagged.join(F.broadcast(plan), tagged[group_col].eqNullSafe(plan["_fl_g"]), "left").drop("_fl_g")
     on_edge = F.col(b) == F.col("_fl_bstar")
     clear = t.filter(~on_edge | F.col("_fl_bstar").isNull()).withColumn(
         out,
-        F.when(F.col("_fl_bstar").isNotNull(), F.col(b) < F.col("_fl_bstar")).otherwise(F.col("_fl_k") > 0),
+        F.when(F.col("_fl_bstar").isNotNull(), F.col(b) < F.col("_fl_bstar")).otherwise(
+            F.coalesce(F.col("_fl_k"), F.lit(0)) > 0
+        ),
     )
     w_edge = Window.partitionBy(group_col).orderBy(F.col(hash_col), *[F.col(c) for c in tie_cols])
     edge = t.filter(on_edge).withColumn(out, F.row_number().over(w_edge) <= F.col("_fl_need"))

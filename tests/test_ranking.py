@@ -41,3 +41,13 @@ def test_hash_rank_cut_quota_above_size_takes_all(spark):
     )
     quota = spark.createDataFrame([("a", 500)], "c string, _fl_k long")
     assert hash_rank_cut(df, "c", "h", ["k"], quota).filter("_fl_in").count() == 50
+
+
+def test_hash_rank_cut_keeps_groups_without_quota(spark):
+    df = spark.createDataFrame([("a", i) for i in range(20)] + [("z", i) for i in range(5)], "c string, k long")
+    df = df.withColumn("h", F.md5(F.col("k").cast("string")))
+    quota = spark.createDataFrame([("a", 7)], "c string, _fl_k long")
+    out = hash_rank_cut(df, "c", "h", ["k"], quota).collect()
+    assert len(out) == 25
+    assert sum(r["_fl_in"] for r in out if r["c"] == "a") == 7
+    assert not any(r["_fl_in"] for r in out if r["c"] == "z")
