@@ -75,12 +75,25 @@ def q_drift_sensor_propagate(spark, sf_dir):
     return _round_doubles(drift.ks_drift_report(train, test, cols, nan_policy="propagate"))
 
 
+def q_drift_verdict(spark, sf_dir):
+    """V6: one row, ``no_drift`` only when no column drifted."""
+    base, cur = fx.lineitem_periods(spark, sf_dir)
+    return drift.drift_verdict(drift.ks_drift_report(base, cur, fx.SENSOR_MEASURES))
+
+
 # -- P2-P6 cleaning ------------------------------------------------------------
 def q_sensor_clean(spark, sf_dir):
     df = sensor_clean_frame(spark, sf_dir)
     return clean.with_label_code(df, "class")
 
 
+def q_decoded_predictions(spark, sf_dir):
+    """P7/P10: a 0/1 prediction decoded to ``neg``/``pos`` as the first column,
+    followed by the feature columns."""
+    lab = fx.table(spark, sf_dir, "labels").withColumn("prediction", F.lit(1) - F.col("quality"))
+    return clean.prepend_prediction(lab, "prediction", ["doc_id", "quality", "toxic"])
+
+
 # -- V1-V4 schema checks -------------------------------------------------------
 def q_schema_violations(spark, sf_dir):
     raw = fx.sensor_raw(spark, sf_dir)
@@ -207,7 +220,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_events": q_drift_events,
     "drift_shifted": q_drift_shifted,
     "drift_sensor_propagate": q_drift_sensor_propagate,
+    "drift_verdict": q_drift_verdict,
     "sensor_clean": q_sensor_clean,
+    "decoded_predictions": q_decoded_predictions,
     "schema_violations": q_schema_violations,
     "downsample_sensor": q_downsample_sensor,
     "split_sensor": q_split_sensor,

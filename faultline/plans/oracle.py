@@ -393,12 +393,26 @@ SELECT {", ".join(f"ROUNDX(trained_{m}, {D}) AS trained_{m}" for m in _CC_COLS)}
 FROM s
 """
 
+DRIFT_VERDICT = f"""
+SELECT coalesce(bool_and(NOT drift_status), true) AS no_drift,
+       CAST(count(*) FILTER (WHERE drift_status) AS BIGINT) AS n_drifted,
+       CAST(count(*) AS BIGINT) AS n_columns
+FROM ({DRIFT_LINEITEM})
+"""
+
+DECODED_PREDICTIONS = """
+SELECT CASE WHEN 1 - quality = 0 THEN 'neg' WHEN 1 - quality = 1 THEN 'pos' END AS class, doc_id, quality, toxic
+FROM labels
+"""
+
 _RAW_ORACLE: dict[str, str] = {
     "drift_lineitem": DRIFT_LINEITEM,
     "drift_events": DRIFT_EVENTS,
     "drift_shifted": DRIFT_SHIFTED,
     "drift_sensor_propagate": DRIFT_SENSOR_PROPAGATE,
+    "drift_verdict": DRIFT_VERDICT,
     "sensor_clean": SENSOR_CLEAN_Q,
+    "decoded_predictions": DECODED_PREDICTIONS,
     "schema_violations": SCHEMA_VIOLATIONS,
     "downsample_sensor": DOWNSAMPLE_SENSOR,
     "split_sensor": SPLIT_SENSOR,
