@@ -51,3 +51,17 @@ class Preprocessor:
         imputed = imp.transform(df.select(key, *features))
         sc = self.scaler.fit(imputed, features)
         return PreprocessorModel(imp, sc, list(features))
+
+
+@dataclass
+class SensorModel:
+    """A fitted preprocessor and classifier used as one object: ``predict``
+    transforms once, then predicts (0/1 in ``prediction``)."""
+
+    preprocessor: PreprocessorModel
+    model: object  # pyspark.ml.PipelineModel
+
+    def predict(self, df: DataFrame, key: str, out: str = "prediction") -> DataFrame:
+        from faultline.operators.training import predict
+
+        return predict(self.model, self.preprocessor.transform(df, key), out)

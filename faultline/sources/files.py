@@ -67,3 +67,12 @@ def snapshot(df: DataFrame, path: str) -> DataFrame:
     what later stages use, so they never recompute the source)."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def write_feature_table(df: DataFrame, path: str, features: list[str], label: str = "label", keys: list[str] = ()) -> None:
+    """The dense feature matrix as a named table: keys, features, label last."""
+    df.select(*keys, *features, label).write.mode("overwrite").parquet(path)
+
+
+def read_feature_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

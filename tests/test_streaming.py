@@ -35,3 +35,19 @@ def test_stream_scores_new_files(spark, tmp_uri):
     assert out.count() == 40
     assert out.columns[0] == "class"
     assert {r["class"] for r in out.select("class").distinct().collect()} <= {"pos", "neg"}
+
+
+def test_sensor_model_and_feature_table(spark, tmp_uri):
+    from faultline.operators.preprocess import SensorModel
+    from faultline.sources import files
+
+    vm = fx.vec_missing(spark, SF_CHECK).withColumn("label", F.when(F.col("class") == "pos", 1).otherwise(0))
+    prep = Preprocessor().fit(vm, "vec_id", fx.VEC_FEATURES)
+    train = prep.transform(vm.select("vec_id", "label", *fx.VEC_FEATURES), "vec_id")
+    files.write_feature_table(train, f"{tmp_uri}/ft", fx.VEC_FEATURES, "label", ["vec_id"])
+    table = files.read_feature_table(spark, f"{tmp_uri}/ft")
+    assert table.columns == ["vec_id", *fx.VEC_FEATURES, "label"] and table.count() == vm.count()
+    model = training.fit_gbt(table, fx.VEC_FEATURES, "label", {"learning_rate": 0.3, "max_depth": 3, "n_estimators": 5})
+    pred = SensorModel(prep, model).predict(vm.select("vec_id", *fx.VEC_FEATURES), "vec_id")
+    assert pred.count() == vm.count()
+    assert {r["prediction"] for r in pred.select("prediction").distinct().collect()} <= {0, 1}
