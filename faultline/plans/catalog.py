@@ -59,7 +59,7 @@ def q_drift_events(spark, sf_dir):
 def q_drift_shifted(spark, sf_dir):
     """Hash-halved lineitem with 0.01 added to ``l_discount`` on one half:
     exactly that column must drift."""
-    li = fx.table(spark, sf_dir, "lineitem")
+    li = fx.table(spark, sf_dir, "lineitem", spread=True)
     half = F.substring(F.md5(F.concat_ws(":", F.lit("half"), *[F.col(k).cast("string") for k in fx.SENSOR_KEYS])), 1, 1)
     in_cur = half.isin(*"01234567")
     base = li.filter(~in_cur)

@@ -25,26 +25,27 @@ VEC_SPEC = ColumnSpec(features=tuple(VEC_FEATURES), label="class", keys=("vec_id
 # -------------------------------------------------------------------------------
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Scan one of the driver's tables.
 
-    A file written as one row group scans as a single task; when the scan has
-    fewer splits than the cluster has cores, rows are spread round-robin so
-    the row-wise work before the first shuffle (hashing, casts, unpivots)
-    runs on every core.  Large inputs already have enough splits and are
-    left untouched.
+    ``spread``: for views that hash every row.  A file written as one row
+    group scans as a single task; when the scan has fewer splits than the
+    cluster has cores, its rows are spread round-robin so the per-row hashing
+    runs on every core.  Large inputs already have enough splits and are left
+    untouched, and light per-row work is cheaper without the extra exchange.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
     return df
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as a raw sensor file: keys, text ``class``, measures as text
     with ``"na"`` where ``md5('na:<column>:<key>')`` starts with ``0``."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     key = [F.col(k).cast("string") for k in SENSOR_KEYS]
 
     def masked(c: str):
