@@ -6,6 +6,6 @@ driver except bounded summaries (per-column statistics, per-class counts).
 """
 
 from faultline.session import checkpoint_dir, get_session
-from faultline.spec import APS_SPEC, ColumnSpec
+from faultline.spec import TRUCK_SPEC, ColumnSpec
 
-__all__ = ["APS_SPEC", "ColumnSpec", "checkpoint_dir", "get_session"]
+__all__ = ["TRUCK_SPEC", "ColumnSpec", "checkpoint_dir", "get_session"]

@@ -4,7 +4,7 @@
     python -m faultline train --source COLLECTION --work DIR --registry DIR
     python -m faultline score --input CSV_DIR --registry DIR --out DIR
 
-The APS column layout is the default spec.  Paths are URIs; the Spark master
+The truck-sensor column layout is the default spec.  Paths are URIs; the Spark master
 comes from spark-submit (or ``--master`` for local runs).
 """
 
@@ -16,7 +16,7 @@ import json
 from faultline.operators import training
 from faultline.plans import jobs
 from faultline.session import get_session
-from faultline.spec import APS_SPEC
+from faultline.spec import TRUCK_SPEC
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -48,13 +48,13 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"rows_loaded": n}))
     elif args.cmd == "train":
         res = jobs.run_training(
-            spark, args.source, APS_SPEC, args.work, args.registry,
+            spark, args.source, TRUCK_SPEC, args.work, args.registry,
             grid=training.REFERENCE_GRID if args.reference_grid else None,
             resample_test=args.resample_test, nan_policy=args.nan_policy,
         )
         print(json.dumps({"run_dir": res.run_dir, "no_drift": res.no_drift, "accepted": res.accepted, "version": res.version}))
     else:
-        out = jobs.run_scoring(spark, args.input, APS_SPEC, args.registry, args.out)
+        out = jobs.run_scoring(spark, args.input, TRUCK_SPEC, args.registry, args.out)
         print(json.dumps({"rows_scored": out.count()}))
     return 0
 

@@ -10,10 +10,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-# --- Fixed values: the APS truck-sensor layout (label column, 163 numeric
+# --- Fixed values: the truck-sensor layout (label column, 163 numeric
 # features in file order, 7 columns dropped at ingestion). ---------------------
-APS_LABEL = "class"
-APS_FEATURES = """
+TRUCK_LABEL = "class"
+TRUCK_FEATURES = """
 aa_000 ac_000 ad_000 ae_000 af_000 ag_000 ag_001 ag_002 ag_003 ag_004 ag_005 ag_006 ag_007
 ag_008 ag_009 ah_000 ai_000 aj_000 ak_000 al_000 am_0 an_000 ao_000 ap_000 aq_000 ar_000
 as_000 at_000 au_000 av_000 ax_000 ay_000 ay_001 ay_002 ay_003 ay_004 ay_005 ay_006 ay_007
@@ -28,7 +28,7 @@ di_000 dj_000 dk_000 dl_000 dm_000 dn_000 do_000 dp_000 dq_000 dr_000 ds_000 dt_
 dv_000 dx_000 dy_000 dz_000 ea_000 eb_000 ec_00 ed_000 ee_000 ee_001 ee_002 ee_003 ee_004
 ee_005 ee_006 ee_007 ee_008 ee_009 ef_000 eg_000
 """.split()
-APS_DROP = "br_000 bq_000 bp_000 ab_000 cr_000 bo_000 bn_000".split()
+TRUCK_DROP = "br_000 bq_000 bp_000 ab_000 cr_000 bo_000 bn_000".split()
 # Label values and their integer codes.
 NEGATIVE, POSITIVE = "neg", "pos"
 LABEL_CODES = {NEGATIVE: 0, POSITIVE: 1}
@@ -48,7 +48,7 @@ class ColumnSpec:
     """
 
     features: tuple[str, ...]
-    label: str = APS_LABEL
+    label: str = TRUCK_LABEL
     drop: tuple[str, ...] = ()
     keys: tuple[str, ...] = ()
     extra: tuple[str, ...] = field(default=())
@@ -75,4 +75,4 @@ class ColumnSpec:
         return ColumnSpec(self.features, self.label, self.drop, tuple(keys), self.extra)
 
 
-APS_SPEC = ColumnSpec(features=tuple(APS_FEATURES), label=APS_LABEL, drop=tuple(APS_DROP))
+TRUCK_SPEC = ColumnSpec(features=tuple(TRUCK_FEATURES), label=TRUCK_LABEL, drop=tuple(TRUCK_DROP))

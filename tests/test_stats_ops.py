@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.stats import kolmogorov_sf
 from faultline.operators import clean, drift, metrics, sampling, scaling, validation
-from faultline.spec import APS_SPEC, ColumnSpec
+from faultline.spec import TRUCK_SPEC, ColumnSpec
 
 
 def test_kolmogorov_sf_known_value(spark):
@@ -134,8 +134,8 @@ def test_strict_drop_raises(spark):
     assert clean.drop_lenient(df, ["b"]).columns == ["a"]
 
 
-def test_aps_spec_shape():
-    assert len(APS_SPEC.features) == 163 and len(APS_SPEC.columns) == 164 and len(APS_SPEC.drop) == 7
+def test_truck_spec_shape():
+    assert len(TRUCK_SPEC.features) == 163 and len(TRUCK_SPEC.columns) == 164 and len(TRUCK_SPEC.drop) == 7
 
 
 def test_ks_single_row_sides_do_not_fail(spark):
