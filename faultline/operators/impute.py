@@ -70,7 +70,7 @@ class KNNImputerModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str, features: Sequence[str]) -> "KNNImputerModel":
         meta = spark.read.parquet(f"{path}/meta").first()
-        means = {r["column"]: r["mean"] for r in spark.read.parquet(f"{path}/means").collect()}
+        means = {r["column"]: r["mean"] for r in spark.read.parquet(f"{path}/means").collect()}  # per column
         donors = spark.read.parquet(f"{path}/donors")
         return cls(donors, meta["key"], list(features), means, meta["k"])
 

@@ -85,7 +85,7 @@ def smote_balance(
 ) -> DataFrame:
     """Original rows plus synthetic rows for the smallest class (the
     ``sampling_strategy="minority"`` setting), all with ``row_id``."""
-    counts = {r[label_col]: r["n"] for r in df.groupBy(label_col).agg(F.count("*").alias("n")).collect()}
+    counts = {r[label_col]: r["n"] for r in df.groupBy(label_col).agg(F.count("*").alias("n")).collect()}  # per class
     minority = min(counts, key=lambda c: (counts[c], c))
     n_target = max(counts.values())
     synth = smote(df, label_col, features, minority, n_target, k, seed, block_rows)

@@ -84,6 +84,6 @@ class ValidationError(Exception):
 
 def assert_valid(violations_df: DataFrame) -> None:
     """Raise once with every violation message (bounded: one row per column at most)."""
-    rows = violations_df.collect()
+    rows = violations_df.collect()  # bounded: a few checks per column and frame
     if rows:
         raise ValidationError("\n".join(f"{r['frame']}: {r['check']}: {r['detail']}" for r in rows))
