@@ -34,18 +34,35 @@ REPORT_COLUMNS = [
 ]
 
 
-def long_form(df: DataFrame, cols: Sequence[str], value_type: str = "double", side: int | None = None) -> DataFrame:
+def _cell(c: str, kind: str):
+    """A cell as a comparable value: double, string, or for mixed tables a
+    ``struct<n: double, s: string>`` with one field set (structs order field
+    by field, so values of one column keep their own order)."""
+    num = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))  # NaN is missing
+    txt = F.col(c).cast("string")
+    if kind == "double":
+        return num
+    if kind == "string":
+        return txt
+    is_num = kind == "mixed:double"
+    v = num if is_num else txt
+    packed = F.struct(
+        (num if is_num else F.lit(None).cast("double")).alias("n"),
+        (F.lit(None).cast("string") if is_num else txt).alias("s"),
+    )
+    return F.when(v.isNotNull(), packed)
+
+
+def long_form(
+    df: DataFrame, cols: Sequence[str], value_type: str = "double", side: int | None = None,
+    kinds: Sequence[str] | None = None,
+) -> DataFrame:
     """``(col_idx int, value)`` rows, one per cell.  Columns travel as their
     position, not their name: a fixed-width int key keeps the shuffle of
     (column, value) pairs small and cheap to hash; names are joined back
     from a one-row-per-column table at the end."""
-    def cell(c: str):
-        v = F.col(c).cast(value_type)
-        if value_type == "double":
-            # NaN is a missing reading, never a value (Spark sorts NaN last).
-            v = F.nanvl(v, F.lit(None).cast("double"))
-        return v
-    projected = df.select(*[cell(c).alias(str(i)) for i, c in enumerate(cols)])
+    kinds = list(kinds) if kinds is not None else [value_type] * len(cols)
+    projected = df.select(*[_cell(c, k).alias(str(i)) for i, (c, k) in enumerate(zip(cols, kinds))])
     out = projected.unpivot([], [str(i) for i in range(len(cols))], "_fl_col", "value")
     out = out.select(F.col("_fl_col").cast("int").alias("col_idx"), "value")
     return out if side is None else out.withColumn("_side", F.lit(side))
@@ -56,8 +73,8 @@ def column_names(spark, cols: Sequence[str]) -> DataFrame:
     return F.broadcast(spark.createDataFrame(list(enumerate(cols)), "col_idx int, column string"))
 
 
-def _ks_for_type(base: DataFrame, current: DataFrame, cols: Sequence[str], value_type: str) -> DataFrame:
-    stacked = long_form(base, cols, value_type, 0).unionByName(long_form(current, cols, value_type, 1))
+def _ks_chain(base: DataFrame, current: DataFrame, cols: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    stacked = long_form(base, cols, side=0, kinds=kinds).unionByName(long_form(current, cols, side=1, kinds=kinds))
     counts = stacked.groupBy("col_idx", "value").agg(
         F.count_if(F.col("_side") == 0).alias("c1"),
         F.count_if(F.col("_side") == 1).alias("c2"),
@@ -100,7 +117,8 @@ def ks_drift_report(
     """Per-column KS drift report of ``current`` against ``base``.
 
     Columns: ``column, n_base, n_current, null_base, null_current,
-    d_statistic, p_value, drift_status``.  ``drift_status`` is
+    d_statistic, p_value, drift_status``.  All columns share one plan, mixed
+    numeric and text columns included.  ``drift_status`` is
     ``p_value < threshold`` (false when the p-value is undefined).
 
     ``nan_policy="omit"`` tests the non-missing values.  ``"propagate"``
@@ -118,12 +136,12 @@ def ks_drift_report(
     btypes = {f.name: f.dataType for f in base.schema.fields}
     numeric = [c for c in cols if isinstance(btypes[c], NUMERIC_TYPES)]
     textual = [c for c in cols if c not in set(numeric)]
-    parts = []
-    if numeric:
-        parts.append(_ks_for_type(base, current, numeric, "double"))
-    if textual:
-        parts.append(_ks_for_type(base, current, textual, "string"))
-    report = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if numeric and textual:
+        # One chain for all columns: one count shuffle, one range exchange.
+        kinds = ["mixed:double" if c in set(numeric) else "mixed:string" for c in cols]
+    else:
+        kinds = ["double" if numeric else "string"] * len(cols)
+    report = _ks_chain(base, current, cols, kinds)
     d = F.col("d_statistic")
     if nan_policy == "propagate":
         d = F.when((F.col("null_base") + F.col("null_current")) == 0, d)
