@@ -19,7 +19,7 @@ SENSOR_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 SENSOR_SPEC = ColumnSpec(features=tuple(SENSOR_MEASURES), label="class", keys=tuple(SENSOR_KEYS))
 DRIFT_CUTOFF = "1998-06-01"
 EVENTS_CUTOFF = "2024-01-16"
-VEC_DIMS = 8
+VEC_DIMS = 64  # the whole embedding vector
 VEC_FEATURES = [f"f{i}" for i in range(1, VEC_DIMS + 1)]
 VEC_SPEC = ColumnSpec(features=tuple(VEC_FEATURES), label="class", keys=("vec_id",))
 # -------------------------------------------------------------------------------
@@ -69,7 +69,7 @@ def events_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def vec_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First eight embedding dimensions as doubles; ``pos`` when label = 0."""
+    """Every embedding dimension as a double column; ``pos`` when label = 0."""
     emb = table(spark, sf_dir, "embeddings")
     feats = [F.element_at("embedding", i).cast("double").alias(f"f{i}") for i in range(1, VEC_DIMS + 1)]
     label = F.when(F.col("label") == 0, "pos").otherwise("neg")

@@ -114,3 +114,28 @@ def test_pruned_knn_equals_brute_force_on_skewed_clusters(spark):
     for i in range(len(x)):
         for rank, j in enumerate(np.lexsort((np.arange(len(x)), d[i]))[:4], start=1):
             assert got[(i, rank)] == j
+
+
+def test_pruned_knn_string_keys_with_unvisited_cells(spark):
+    """Two far-apart clusters, queries only in one: cells of the other are
+    never visited, so some cogroup cells have base rows and no query rows.
+    Their empty results must still carry string keys."""
+    from faultline.operators.neighbors import knn_join_pruned
+
+    rng = np.random.default_rng(5)
+    near = rng.normal(size=(120, 3))
+    far = rng.normal(size=(120, 3)) + 1000.0
+    base = np.vstack([near, far])
+    feats = [f"f{j}" for j in range(3)]
+    rows = [(f"b{i}", *map(float, r)) for i, r in enumerate(base)]
+    bdf = spark.createDataFrame(rows, "k string, " + ", ".join(f"{c} double" for c in feats))
+    qdf = bdf.filter(F.col("f0") < 500)
+    got = knn_join_pruned(qdf, bdf, "k", feats, 2, exclude_self=True, block_rows=16, max_pivots=8).collect()
+    got = {(r["q_key"], r["nn_rank"]): r["b_key"] for r in got}
+    d = np.sqrt(((near[:, None, :] - base[None, :, :]) ** 2).sum(-1))
+    for i in range(near.shape[0]):
+        d[i, i] = np.inf
+        keys = np.array([f"b{j}" for j in range(base.shape[0])])
+        order = np.lexsort((keys, d[i]))[:2]
+        for rank, j in enumerate(order, start=1):
+            assert got[(f"b{i}", rank)] == f"b{j}"
