@@ -84,6 +84,22 @@ def running_totals(
     )
 
 
+# Above this many groups the per-group tables of ``hash_rank_cut`` are joined
+# with a shuffle instead of being broadcast.
+MAX_BROADCAST_GROUPS = 100_000
+
+
+def _bounded_quota(quota: DataFrame) -> tuple[DataFrame, bool]:
+    """Fetch at most ``MAX_BROADCAST_GROUPS + 1`` quota rows.  Within the
+    bound the quota becomes a local table (its size is then known, and the
+    aggregate behind it is not recomputed); beyond it the DataFrame is kept
+    and nothing per-group is broadcast."""
+    rows = quota.limit(MAX_BROADCAST_GROUPS + 1).collect()  # bounded by the limit
+    if len(rows) > MAX_BROADCAST_GROUPS:
+        return quota, False
+    return quota.sparkSession.createDataFrame(rows, quota.schema), True
+
+
 def hash_rank_cut(
     df: DataFrame,
     group_col: str,
@@ -110,14 +126,17 @@ def hash_rank_cut(
     hist = tagged.groupBy(group_col, b).agg(F.count("*").alias("_fl_nb"))
     w = Window.partitionBy(group_col).orderBy(b).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = hist.withColumn("_fl_ci", F.sum("_fl_nb").over(w)).withColumn("_fl_cb", F.col("_fl_ci") - F.col("_fl_nb"))
+    quota, small = _bounded_quota(quota.select(group_col, "_fl_k"))
+    hint = F.broadcast if small else (lambda d: d)
     q = quota.select(F.col(group_col).alias("_fl_g"), F.col("_fl_k").cast("long").alias("_fl_k"))
     cut = cum.join(q, cum[group_col].eqNullSafe(q["_fl_g"])).filter(
         (F.col("_fl_cb") < F.col("_fl_k")) & (F.col("_fl_k") <= F.col("_fl_ci"))
     ).select(F.col(group_col).alias("_fl_g2"), F.col(b).alias("_fl_bstar"), (F.col("_fl_k") - F.col("_fl_cb")).alias("_fl_need"))
-    # One row per group (classes): bounded, safe to broadcast.
-    plan = q.join(F.broadcast(cut), q["_fl_g"].eqNullSafe(cut["_fl_g2"]), "left").drop("_fl_g2")
+    # At most one row per quota group; broadcast only when that count is
+    # within MAX_BROADCAST_GROUPS (checked above).
+    plan = q.join(hint(cut), q["_fl_g"].eqNullSafe(cut["_fl_g2"]), "left").drop("_fl_g2")
     # Left join: rows of a group absent from ``quota`` are kept, never selected.
-    t = tagged.join(F.broadcast(plan), tagged[group_col].eqNullSafe(plan["_fl_g"]), "left").drop("_fl_g")
+    t = tagged.join(hint(plan), tagged[group_col].eqNullSafe(plan["_fl_g"]), "left").drop("_fl_g")
     on_edge = F.col(b) == F.col("_fl_bstar")
     clear = t.filter(~on_edge | F.col("_fl_bstar").isNull()).withColumn(
         out,

@@ -137,9 +137,13 @@ def q_robust_scaler_fit(spark, sf_dir):
 
 
 def q_robust_scale(spark, sf_dir):
-    model = scaling.RobustScalerModel.from_params(_scaler_fit(spark, sf_dir), order=fx.SENSOR_MEASURES)
-    df = sensor_clean_frame(spark, sf_dir).select(*fx.SENSOR_KEYS, *fx.SENSOR_MEASURES)
-    return _round_doubles(model.transform(df))
+    """Fit on the training rows, then scale every row.  The written split
+    holds all rows, so it is read for both instead of recomputing the view."""
+    split = sensor_split_frame(spark, sf_dir)
+    train, _ = sampling.train_test_frames(split)
+    params = scaling.robust_scaler_params(train, fx.SENSOR_MEASURES)
+    model = scaling.RobustScalerModel.from_params(params, order=fx.SENSOR_MEASURES)
+    return _round_doubles(model.transform(split.select(*fx.SENSOR_KEYS, *fx.SENSOR_MEASURES)))
 
 
 # -- F1 nearest-neighbour imputation -------------------------------------------

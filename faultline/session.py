@@ -30,6 +30,11 @@ def get_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Sensor tables are wide (163 features in the reference).  Constraint
+        # propagation rewrites every inferred predicate once per aliased
+        # column, which grows without bound on the driver for such plans;
+        # filters are still pushed down without it.
+        "spark.sql.constraintPropagation.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -89,6 +94,12 @@ def ship_package(spark: SparkSession) -> None:
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    submitted = sc.getConf().get("spark.submit.pyFiles", "") or ""
+    if any(os.path.basename(f).startswith("faultline") for f in submitted.split(",") if f):
+        _SHIPPED.add(app)  # already on every executor via --py-files
+        return
+    # The zip is only a file the driver uploads (as spark-submit does with
+    # --py-files); no job reads or writes this folder.
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="faultline-pkg-"), "faultline.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:

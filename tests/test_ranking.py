@@ -51,3 +51,22 @@ def test_hash_rank_cut_keeps_groups_without_quota(spark):
     assert len(out) == 25
     assert sum(r["_fl_in"] for r in out if r["c"] == "a") == 7
     assert not any(r["_fl_in"] for r in out if r["c"] == "z")
+
+
+def test_hash_rank_cut_many_groups_uses_shuffle_joins(spark, monkeypatch):
+    """Beyond MAX_BROADCAST_GROUPS the per-group tables are not broadcast;
+    the result is the same exact cut."""
+    from faultline.operators import ranking
+
+    rows = [(f"g{i % 40}", i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "c string, k long").withColumn("h", F.md5(F.col("k").cast("string")))
+    quota = spark.createDataFrame([(f"g{j}", j * 2) for j in range(40)], "c string, _fl_k long")
+    monkeypatch.setattr(ranking, "MAX_BROADCAST_GROUPS", 10)
+    out = hash_rank_cut(df, "c", "h", ["k"], quota, prefix_digits=2)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
+    got = {r["k"] for r in out.filter("_fl_in").collect()}
+    w = Window.partitionBy("c").orderBy("h", "k")
+    ranked = df.withColumn("rn", F.row_number().over(w)).join(quota, "c")
+    want = {r["k"] for r in ranked.filter(F.col("rn") <= F.col("_fl_k")).collect()}
+    assert got == want
