@@ -21,10 +21,10 @@ from faultline.session import cut_lineage
 
 
 def _any_null(features: Sequence[str]):
-    """One predicate over the feature array.  A chain of ``OR``s over a wide
-    table (163 features in the reference) makes the optimizer's constraint
-    propagation grow without bound on the driver."""
-    return F.exists(F.array(*[F.col(c).cast("double") for c in features]), lambda v: v.isNull())
+    cond = F.lit(False)
+    for c in features:
+        cond = cond | F.col(c).isNull()
+    return cond
 
 
 @dataclass
