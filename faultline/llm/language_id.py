@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faultline.llm.common import fresh_name
 from faultline.llm.packing import slices
 from faultline.session import ship_package
 
@@ -247,8 +248,16 @@ def _built(key: str, samples: dict[str, list[str]]) -> Model:
     return _BUILT[key]
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """id, ``lang_pred``, ``score``; with ``carry`` all columns of ``docs`` instead of the id."""
+def predict(
+    docs: DataFrame,
+    model: Model,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
+    out_cols: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """id, ``lang_pred``, ``score``; with ``carry`` all columns of ``docs`` instead of the id
+    (``out_cols`` must then be new names)."""
     import uuid
 
     spark = docs.sparkSession
@@ -257,7 +266,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     key = uuid.uuid4().hex
     names = docs.columns if carry else [id_col]
     schema = T.StructType([docs.schema[c] for c in names])
-    schema = schema.add("lang_pred", T.StringType()).add("score", T.DoubleType())
+    schema = schema.add(out_cols[0], T.StringType()).add(out_cols[1], T.DoubleType())
     text_at = names.index(text_col) if carry else len(names)
     sent = docs.select(*[docs[c] for c in names], *([] if carry else [docs[text_col].alias("_text")]))
 
@@ -271,3 +280,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 )
 
     return sent.mapInArrow(run, schema)
+
+
+def keep_determined(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is determined, with the columns of ``docs``."""
+    names = [fresh_name(c, docs.columns) for c in ("lang_pred", "score")]
+    judged = predict(docs, model, id_col, text_col, carry=True, out_cols=tuple(names))
+    return judged.filter(F.col(names[0]) != UNDETERMINED).drop(*names)

@@ -62,3 +62,17 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 WHERE rank <= 20
 """
+
+ORACLE["op6_sharding"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes,
+         ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+  FROM documents),
+e AS (SELECT d.*, depth::INT AS depth, h >> (60 - depth) AS prefix FROM d, range(0, 61) r(depth)),
+b AS (SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes FROM e GROUP BY depth, prefix),
+f AS (SELECT e.doc_id, e.n_bytes, e.depth, e.prefix, b.shard_bytes,
+             row_number() OVER (PARTITION BY e.doc_id ORDER BY e.depth) AS k
+      FROM e JOIN b ON e.depth = b.depth AND e.prefix = b.prefix WHERE b.shard_bytes <= 1048576)
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth, '0') END AS shard, depth, shard_bytes
+FROM f WHERE k = 1
+"""

@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import exact_dedup, language_id, mixing, packing, topk, url_filter
+from faultline.llm import (
+    exact_dedup,
+    language_id,
+    lm_scoring,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    topk,
+    url_filter,
+)
 from faultline.llm.common import table
 
 TOKENIZER_DIR_PACKAGE = "public_tokenizers"
@@ -51,16 +62,43 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_join(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), **tokenizer_args())
     return packing.pack(pieces)
 
 
+SHARD_BYTES = 1 << 20
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, is_query=F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+def graded_labels(labels: DataFrame) -> DataFrame:
+    """Grades 0 (toxic), 1 (clean, low quality), 2 (clean, good) from the two flags."""
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    return labels.select("doc_id", grade.alias("grade"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, graded_labels(table(spark, sf_dir, "labels")), n_grades=3)
+    return quality.score(docs, model, keep_from=2)
+
+
 def held_out(doc_id) -> "F.Column":
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
@@ -76,7 +114,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_mixing": op3_mixing,
+    "op4_ngram_join": op4_ngram_join,
     "op5_packing": op5_packing,
+    "op6_sharding": op6_sharding,
     "op7_topk": op7_topk,
+    "op8_lm_scoring": op8_lm_scoring,
+    "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
 }
