@@ -3,7 +3,7 @@
 Each missing value becomes the mean of that column over the ``k`` nearest
 training rows that have it (NaN-aware Euclidean distance, uniform weights,
 ties broken by key).  When no training row has a defined distance to the
-receiver, the column's training mean is used.  Complete rows pass through
+receiver, the column's training mean is used.  NaN counts as missing, like NULL.  Complete rows pass through
 untouched and are never shuffled.  Donors are always the fitted training rows
 with their original NULLs, also when scoring new data.
 """
@@ -21,10 +21,15 @@ from faultline.session import cut_lineage
 
 
 def _any_null(features: Sequence[str]):
-    cond = F.lit(False)
-    for c in features:
-        cond = cond | F.col(c).isNull()
-    return cond
+    """At least one feature is missing: one flat expression, whatever the width."""
+    return F.exists(F.array(*[F.col(c) for c in features]), lambda x: x.isNull())
+
+
+def _nan_to_null(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Features as doubles, NaN taken as missing like NULL."""
+    feats = set(features)
+    null = F.lit(None).cast("double")
+    return df.select(*[F.nanvl(F.col(c).cast("double"), null).alias(c) if c in feats else F.col(c) for c in df.columns])
 
 
 @dataclass
@@ -40,21 +45,26 @@ class KNNImputerModel:
         """Impute ``df``; ``key`` (default: the training key) must identify its rows."""
         feats = self.features
         key = key or self.key
+        df = _nan_to_null(df, feats)
         incomplete = _any_null(feats)
         complete_rows = df.filter(~incomplete)
         receivers = df.filter(incomplete)
         key_type = df.schema[key].dataType
         donors = self.donors.select(F.col(self.key).cast(key_type).alias(key), *feats)
         cand = knn_impute_candidates(receivers, donors, key, feats, self.k, self.block_rows)
-        filled = cand.groupBy("q_key").pivot("column", feats).agg(F.avg("value"))
-        filled = filled.select(F.col("q_key").alias(key), *[F.col(c).alias(f"_fl_imp_{c}") for c in feats])
-        joined = receivers.join(filled, key, "left")
-        out_cols = []
-        for c in df.columns:
-            if c in self.means:
-                out_cols.append(F.coalesce(F.col(c), F.col(f"_fl_imp_{c}"), F.lit(self.means[c])).alias(c))
-            else:
-                out_cols.append(F.col(c))
+        # One map column -> value per receiver, not one column per feature: the plan
+        # stays as small for 163 features as for 4.
+        means = cand.groupBy("q_key", "column").agg(F.avg("value").alias("value"))
+        filled = means.groupBy(F.col("q_key").alias("_fl_key")).agg(
+            F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("_fl_imp")  # at most one entry per feature
+        )
+        joined = receivers.join(filled, receivers[key] == filled["_fl_key"], "left")
+        out_cols = [
+            F.coalesce(F.col(c), F.try_element_at("_fl_imp", F.lit(c)), F.lit(self.means[c])).alias(c)
+            if c in self.means
+            else F.col(c)
+            for c in df.columns
+        ]
         return complete_rows.unionByName(joined.select(*out_cols))
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -83,7 +93,7 @@ class KNNImputer:
     def fit(self, df: DataFrame, key: str, features: Sequence[str]) -> KNNImputerModel:
         feats = list(features)
         # The donor rows are the fitted state; written once, then read by every block.
-        donors = cut_lineage(df.select(key, *[F.col(c).cast("double").alias(c) for c in feats]))
+        donors = cut_lineage(_nan_to_null(df.select(key, *feats), feats))
         row = donors.agg(*[F.avg(c).alias(c) for c in feats]).first()  # one value per column
         empty = [c for c in feats if row[c] is None]
         if empty:

@@ -15,7 +15,8 @@ off, the ranged rows are checkpointed instead.
 
 ``hash_rank_cut`` answers "is this row among the first k of its class by
 ``md5(seed:key)``" exactly, using a histogram of hash prefixes (uniform, so
-no bucket can be hot) and ranking only the one boundary bucket per class.
+no bucket can be hot) and ranking only the one boundary bucket per class to
+find the class's cut point.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.session import cut_lineage, shuffle_partitions
+from faultline.session import cut_lineage, shared_table, shuffle_partitions
 
 _PID = "_fl_pid"
 
@@ -84,20 +85,35 @@ def running_totals(
     )
 
 
-# Above this many groups the per-group tables of ``hash_rank_cut`` are joined
-# with a shuffle instead of being broadcast.
-MAX_BROADCAST_GROUPS = 100_000
+# A boundary bucket of more rows than this is split by four more hash digits.
+EDGE_ROWS = 65_536
+PREFIX_DIGITS = 4
 
 
-def _bounded_quota(quota: DataFrame) -> tuple[DataFrame, bool]:
-    """Fetch at most ``MAX_BROADCAST_GROUPS + 1`` quota rows.  Within the
-    bound the quota becomes a local table (its size is then known, and the
-    aggregate behind it is not recomputed); beyond it the DataFrame is kept
-    and nothing per-group is broadcast."""
-    rows = quota.limit(MAX_BROADCAST_GROUPS + 1).collect()  # bounded by the limit
-    if len(rows) > MAX_BROADCAST_GROUPS:
-        return quota, False
-    return quota.sparkSession.createDataFrame(rows, quota.schema), True
+def hash_histogram(df: DataFrame, group_col: str, hash_col: str) -> DataFrame:
+    """Rows per class and hash prefix (``_fl_p``, ``_fl_nb``), written once.
+
+    It is the one pass that class counts and rank cuts both come from."""
+    prefix = F.substring(F.col(hash_col), 1, PREFIX_DIGITS).alias("_fl_p")
+    hist = df.select(F.col(group_col).alias("_fl_g"), prefix).groupBy("_fl_g", "_fl_p").agg(F.count("*").alias("_fl_nb"))
+    return shared_table(hist, "histogram")
+
+
+def histogram_counts(hist: DataFrame, group_col: str) -> DataFrame:
+    """Class sizes ``(group_col, n_class)`` from ``hash_histogram``."""
+    return hist.groupBy(F.col("_fl_g").alias(group_col)).agg(F.sum("_fl_nb").alias("n_class"))
+
+
+def _boundary(hist: DataFrame, quota: DataFrame) -> DataFrame:
+    """Per class the prefix in which its quota ends: ``_fl_g, _fl_p, _fl_need, _fl_nb``.
+    A class whose quota is 0 or reaches its size has no boundary."""
+    w = Window.partitionBy("_fl_g").orderBy("_fl_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = hist.withColumn("_fl_upto", F.sum("_fl_nb").over(w))
+    q = quota.withColumnRenamed("_fl_g", "_fl_q")
+    before = F.col("_fl_upto") - F.col("_fl_nb")
+    return cum.join(q, F.col("_fl_g").eqNullSafe(F.col("_fl_q"))).filter(
+        (before < F.col("_fl_k")) & (F.col("_fl_k") <= F.col("_fl_upto"))
+    ).select("_fl_g", "_fl_p", (F.col("_fl_k") - before).alias("_fl_need"), "_fl_nb")
 
 
 def hash_rank_cut(
@@ -107,43 +123,53 @@ def hash_rank_cut(
     tie_cols: Sequence[str],
     quota: DataFrame,
     out: str = "_fl_in",
-    prefix_digits: int = 4,
+    hist: DataFrame | None = None,
 ) -> DataFrame:
     """Flag rows whose rank within ``group_col`` by ``(hash_col, *tie_cols)``
     is at most the group's quota.
 
     ``hash_col`` must be a hex digest (uniform); ``quota`` has columns
     ``(group_col, _fl_k)`` with one row per group (a group without a row
-    gets quota 0).  Exact, deterministic and
-    free of per-group tasks: rows are counted per hash-prefix bucket
-    (``16**prefix_digits`` buckets, partial aggregation), the bucket where a
-    group's running count reaches its quota is found on that small histogram,
-    and only rows of that boundary bucket (about ``n / 16**prefix_digits``
-    per group) are ranked with a window.
+    gets quota 0).  Exact, deterministic and free of per-group tasks:
+
+    1. the histogram of hash prefixes (one pass) tells in which prefix each
+       group's quota ends;
+    2. a narrow pass (group, hash and tie columns) ranks only the rows of those
+       prefixes, which gives each group's last accepted row, its cut point.  A
+       prefix with more than ``EDGE_ROWS`` rows is first split by further
+       digits, so the ranked rows per group stay bounded;
+    3. the rows themselves are compared with their group's cut point in the
+       scan's own stage; they are not shuffled.
     """
-    b = "_fl_bucket"
-    tagged = df.withColumn(b, F.conv(F.substring(F.col(hash_col), 1, prefix_digits), 16, 10).cast("long"))
-    hist = tagged.groupBy(group_col, b).agg(F.count("*").alias("_fl_nb"))
-    w = Window.partitionBy(group_col).orderBy(b).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("_fl_ci", F.sum("_fl_nb").over(w)).withColumn("_fl_cb", F.col("_fl_ci") - F.col("_fl_nb"))
-    quota, small = _bounded_quota(quota.select(group_col, "_fl_k"))
-    hint = F.broadcast if small else (lambda d: d)
-    q = quota.select(F.col(group_col).alias("_fl_g"), F.col("_fl_k").cast("long").alias("_fl_k"))
-    cut = cum.join(q, cum[group_col].eqNullSafe(q["_fl_g"])).filter(
-        (F.col("_fl_cb") < F.col("_fl_k")) & (F.col("_fl_k") <= F.col("_fl_ci"))
-    ).select(F.col(group_col).alias("_fl_g2"), F.col(b).alias("_fl_bstar"), (F.col("_fl_k") - F.col("_fl_cb")).alias("_fl_need"))
-    # At most one row per quota group; broadcast only when that count is
-    # within MAX_BROADCAST_GROUPS (checked above).
-    plan = q.join(hint(cut), q["_fl_g"].eqNullSafe(cut["_fl_g2"]), "left").drop("_fl_g2")
-    # Left join: rows of a group absent from ``quota`` are kept, never selected.
-    t = tagged.join(hint(plan), tagged[group_col].eqNullSafe(plan["_fl_g"]), "left").drop("_fl_g")
-    on_edge = F.col(b) == F.col("_fl_bstar")
-    clear = t.filter(~on_edge | F.col("_fl_bstar").isNull()).withColumn(
-        out,
-        F.when(F.col("_fl_bstar").isNotNull(), F.col(b) < F.col("_fl_bstar")).otherwise(
-            F.coalesce(F.col("_fl_k"), F.lit(0)) > 0
-        ),
+    hist = hash_histogram(df, group_col, hash_col) if hist is None else hist
+    quota = shared_table(
+        quota.select(F.col(group_col).alias("_fl_g"), F.col("_fl_k").cast("long").alias("_fl_k")), "quota"
+    )
+    key = df.select(
+        F.col(group_col).alias("_fl_kg"), F.col(hash_col).alias("_fl_kh"),
+        F.struct(F.col(hash_col).alias("h"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(tie_cols)]).alias("_fl_row"),
+    )
+    digits = PREFIX_DIGITS
+    edge = shared_table(_boundary(hist, quota), "boundary")
+
+    def inside(edge: DataFrame, digits: int) -> DataFrame:
+        e = edge.select("_fl_g", F.col("_fl_p").alias("_fl_at"), "_fl_need")
+        on = F.col("_fl_kg").eqNullSafe(F.col("_fl_g")) & (F.substring("_fl_kh", 1, digits) == F.col("_fl_at"))
+        return key.join(e, on)
+
+    while (edge.agg(F.max("_fl_nb")).first()[0] or 0) > EDGE_ROWS and digits < 32:
+        finer = F.substring("_fl_kh", 1, digits + PREFIX_DIGITS).alias("_fl_p")
+        hist = inside(edge, digits).groupBy("_fl_g", finer).agg(F.count("*").alias("_fl_nb"))
+        digits += PREFIX_DIGITS
+        edge = shared_table(_boundary(hist, edge.select("_fl_g", F.col("_fl_need").alias("_fl_k"))), "boundary")
+    w_edge = Window.partitionBy("_fl_kg").orderBy("_fl_row")
+    cut = (
+        inside(edge, digits).withColumn("_fl_r", F.row_number().over(w_edge)).filter("_fl_r <= _fl_need")
+        .groupBy("_fl_g").agg(F.max("_fl_row").alias("_fl_cut"))
     )
-    w_edge = Window.partitionBy(group_col).orderBy(F.col(hash_col), *[F.col(c) for c in tie_cols])
-    edge = t.filter(on_edge).withColumn(out, F.row_number().over(w_edge) <= F.col("_fl_need"))
-    return clear.unionByName(edge).drop(b, "_fl_k", "_fl_bstar", "_fl_need")
+    plan = quota.filter("_fl_k > 0").join(cut.withColumnRenamed("_fl_g", "_fl_g2"), F.col("_fl_g").eqNullSafe(F.col("_fl_g2")), "left")
+    plan = shared_table(plan.select("_fl_g", "_fl_cut", F.lit(True).alias("_fl_some")), "cuts")  # one row per group
+    t = df.join(plan, df[group_col].eqNullSafe(plan["_fl_g"]), "left")
+    row = F.struct(F.col(hash_col).alias("h"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(tie_cols)])
+    flag = F.when(F.col("_fl_some").isNull(), False).when(F.col("_fl_cut").isNull(), True).otherwise(row <= F.col("_fl_cut"))
+    return t.select(*[df[c] for c in df.columns], flag.alias(out))

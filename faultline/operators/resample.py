@@ -6,7 +6,8 @@ first ``n_new mod n_min`` rows in ``md5(seed:key)`` order (a balanced,
 seeded allocation; the reference draws rows at random without a seed).  A
 synthetic row ``j`` of row ``x`` interpolates towards one of ``x``'s ``k``
 nearest minority neighbours chosen by ``md5``: ``x + u * (nn - x)`` with
-``u`` a seeded uniform in [0, 1).
+``u`` a seeded uniform in [0, 1).  A minority class of ``k`` rows or fewer is an
+error: it cannot be balanced with ``k`` neighbours.
 
 Tomek links are mutual nearest neighbours with different labels; both rows
 of every link are removed.
@@ -52,9 +53,10 @@ def smote(
     n_new = n_target - n_min
     spark = df.sparkSession
     empty = spark.createDataFrame([], f"{ROW_ID} string, {label_col} string, " + ", ".join(f"{c} double" for c in feats))
-    if n_new <= 0 or n_min < 2:
+    if n_new <= 0:
         return empty
-    k_eff = min(k, n_min - 1)
+    if n_min <= k:
+        raise ValueError(f"class {minority!r} has {n_min} rows; {k} neighbours need at least {k + 1}")
     base, extra = divmod(n_new, n_min)
     quota = spark.createDataFrame([("m", extra)], "_fl_grp string, _fl_k long")
     counted = hash_rank_cut(
@@ -66,9 +68,9 @@ def smote(
     ).filter(F.col("_fl_n") > 0)
     draws = per_row.select(ROW_ID, *feats, F.explode(F.sequence(F.lit(1), F.col("_fl_n"))).alias("_fl_j"))
     draws = draws.withColumn(
-        "_fl_pick", (F.floor(seeded_uniform(seed, F.lit("nn"), F.col(ROW_ID), F.col("_fl_j")) * k_eff) + 1).cast("int")
+        "_fl_pick", (F.floor(seeded_uniform(seed, F.lit("nn"), F.col(ROW_ID), F.col("_fl_j")) * k) + 1).cast("int")
     ).withColumn("_fl_u", seeded_uniform(seed, F.lit("step"), F.col(ROW_ID), F.col("_fl_j")))
-    nn = knn_join_pruned(mino, mino, ROW_ID, feats, k_eff, exclude_self=True, block_rows=block_rows)
+    nn = knn_join_pruned(mino, mino, ROW_ID, feats, k, exclude_self=True, block_rows=block_rows)
     nn = nn.select(F.col("q_key").alias(ROW_ID), F.col("nn_rank").alias("_fl_pick"), F.col("b_key").alias("_fl_nb"))
     nbr = mino.select(F.col(ROW_ID).alias("_fl_nb"), *[F.col(c).alias(f"_fl_n_{c}") for c in feats])
     joined = draws.join(nn, [ROW_ID, "_fl_pick"]).join(nbr, "_fl_nb")
@@ -85,10 +87,11 @@ def smote_balance(
 ) -> DataFrame:
     """Original rows plus synthetic rows for the smallest class (the
     ``sampling_strategy="minority"`` setting), all with ``row_id``."""
-    counts = {r[label_col]: r["n"] for r in df.groupBy(label_col).agg(F.count("*").alias("n")).collect()}  # per class
-    minority = min(counts, key=lambda c: (counts[c], c))
-    n_target = max(counts.values())
-    synth = smote(df, label_col, features, minority, n_target, k, seed, block_rows)
+    counts = df.groupBy(label_col).agg(F.count("*").alias("n"))
+    row = counts.agg(F.min(F.struct("n", F.col(label_col).alias("c"))).alias("least"), F.max("n").alias("most")).first()
+    if row["most"] is None:
+        return df.select(ROW_ID, label_col, *features)
+    synth = smote(df, label_col, features, row["least"]["c"], row["most"], k, seed, block_rows)
     return df.select(ROW_ID, label_col, *features).unionByName(synth)
 
 

@@ -10,13 +10,13 @@ never shuffled; per-class counts are a tiny aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.hashing import seeded_md5
-from faultline.operators.ranking import hash_rank_cut
+from faultline.operators.ranking import hash_histogram, hash_rank_cut, histogram_counts
 from faultline.spec import NEGATIVE, POSITIVE
 
 _H = "_fl_h"
@@ -27,11 +27,21 @@ def class_counts(df: DataFrame, label_col: str) -> DataFrame:
 
 
 def take_first_by_hash(
-    df: DataFrame, label_col: str, keys: Sequence[str], seed: int, quota: DataFrame, out: str = "_fl_in"
+    df: DataFrame,
+    label_col: str,
+    keys: Sequence[str],
+    seed: int,
+    quota: Callable[[DataFrame], DataFrame],
+    out: str = "_fl_in",
 ) -> DataFrame:
-    """Flag the first ``quota._fl_k`` rows of each class in ``md5(seed:key)`` order."""
+    """Flag the first ``_fl_k`` rows of each class in ``md5(seed:key)`` order.
+
+    ``quota`` turns the class sizes ``(label_col, n_class)`` into ``(label_col,
+    _fl_k)``; sizes and cuts come from one histogram pass."""
     hashed = df.withColumn(_H, seeded_md5(seed, *keys))
-    return hash_rank_cut(hashed, label_col, _H, list(keys), quota, out=out).drop(_H)
+    hist = hash_histogram(hashed, label_col, _H)
+    quotas = quota(histogram_counts(hist, label_col))
+    return hash_rank_cut(hashed, label_col, _H, list(keys), quotas, out=out, hist=hist).drop(_H)
 
 
 def downsample(
@@ -55,11 +65,12 @@ def downsample(
         return df.filter(F.col(label_col).isin(keep_class, sample_class)).sampleBy(
             label_col, {keep_class: 1.0, sample_class: ratio}, seed
         )
-    kept = df.filter(F.col(label_col) == keep_class)
-    pool = df.filter(F.col(label_col) == sample_class)
-    n_take = pool.groupBy(label_col).agg(F.bround(F.lit(ratio) * F.count("*"), 0).cast("long").alias("_fl_k"))
-    sampled = take_first_by_hash(pool, label_col, keys, seed, n_take).filter(F.col("_fl_in")).drop("_fl_in")
-    return kept.unionByName(sampled)
+    def quota(counts: DataFrame) -> DataFrame:
+        n = F.when(F.col(label_col) == keep_class, F.col("n_class")).otherwise(F.bround(F.lit(ratio) * F.col("n_class"), 0))
+        return counts.select(label_col, n.cast("long").alias("_fl_k"))
+
+    pool = df.filter(F.col(label_col).isin(keep_class, sample_class))
+    return take_first_by_hash(pool, label_col, keys, seed, quota).filter(F.col("_fl_in")).drop("_fl_in")
 
 
 def shuffle_rows(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
@@ -81,26 +92,31 @@ def stratified_split(
     quota ``n - n_test`` is shared over classes by largest remainder of
     ``quota * n_class / n`` (ties to the smaller class name, where
     scikit-learn breaks them at random).  Within a class the lowest hash
-    ranks go to train.  Disjoint and complete by construction.
+    ranks go to train.  Disjoint and complete by construction.  A class with a
+    single row is an error, as in scikit-learn.
     """
-    counts = class_counts(df, label_col)
-    whole = Window.partitionBy(F.lit(0))
-    alloc = (
-        counts.withColumn("_n", F.sum("n_class").over(whole))
-        .withColumn("_n_train", F.col("_n") - F.ceil(F.lit(test_size) * F.col("_n")))
-        .withColumn("_cont", (F.col("_n_train") * F.col("n_class")) / F.col("_n"))
-        .withColumn("_fl", F.floor("_cont"))
-        .withColumn("_need", F.col("_n_train") - F.sum("_fl").over(whole))
-        .withColumn(
-            "_order",
-            F.row_number().over(whole.orderBy(F.desc(F.col("_cont") - F.col("_fl")), F.col(label_col))),
-        )
-        .select(
-            label_col,
-            (F.col("_fl") + F.when(F.col("_order") <= F.col("_need"), 1).otherwise(0)).cast("long").alias("_fl_k"),
+    def quota(counts: DataFrame) -> DataFrame:
+        least = counts.agg(F.min("n_class")).first()[0]
+        if least is not None and least < 2:
+            raise ValueError("a class with a single row cannot be split")
+        whole = Window.partitionBy(F.lit(0))  # one row per class
+        return (
+            counts.withColumn("_n", F.sum("n_class").over(whole))
+            .withColumn("_n_train", F.col("_n") - F.ceil(F.lit(test_size) * F.col("_n")))
+            .withColumn("_cont", (F.col("_n_train") * F.col("n_class")) / F.col("_n"))
+            .withColumn("_fl", F.floor("_cont"))
+            .withColumn("_need", F.col("_n_train") - F.sum("_fl").over(whole))
+            .withColumn(
+                "_order",
+                F.row_number().over(whole.orderBy(F.desc(F.col("_cont") - F.col("_fl")), F.col(label_col))),
+            )
+            .select(
+                label_col,
+                (F.col("_fl") + F.when(F.col("_order") <= F.col("_need"), 1).otherwise(0)).cast("long").alias("_fl_k"),
+            )
         )
-    )
-    tagged = take_first_by_hash(df, label_col, keys, seed, alloc)
+
+    tagged = take_first_by_hash(df, label_col, keys, seed, quota)
     return tagged.withColumn(out, F.when(F.col("_fl_in"), "train").otherwise("test")).drop("_fl_in")
 
 

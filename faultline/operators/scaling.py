@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from faultline.operators.drift import column_names, long_form
 from faultline.operators.ranking import running_totals
+from faultline.session import shared_table
 
 _EPS10 = 10 * 2.220446049250313e-16
 
@@ -31,7 +32,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """``(column, prob, value)`` for every column and probability (NULLs ignored)."""
     cols = list(columns)
     long = long_form(df, cols).filter(F.col("value").isNotNull())
-    counts = long.groupBy("col_idx", "value").agg(F.count("*").alias("w"))
+    # Counted once and written; the running totals and the column sizes both read it.
+    counts = shared_table(long.groupBy("col_idx", "value").agg(F.count("*").alias("w")), "value-counts")
     cum = running_totals(counts, ["col_idx"], ["value"], ["w"], groups_bounded=True)
     sizes = counts.groupBy("col_idx").agg(F.sum("w").alias("n"))
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.operators import clean, drift, evaluation, impute, metrics, resample, sampling, scaling, training, validation
-from faultline.session import cut_lineage
+from faultline.session import cut_lineage, shared_table
 from faultline.plans import fixtures as fx
 from faultline.spec import ColumnSpec
 
@@ -40,45 +40,41 @@ def sensor_clean_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sensor_split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The split is read by several branches; it is written once (checkpoint
     in the shared folder) as the training job writes its split tables."""
-    return cut_lineage(
+    return shared_table(
         sampling.stratified_split(sensor_clean_frame(spark, sf_dir), "class", fx.SENSOR_KEYS, 0.2, SPLIT_SEED)
     )
 
 
 # -- V5/V6 drift ---------------------------------------------------------------
 def q_drift_lineitem(spark, sf_dir):
-    base, cur = fx.lineitem_periods(spark, sf_dir)
-    return _round_doubles(drift.ks_drift_report(base, cur, fx.SENSOR_MEASURES))
+    return _round_doubles(drift.ks_drift_by_side(fx.lineitem_sides(spark, sf_dir), "late", fx.SENSOR_MEASURES))
 
 
 def q_drift_events(spark, sf_dir):
-    base, cur = fx.events_periods(spark, sf_dir)
-    return _round_doubles(drift.ks_drift_report(base, cur, ["value", "event_type"]))
+    return _round_doubles(drift.ks_drift_by_side(fx.events_sides(spark, sf_dir), "late", ["value", "event_type"]))
 
 
 def q_drift_shifted(spark, sf_dir):
     """Hash-halved lineitem with 0.01 added to ``l_discount`` on one half:
     exactly that column must drift."""
-    li = fx.table(spark, sf_dir, "lineitem", spread=True)
+    li = fx.table(spark, sf_dir, "lineitem")
     half = F.substring(F.md5(F.concat_ws(":", F.lit("half"), *[F.col(k).cast("string") for k in fx.SENSOR_KEYS])), 1, 1)
-    in_cur = half.isin(*"01234567")
-    base = li.filter(~in_cur)
-    cur = li.filter(in_cur).withColumn("l_discount", F.col("l_discount") + F.lit(0.01))
-    return _round_doubles(drift.ks_drift_report(base, cur, fx.SENSOR_MEASURES))
+    sided = li.withColumn("shifted", half.isin(*"01234567")).withColumn(
+        "l_discount", F.col("l_discount") + F.when(F.col("shifted"), F.lit(0.01)).otherwise(F.lit(0.0))
+    )
+    return _round_doubles(drift.ks_drift_by_side(sided, "shifted", fx.SENSOR_MEASURES))
 
 
 def q_drift_sensor_propagate(spark, sf_dir):
     """Reference semantics: train vs test over every column, label included;
     columns with any missing value get no statistic and cannot drift."""
-    train, test = sampling.train_test_frames(sensor_split_frame(spark, sf_dir))
-    cols = ["class", *fx.SENSOR_MEASURES]
-    return _round_doubles(drift.ks_drift_report(train, test, cols, nan_policy="propagate"))
+    split = sensor_split_frame(spark, sf_dir).withColumn("is_test", F.col("split") == "test")
+    return _round_doubles(drift.ks_drift_by_side(split, "is_test", ["class", *fx.SENSOR_MEASURES], nan_policy="propagate"))
 
 
 def q_drift_verdict(spark, sf_dir):
     """V6: one row, ``no_drift`` only when no column drifted."""
-    base, cur = fx.lineitem_periods(spark, sf_dir)
-    return drift.drift_verdict(drift.ks_drift_report(base, cur, fx.SENSOR_MEASURES))
+    return drift.drift_verdict(drift.ks_drift_by_side(fx.lineitem_sides(spark, sf_dir), "late", fx.SENSOR_MEASURES))
 
 
 # -- P2-P6 cleaning ------------------------------------------------------------
@@ -97,7 +93,7 @@ def q_decoded_predictions(spark, sf_dir):
 # -- V1-V4 schema checks -------------------------------------------------------
 def q_schema_violations(spark, sf_dir):
     raw = fx.sensor_raw(spark, sf_dir)
-    split = cut_lineage(sampling.stratified_split(raw, "class", fx.SENSOR_KEYS, 0.2, SPLIT_SEED))
+    split = shared_table(sampling.stratified_split(raw, "class", fx.SENSOR_KEYS, 0.2, SPLIT_SEED))
     train, test = sampling.train_test_frames(split)
     spec = ColumnSpec(features=(*fx.SENSOR_MEASURES, "sensor_x"), label="class")
     return validation.violations({"train": train, "test": test}, spec)

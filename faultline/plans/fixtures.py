@@ -25,27 +25,15 @@ VEC_SPEC = ColumnSpec(features=tuple(VEC_FEATURES), label="class", keys=("vec_id
 # -------------------------------------------------------------------------------
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Scan one of the driver's tables.
-
-    ``spread``: for views that hash every row.  A file written as one row
-    group scans as a single task; when the scan has fewer splits than the
-    cluster has cores, its rows are spread round-robin so the per-row hashing
-    runs on every core.  Large inputs already have enough splits and are left
-    untouched, and light per-row work is cheaper without the extra exchange.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one of the driver's tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as a raw sensor file: keys, text ``class``, measures as text
     with ``"na"`` where ``md5('na:<column>:<key>')`` starts with ``0``."""
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem")
     key = [F.col(k).cast("string") for k in SENSOR_KEYS]
 
     def masked(c: str):
@@ -56,16 +44,13 @@ def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(*SENSOR_KEYS, label.alias("class"), *[masked(c) for c in SENSOR_MEASURES])
 
 
-def lineitem_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    li = table(spark, sf_dir, "lineitem")
-    cut = F.lit(DRIFT_CUTOFF).cast("timestamp_ntz")
-    return li.filter(F.col("l_shipdate") < cut), li.filter(F.col("l_shipdate") >= cut)
+def lineitem_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with ``late``: whether the row is of the current period."""
+    return table(spark, sf_dir, "lineitem").withColumn("late", F.col("l_shipdate") >= F.lit(DRIFT_CUTOFF).cast("timestamp_ntz"))
 
 
-def events_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    ev = table(spark, sf_dir, "events")
-    cut = F.lit(EVENTS_CUTOFF).cast("timestamp_ntz")
-    return ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)
+def events_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("late", F.col("ts") >= F.lit(EVENTS_CUTOFF).cast("timestamp_ntz"))
 
 
 def vec_wide(spark: SparkSession, sf_dir: str) -> DataFrame:

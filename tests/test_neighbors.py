@@ -107,7 +107,7 @@ def test_pruned_knn_equals_brute_force_on_skewed_clusters(spark):
     x = np.concatenate([rng.normal(0, 1, (300, 3)), rng.normal(6, 0.3, (60, 3)), rng.normal(-5, 2, (40, 3))])
     df = _frame(spark, x)
     feats = ["f0", "f1", "f2"]
-    got = knn_join_pruned(df, df, "k", feats, 4, exclude_self=True, block_rows=32, max_pivots=16).collect()
+    got = knn_join_pruned(df, df, "k", feats, 4, exclude_self=True, block_rows=32).collect()
     got = {(r["q_key"], r["nn_rank"]): r["b_key"] for r in got}
     d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
@@ -130,7 +130,7 @@ def test_pruned_knn_string_keys_with_unvisited_cells(spark):
     rows = [(f"b{i}", *map(float, r)) for i, r in enumerate(base)]
     bdf = spark.createDataFrame(rows, "k string, " + ", ".join(f"{c} double" for c in feats))
     qdf = bdf.filter(F.col("f0") < 500)
-    got = knn_join_pruned(qdf, bdf, "k", feats, 2, exclude_self=True, block_rows=16, max_pivots=8).collect()
+    got = knn_join_pruned(qdf, bdf, "k", feats, 2, exclude_self=True, block_rows=16).collect()
     got = {(r["q_key"], r["nn_rank"]): r["b_key"] for r in got}
     d = np.sqrt(((near[:, None, :] - base[None, :, :]) ** 2).sum(-1))
     for i in range(near.shape[0]):
