@@ -119,11 +119,14 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
 def _parser(table: np.ndarray) -> np.ndarray:
     """The automaton with the restart folded in: entry (state, symbol) is the next
     state times the table's width, shifted left by one; the low bit says that a
-    phrase was closed before this symbol."""
+    phrase starts with this symbol.  The root is left by starting a phrase and is
+    only met at the start and after a symbol that the sample does not have,
+    which is a phrase of its own."""
     width = table.shape[1]
     step = table.astype(np.int64) * width * 2
     restart = np.broadcast_to(step[0], step.shape)
     step = np.where(table > 0, step, restart | 1)
+    step[0] |= 1
     if len(step) * width * 2 >= 2**31:
         raise ValueError("the language sample is too large for 32-bit states")
     return step.astype(np.int32).ravel()
@@ -180,7 +183,7 @@ class Model:
             running = np.searchsorted(-n, -np.arange(n[0]), side="left")  # lanes longer than the position
             for j, parser in enumerate(self.parsers):
                 state = np.zeros(len(lanes), dtype=np.int32)
-                count = np.ones(len(lanes), dtype=np.int32)
+                count = np.zeros(len(lanes), dtype=np.int32)
                 for i in range(int(n[0])):
                     r = running[i]
                     step = parser.take(state[:r] + codes[i, :r])
