@@ -94,7 +94,8 @@ def mix(
         docs[source_col].cast("string").alias("source"),
         word_count(docs[text_col]).alias("size"),
     )
-    hashed = sized.withColumn("h", seeded_unit(seed, F.col(id_col)))
+    # written first: the range partitioning below samples its input and then reads it again
+    hashed = materialize(sized.withColumn("h", seeded_unit(seed, F.col(id_col))), "sized")
     # Ranks over all rows in source order; a source's own ranks start at its smallest.
     ranked = global_rank(hashed, [F.col("source").isNull(), F.col("source"), F.col("size"), F.col("h"), F.col(id_col), *carry])
     ranked = materialize(ranked, "ranked-docs")
