@@ -376,7 +376,9 @@ def similarity_join(
     """One row per input row: id, ``class_id`` (smallest id among all documents connected
     by links), ``n_links`` (other documents with similarity >= threshold) and ``class_size``."""
     rows = _joined(signatures(docs, id_col, text_col), threshold, tolerance)
-    classes = rows.groupBy("class_row").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
+    # written, so that the join below has exchanges of its own, which Spark can split where a class is large
+    sizes = rows.groupBy("class_row").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
+    classes = materialize(sizes, "class-sizes")
     return rows.join(classes, "class_row").select(F.col("id").alias(id_col), "class_id", "n_links", "class_size")
 
 
