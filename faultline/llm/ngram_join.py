@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from faultline.llm.common import materialize, ngram_hashes, split_words, word_hashes
 from faultline.llm.packing import slices
-from faultline.session import ship_package
+from faultline.session import ship_package, shuffle_partitions
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -263,7 +263,7 @@ def candidate_edges(reps: DataFrame, threshold: float = THRESHOLD, tolerance: fl
         if out_a:
             yield _edge_batch(out_a, out_b)
 
-    dealt = cells.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+    dealt = cells.repartition(shuffle_partitions(reps.sparkSession), "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -340,7 +340,7 @@ def verified_links(members: DataFrame, threshold: float = THRESHOLD) -> DataFram
                 names=["a", "b", "links"],
             )
 
-    dealt = cells.repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
+    dealt = cells.repartition(shuffle_partitions(members.sparkSession), "comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
     return dealt.mapInArrow(run, "a long, b long, links long")
 
 
