@@ -26,11 +26,17 @@ def encode_label(col: str | Column, codes: dict[str, int] | None = None, strict:
     return expr.cast("int")
 
 
-def decode_label(col: str | Column, codes: dict[str, int] | None = None) -> Column:
-    """Map integer (or double) predictions back to label strings."""
+def decode_label(col: str | Column, codes: dict[str, int] | None = None, strict: bool = True) -> Column:
+    """Map integer (or double) predictions back to label strings.
+
+    Unknown codes raise at run time when ``strict``, else they become NULL."""
     codes = codes or LABEL_CODES
     c = F.col(col) if isinstance(col, str) else col
     expr = None
     for name, code in codes.items():
         expr = (F.when(c == code, F.lit(name)) if expr is None else expr.when(c == code, F.lit(name)))
+    if strict:
+        expr = expr.when(c.isNull(), F.lit(None).cast("string")).otherwise(
+            F.raise_error(F.concat(F.lit("unknown label code: "), c.cast("string"))).cast("string")
+        )
     return expr

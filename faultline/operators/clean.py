@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,17 @@ from faultline.functions.labels import decode_label, encode_label
 from faultline.spec import MISSING_TOKEN, ColumnSpec
 
 
+def with_row_key(df: DataFrame, out: str) -> DataFrame:
+    """Append a row key that depends on the rows alone, not on files or partitions:
+    ``<md5 of the row>:<n>``, n numbering equal rows (which are interchangeable)."""
+    null = F.lit("\\N")
+    content = F.md5(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), null) for c in sorted(df.columns)]))
+    nth = F.row_number().over(Window.partitionBy("_fl_md5").orderBy("_fl_md5"))
+    return df.withColumn("_fl_md5", content).select(
+        *df.columns, F.concat_ws(":", F.col("_fl_md5"), nth.cast("string")).alias(out)
+    )
+
+
 def drop_strict(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drop columns, failing when one is absent (Spark's ``drop`` is lenient)."""
     absent = [c for c in cols if c not in df.columns]

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from faultline.sources.reports import read_or_empty
+
 REGISTRY_SCHEMA = "version long, model_path string, preprocessor_path string, created_at timestamp, f1_score double, roc_auc_score double"
 
 
@@ -34,10 +36,7 @@ class ModelRegistry:
         return f"{self.root.rstrip('/')}/version={version}"
 
     def entries(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(REGISTRY_SCHEMA).parquet(self.table_path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], REGISTRY_SCHEMA)
+        return read_or_empty(self.spark, self.table_path, REGISTRY_SCHEMA)
 
     def latest(self) -> DataFrame:
         """One row (or none): the entry with the largest version."""
@@ -49,7 +48,24 @@ class ModelRegistry:
         ).filter(F.col("version").isNotNull())
 
     def has_model(self) -> bool:
-        return self.latest().limit(1).count() > 0
+        """A version is registered and its model folder is there."""
+        row = self.latest().first()
+        if row is None:
+            return False
+        try:
+            return not self.spark.read.text(f"{row['model_path']}/metadata").isEmpty()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+
+    def newest_run(self) -> DataFrame:
+        """One row (or none): the entry created last."""
+        e = self.entries()
+        return e.agg(
+            F.max_by("version", "created_at").alias("version"),
+            F.max_by("preprocessor_path", "created_at").alias("preprocessor_path"),
+        ).filter(F.col("version").isNotNull())
 
     def best_model_path(self) -> str:
         row = self.latest().first()
@@ -67,9 +83,8 @@ class ModelRegistry:
         """Save model and preprocessor under a new version and append the
         registry row.  ``save_preprocessor(path)`` writes the fitted state."""
         version = version or int(time.time())
-        known = {r["version"] for r in self.entries().select("version").collect()}  # one row per version
-        while version in known:
-            version += 1
+        newest = self.entries().agg(F.max("version")).first()[0]
+        version = max(version, (newest or 0) + 1)
         vdir = self.version_dir(version)
         model.write().overwrite().save(f"{vdir}/model")
         save_preprocessor(f"{vdir}/preprocessor")

@@ -5,7 +5,7 @@ available); parameters map ``learning_rate -> stepSize``,
 ``n_estimators -> maxIter``, ``max_depth -> maxDepth``.  The search draws
 ``n_iter`` grid points without replacement with a seeded generator (over the
 tiny grid, on the driver) and scores them by ``CrossValidator`` accuracy on
-hash-assigned folds that are stratified by class.  The best point is refit
+folds that hold every class in equal parts.  The best point is refit
 on all rows.
 """
 
@@ -24,8 +24,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.hashing import seeded_int
-from faultline.session import cut_lineage
+from faultline.functions.hashing import seeded_md5
+from faultline.operators.ranking import hash_histogram, hash_rank_cut, histogram_counts
+from faultline.session import shared_table
 
 # --- Fixed values: the reference's search space (XGBoost names). --------------
 REFERENCE_GRID = {"learning_rate": [0.0136, 0.03], "max_depth": [7, 11], "n_estimators": [469, 877]}
@@ -46,9 +47,17 @@ def sample_grid(grid: Mapping[str, Sequence], n_iter: int, seed: int = 1) -> lis
 
 
 def stratified_folds(df: DataFrame, label_col: str, keys: Sequence[str], n_folds: int = 3, seed: int = 1) -> DataFrame:
-    """Fold number per row from ``md5(seed:class:key)``: each class spreads
-    evenly (in expectation) over the folds, with no shuffle."""
-    return df.withColumn(FOLD_COL, seeded_int(seed, n_folds, F.col(label_col), *keys).cast("int"))
+    """Fold number per row, stratified by class: in ``md5(seed:key)`` order each class is
+    cut into ``n_folds`` parts whose sizes differ by one row at most."""
+    hashed = df.withColumn("_fl_h", seeded_md5(seed, *keys))
+    hist = hash_histogram(hashed, label_col, "_fl_h")
+    counts = histogram_counts(hist, label_col)
+    fold = F.lit(0)
+    for i in range(1, n_folds):
+        quota = counts.select(label_col, F.floor(F.col("n_class") * i / n_folds).cast("long").alias("_fl_k"))
+        hashed = hash_rank_cut(hashed, label_col, "_fl_h", list(keys), quota, out=f"_fl_upto{i}", hist=hist)
+        fold = fold + F.when(F.col(f"_fl_upto{i}"), 0).otherwise(1)
+    return hashed.select(*df.columns, fold.cast("int").alias(FOLD_COL))
 
 
 def gbt_pipeline(features: Sequence[str], label_col: str = "label", seed: int = 1) -> tuple[Pipeline, GBTClassifier]:
@@ -86,7 +95,7 @@ def random_search(
     maps = [_param_map(gbt, p) for p in points]
     data = stratified_folds(df.withColumn(label_col, F.col(label_col).cast("double")), label_col, keys, n_folds, seed)
     # Read once per fold and candidate plus the refit: write it once instead of recomputing.
-    data = cut_lineage(data.select(*keys, *features, label_col, FOLD_COL))
+    data = shared_table(data.select(*keys, *features, label_col, FOLD_COL))
     cv = CrossValidator(
         estimator=pipe,
         estimatorParamMaps=maps,

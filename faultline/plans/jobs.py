@@ -18,7 +18,7 @@ from faultline.functions.labels import decode_label, encode_label
 from faultline.operators import clean, drift, evaluation, metrics, registry, resample, sampling, training, validation
 from faultline.operators.preprocess import Preprocessor, PreprocessorModel
 from faultline.sources import documents, files, reports
-from faultline.session import cut_lineage
+from faultline.session import shared_table
 from faultline.spec import ColumnSpec
 
 ROW_ID = "row_id"
@@ -37,9 +37,9 @@ def run_etl(
 ) -> int:
     """Preamble CSV -> all positives + seeded ``ratio`` of negatives ->
     replace the document collection.  Returns the number of rows loaded."""
-    # The file's line number is the row key: unique even for duplicated rows.
-    raw = files.read_preamble_csv(spark, csv_path, header_line, null_value=None, line_col="_fl_line")
-    sampled = sampling.downsample(raw, label_col, ["_fl_line"], ratio=ratio, seed=seed).drop("_fl_line")
+    raw = files.read_preamble_csv(spark, csv_path, header_line, null_value=None)
+    keyed = shared_table(clean.with_row_key(raw, "_fl_key"), "etl")
+    sampled = sampling.downsample(keyed, label_col, ["_fl_key"], ratio=ratio, seed=seed).drop("_fl_key")
     return documents.write_documents(sampled, collection_path, batch_size=batch_size, mode="overwrite")
 
 
@@ -57,9 +57,8 @@ class TrainingResult:
     search: training.SearchResult | None = field(default=None, repr=False)
 
 
-def _scores_for(model, df: DataFrame, label: str) -> DataFrame:
-    pred = training.predict(model, df)
-    return metrics.classification_scores(pred, label, "prediction", timestamp=F.unix_timestamp())
+def _scores_for(pred: DataFrame, label: str, timestamp: int) -> DataFrame:
+    return metrics.classification_scores(pred, label, "prediction", timestamp=F.lit(timestamp))
 
 
 def run_training(
@@ -77,14 +76,16 @@ def run_training(
     resample_test: bool = False,
     nan_policy: str = "omit",
     enforce_gates: bool = True,
+    timestamp: int | None = None,
 ) -> TrainingResult:
-    run_dir = f"{work_dir.rstrip('/')}/run={int(time.time())}"
+    now = int(time.time()) if timestamp is None else int(timestamp)  # one stamp for the whole run
+    run_dir = f"{work_dir.rstrip('/')}/run={now}"
     label = spec.label
     # ingest: snapshot with a stable row id (before dropping columns), then strict drop
-    src = documents.read_documents(spark, source_path, spec).withColumn(ROW_ID, F.monotonically_increasing_id())
+    src = clean.with_row_key(documents.read_documents(spark, source_path), ROW_ID)
     store = files.snapshot(src, f"{run_dir}/feature_store")
-    present_drop = [c for c in spec.drop if c in store.columns]
-    table = clean.drop_strict(store, present_drop)
+    table = clean.drop_strict(store, spec.drop)
+    validation.assert_valid(validation.violations({"input": table.drop(ROW_ID)}, spec, check_values=False))
     split = sampling.stratified_split(table, label, [ROW_ID], test_size, split_seed)
     files.write_parquet(split, f"{run_dir}/ingested", partition_by=["split"])
     ingested = spark.read.parquet(f"{run_dir}/ingested")
@@ -96,7 +97,8 @@ def run_training(
     )
     train = clean.cast_features(train_raw, spec.features)
     test = clean.cast_features(test_raw, spec.features)
-    report = drift.ks_drift_report(train, test, [label, *spec.features], nan_policy=nan_policy)
+    sided = clean.cast_features(ingested, spec.features).withColumn("_fl_test", F.col("split") == "test")
+    report = drift.ks_drift_by_side(sided, "_fl_test", [label, *spec.features], nan_policy=nan_policy)
     reports.write_report(report, f"{run_dir}/drift_report")
     report = spark.read.json(f"{run_dir}/drift_report")
     no_drift = bool(drift.drift_verdict(report).first()["no_drift"])  # informational, as in the reference
@@ -107,10 +109,14 @@ def run_training(
 
     def prepared(df: DataFrame) -> DataFrame:
         out = prep.transform(df.select(ROW_ID, label, *spec.features), ROW_ID)
-        return out.select(F.col(ROW_ID).cast("string").alias(resample.ROW_ID), label, *spec.features)
-
-    train_bal = resample.smote_tomek(prepared(train), label, spec.features, seed=resample_seed)
-    test_t = prepared(test)
+        return out.select(F.col(ROW_ID).alias(resample.ROW_ID), label, *spec.features)
+
+    # imputed and scaled once each; resampling and the evaluation below read what is written
+    files.write_parquet(prepared(train), f"{run_dir}/prepared/train")
+    files.write_parquet(prepared(test), f"{run_dir}/prepared/test")
+    train_p = spark.read.parquet(f"{run_dir}/prepared/train")
+    test_t = test_p = spark.read.parquet(f"{run_dir}/prepared/test")
+    train_bal = resample.smote_tomek(train_p, label, spec.features, seed=resample_seed)
     if resample_test:
         test_t = resample.smote_tomek(test_t, label, spec.features, seed=resample_seed)
     train_m = train_bal.withColumn(lab, encode_label(label))
@@ -125,33 +131,36 @@ def run_training(
         train_m, spec.features, lab, [resample.ROW_ID], grid or training.SMALL_GRID, n_iter, n_folds, split_seed
     )
     model = search.model
-    train_scores = _scores_for(model, train_m, lab)
-    test_scores = _scores_for(model, test_m, lab)
     both = training.predict(model, train_m).withColumn("split", F.lit("train")).unionByName(
         training.predict(model, test_m).withColumn("split", F.lit("test"))
     )
+    files.write_parquet(both.select(resample.ROW_ID, lab, "prediction", "split"), f"{run_dir}/predictions")
+    both = spark.read.parquet(f"{run_dir}/predictions")
+    train_scores = _scores_for(both.filter("split = 'train'"), lab, now)
+    test_scores = _scores_for(both.filter("split = 'test'"), lab, now)
     gates = evaluation.adequacy_gates(both, lab, "prediction")
     if enforce_gates:
         evaluation.assert_gates(gates)
 
     # evaluate against the current best on the untransformed train + test rows
     reg = registry.ModelRegistry(spark, registry_root)
-    eval_rows = sampling.union_frames([train, test], allow_missing=True).select(ROW_ID, label, *spec.features)
-    eval_rows = eval_rows.withColumn(lab, encode_label(label))
-    trained_pred = training.predict(model, prep.transform(eval_rows, ROW_ID)).select(ROW_ID, lab, F.col("prediction").alias("trained_pred"))
+    eval_rows = sampling.union_frames([train_p, test_p], allow_missing=True).withColumn(lab, encode_label(label))
+    trained_pred = training.predict(model, eval_rows).select(ROW_ID, lab, F.col("prediction").alias("trained_pred"))
     if reg.has_model():
         best_model, best_prep_path, _ = reg.load_latest()
         best_prep = PreprocessorModel.load(spark, best_prep_path, spec.features)
-        best_pred = training.predict(best_model, best_prep.transform(eval_rows, ROW_ID)).select(
+        raw_rows = sampling.union_frames([train, test], allow_missing=True).select(ROW_ID, *spec.features)
+        best_pred = training.predict(best_model, best_prep.transform(raw_rows, ROW_ID)).select(
             ROW_ID, F.col("prediction").alias("best_pred")
         )
         verdict = evaluation.compare_models(trained_pred.join(best_pred, ROW_ID), lab, "trained_pred", "best_pred")
         reports.write_report(verdict, f"{run_dir}/evaluation_report")
+        verdict = spark.read.schema(verdict.schema).json(f"{run_dir}/evaluation_report")
         reports.append_scores(
             spark,
             f"{registry_root.rstrip('/')}/_metrics_history",
             verdict.select(
-                F.unix_timestamp().alias("timestamp"),
+                F.lit(now).alias("timestamp"),
                 *[F.col(f"trained_{c}").alias(c) for c in metrics.SCORE_COLUMNS],
             ),
         )
@@ -170,16 +179,15 @@ def score_frame(raw: DataFrame, spec: ColumnSpec, model, prep: PreprocessorModel
     """Clean, validate, transform once, predict; output the decoded class
     followed by the *raw* feature values.
 
-    Rows get an id for the imputation join; ``materialise`` checkpoints the
-    keyed rows so the id can never be recomputed differently (file sources
-    re-read identically, so micro-batches from files may skip it)."""
+    Rows get a key from their content for the imputation join; ``materialise``
+    writes the keyed rows, which are read several times."""
     df = clean.drop_lenient(raw, spec.drop)
     df = clean.missing_to_null(df)
     validation.assert_valid(validation.violations({"input": df}, spec, expect_label=False, check_values=False))
-    df = clean.cast_features(df, spec.features).withColumn(ROW_ID, F.monotonically_increasing_id())
+    df = clean.with_row_key(clean.cast_features(df, spec.features), ROW_ID)
     keep = df.select(ROW_ID, *[F.col(c).alias(f"_fl_raw_{c}") for c in spec.features], *spec.features)
     if materialise:
-        keep = cut_lineage(keep)
+        keep = shared_table(keep)
     scored = training.predict(model, prep.transform(keep, ROW_ID))
     return scored.select(
         decode_label(F.col("prediction")).alias(spec.label),
@@ -188,7 +196,7 @@ def score_frame(raw: DataFrame, spec: ColumnSpec, model, prep: PreprocessorModel
 
 
 def run_scoring(spark: SparkSession, input_path: str, spec: ColumnSpec, registry_root: str, out_dir: str) -> DataFrame:
-    raw = files.read_sensor_csv(spark, input_path)
+    raw = files.read_sensor_csv(spark, input_path, null_value=None)  # the copy keeps "na"
     files.write_csv(raw, f"{out_dir.rstrip('/')}/sensor_raw")
     model, prep_path, _ = registry.ModelRegistry(spark, registry_root).load_latest()
     prep = PreprocessorModel.load(spark, prep_path, spec.features)

@@ -3,32 +3,28 @@
 ``write_documents`` replaces a collection (``mode="overwrite"``) with one
 JSON record per row, at most ``batch_size`` records per file, and returns the
 row count from a ``df.observe`` metric gathered during the write (no second
-pass).  ``read_documents`` scans a collection with an all-string schema,
-drops the store's ``_id`` and turns ``"na"`` into NULL.
+pass).  Nulls are written as fields, so a record shows all its columns.
+``read_documents`` takes the columns from the records themselves (one schema pass,
+every value as text), drops the store's ``_id`` and turns ``"na"`` into NULL; a
+missing or an extra column is therefore seen by the checks that follow.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from faultline.operators.clean import missing_to_null
-from faultline.spec import ColumnSpec
 
 
 def write_documents(df: DataFrame, path: str, batch_size: int = 5000, mode: str = "overwrite") -> int:
     obs = Observation("documents_written")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("maxRecordsPerFile", batch_size).json(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("maxRecordsPerFile", batch_size).option(
+        "ignoreNullFields", False
+    ).json(path)
     return int(obs.get["rows"])
 
 
-def read_documents(spark: SparkSession, path: str, spec: ColumnSpec | None = None, id_col: str = "_id") -> DataFrame:
-    reader = spark.read
-    if spec is not None:
-        fields = list(spec.raw_schema().fields) + [
-            T.StructField(k, T.StringType()) for k in spec.keys if k not in spec.raw_schema().names
-        ]
-        reader = reader.schema(T.StructType(fields))
-    df = reader.json(path)
+def read_documents(spark: SparkSession, path: str, id_col: str = "_id") -> DataFrame:
+    df = spark.read.option("primitivesAsString", True).json(path)
     return missing_to_null(df.drop(id_col))

@@ -1,54 +1,124 @@
 """File sources and sinks for raw sensor tables.
 
-* ``read_sensor_csv`` - headed CSV with ``"na"`` read as NULL and an explicit
-  schema (no inference pass over the data).
+* ``read_sensor_csv`` - headed CSV, every column as text, ``"na"`` read as NULL.
+  Columns are bound by the header of their own file, so files whose columns
+  stand in another order give the same rows; files with other columns are an
+  error that names them.
 * ``read_preamble_csv`` - CSV whose header is the (n+1)-th non-blank line of
-  the file (a licence preamble comes first).  Line order only exists at the
-  RDD level, so blank lines are dropped and ``zipWithIndex`` numbers the rest
-  (one counting pass, no data on the driver); rows after the header are then
-  parsed with ``from_csv`` in the DataFrame API.
+  each file (a licence preamble comes first).
 * ``write_csv`` / ``write_parquet`` - sinks; callers pass URIs, the job never
   writes over the input it is reading.
+
+Lines are numbered by a JVM-side scan (``monotonically_increasing_id`` within a
+file's first split); no Python code runs per line.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.spec import MISSING_TOKEN
 
 
-def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
+def _csv_names(spark: SparkSession, line: str) -> list[str]:
+    """Column names of a header line, quoted names included."""
+    row = spark.range(1).select(F.from_csv(F.lit(line), _text_schema(line.count(",") + 1)).alias("r")).first()["r"]
+    return [c.strip() for c in row if c is not None]
+
+
+def _text_schema(n: int) -> str:
+    return ", ".join(f"_c{i} STRING" for i in range(n))
+
+
+def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Non-blank lines with their file, the start of their split and an order within it."""
+    return (
+        spark.read.text(path)
+        .select(
+            F.col("value").alias("line"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("no"),
+        )
+        .filter(F.trim("line") != "")
+    )
+
+
+def _header_files(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """Files by header line: one row per file reaches the driver, which already lists them."""
+    first = _lines(spark, path).filter("start = 0").groupBy("file").agg(F.min_by("line", "no").alias("line"))
+    out: dict[str, list[str]] = {}
+    for r in first.collect():  # one row per file
+        out.setdefault(r["line"].removeprefix("\ufeff"), []).append(r["file"])
+    return out
+
+
+def read_sensor_csv(spark: SparkSession, path: str | Sequence[str], null_value: str | None = MISSING_TOKEN) -> DataFrame:
     """Headed CSV, every column as text (no inference pass); ``"na"`` is NULL.
-    ``clean.clean_sensor_table`` then casts the declared features."""
-    return spark.read.option("header", True).option("nullValue", MISSING_TOKEN).csv(path)
+    ``clean.clean_sensor_table`` then casts the declared features.
+
+    The column order is that of the first header by text order."""
+    by_header = sorted(_header_files(spark, path).items())
+    if not by_header:
+        raise ValueError(f"{path}: no header line")
+    parts: list[DataFrame] = []
+    for line, paths in by_header:
+        names = _csv_names(spark, line)
+        if len(set(names)) != len(names):
+            raise ValueError(f"{paths[0]}: a column name repeats in the header")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        reader = spark.read.schema(schema).option("header", True)
+        if null_value is not None:
+            reader = reader.option("nullValue", null_value)
+        parts.append(reader.csv(paths))
+    out = parts[0]
+    for (_, paths), df in zip(by_header[1:], parts[1:]):
+        if set(df.columns) != set(out.columns):
+            odd = sorted(set(df.columns) ^ set(out.columns))
+            raise ValueError(f"{paths[0]}: columns differ from those of other files: {odd}")
+        out = out.unionByName(df)
+    return out
 
 
 def read_preamble_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     header_line: int = 14,
     null_value: str | None = MISSING_TOKEN,
-    line_col: str | None = None,
 ) -> DataFrame:
-    """Rows of a CSV whose column names are on non-blank line ``header_line``
+    """Rows of CSV files whose column names are on non-blank line ``header_line``
     (0-based, like ``pandas.read_csv(header=14)``); all columns as strings.
 
-    ``line_col`` adds the row's non-blank line number: a unique, deterministic
-    row key for raw files that have none."""
-    lines = spark.sparkContext.textFile(path).filter(lambda s: s.strip() != "").zipWithIndex()
-    header_rows = lines.filter(lambda t: t[1] == header_line).map(lambda t: t[0]).take(1)
-    if not header_rows:
-        raise ValueError(f"{path}: fewer than {header_line + 1} non-blank lines")
-    names = [c.strip().strip('"') for c in header_rows[0].split(",")]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    body = lines.filter(lambda t: t[1] > header_line).toDF("line STRING, line_no LONG")
+    Preamble and header must lie in a file's first split.  All files must have
+    the same columns."""
+    lines = _lines(spark, path)
+    nth = F.row_number().over(Window.partitionBy("file").orderBy("no"))
+    # header_line + 1 lines of each file's first split: the row_number filter cuts them on the map side
+    top = lines.filter("start = 0").withColumn("nth", nth).filter(F.col("nth") <= header_line + 1)
+    headers = top.groupBy("file").agg(F.max("nth").alias("n"), F.max_by("line", "nth").alias("line")).collect()  # one row per file
+    short = [r["file"] for r in headers if r["n"] <= header_line]
+    if short or not headers:
+        raise ValueError(f"{short[0] if short else path}: fewer than {header_line + 1} non-blank lines")
+    by_header: dict[str, list[str]] = {}
+    for r in headers:
+        by_header.setdefault(r["line"], []).append(r["file"])
     opts = {"nullValue": null_value} if null_value is not None else {}
-    parsed = body.select(F.from_csv(F.col("line"), schema.simpleString(), opts).alias("r"), "line_no")
-    extra = [F.col("line_no").alias(line_col)] if line_col else []
-    return parsed.select(*[F.col("r").getField(n).alias(n) for n in names], *extra)
+    out: DataFrame | None = None
+    for line, files in sorted(by_header.items()):
+        names = _csv_names(spark, line)
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        own = _lines(spark, files)
+        last = own.filter("start = 0").withColumn("nth", nth).filter(F.col("nth") == header_line + 1)
+        body = own.join(last.select("file", F.col("no").alias("header_no")), "file").filter("start > 0 OR no > header_no")
+        df = body.select(F.from_csv("line", schema.simpleString(), opts).alias("r")).select("r.*")
+        if out is not None and set(out.columns) != set(names):
+            raise ValueError(f"{files[0]}: columns differ from those of other files")
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -17,16 +17,23 @@ from faultline.operators.metrics import SCORE_COLUMNS
 HISTORY_SCHEMA = "timestamp long, " + ", ".join(f"{c} double" for c in SCORE_COLUMNS)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table, or no rows if its path does not exist; other errors are raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Small report tables as JSON lines (one file)."""
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(HISTORY_SCHEMA).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+    return read_or_empty(spark, path, HISTORY_SCHEMA)
 
 
 class DuplicateTimestamp(Exception):

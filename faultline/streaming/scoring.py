@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from faultline.operators.preprocess import PreprocessorModel
 from faultline.operators.registry import ModelRegistry
 from faultline.plans.jobs import score_frame
-from faultline.spec import MISSING_TOKEN, ColumnSpec
+from faultline.sources.files import read_sensor_csv
+from faultline.spec import ColumnSpec
 
 
 def start_scoring_stream(
@@ -29,17 +30,21 @@ def start_scoring_stream(
 ) -> StreamingQuery:
     model, prep_path, version = ModelRegistry(spark, registry_root).load_latest()
     prep = PreprocessorModel.load(spark, prep_path, spec.features)
-    schema = spec.raw_schema(with_label=False)
+    # The stream delivers files; a micro-batch reads them with the batch reader, so
+    # columns are bound by each file's own header and checked against the spec.
     stream = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("nullValue", MISSING_TOKEN)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .csv(input_dir)
+        .load(input_dir)
+        .select("path")
     )
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
-        out = score_frame(batch, spec, model, prep)
+        paths = sorted(r["path"] for r in batch.collect())  # at most max_files_per_trigger
+        if not paths:
+            return
+        out = score_frame(read_sensor_csv(batch.sparkSession, paths), spec, model, prep, materialise=True)
         out.write.mode("overwrite").option("header", True).csv(f"{out_dir.rstrip('/')}/batch={epoch_id}")
 
     return (

@@ -1,6 +1,7 @@
 """Blocked k-NN, imputation and rebalancing against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +140,53 @@ def test_pruned_knn_string_keys_with_unvisited_cells(spark):
         order = np.lexsort((keys, d[i]))[:2]
         for rank, j in enumerate(order, start=1):
             assert got[(f"b{i}", rank)] == f"b{j}"
+
+
+def test_equal_rows_give_k_neighbours_each(spark):
+    """5,000 equal rows in one cell: ties are cut by key inside the cell."""
+    from faultline.operators.neighbors import _local_top_k, knn_join_pruned, top_k_mask
+
+    keys = np.random.default_rng(0).permutation(5000)
+    assert (top_k_mask(np.zeros((3, 5000)), 2, keys).sum(axis=1) == 2).all()
+    pdf = pd.DataFrame({"k": keys[:2000], "f0": 1.0})
+    assert len(_local_top_k(pdf, pdf, "k", ["f0"], 1, True)) == 2000
+    df = spark.range(5000).select(F.col("id").alias("k"), F.lit(1.0).alias("f0"))
+    got = {r["q_key"]: r["b_key"] for r in knn_join_pruned(df.filter("k < 50"), df, "k", ["f0"], 1, True).collect()}
+    assert got == {i: (0 if i else 1) for i in range(50)}
+
+
+def test_pruned_knn_single_cell_and_empty_base(spark):
+    from faultline.operators.neighbors import knn_join_pruned
+
+    df = _frame(spark, _points(6, 2, 1))
+    assert knn_join_pruned(df, df, "k", ["f0", "f1"], 8, exclude_self=True).count() == 30
+    assert knn_join_pruned(df, df.limit(0), "k", ["f0", "f1"], 2).count() == 0
+
+
+def test_smote_rejects_a_minority_of_k_rows(spark):
+    df = resample.with_row_id(_frame(spark, _points(11, 2, 1), ["neg"] * 10 + ["pos"]), "k").drop("k")
+    with pytest.raises(ValueError):
+        resample.smote_balance(df, "class", ["f0", "f1"], k=5)
+
+
+def test_imputer_takes_nan_as_missing(spark):
+    df = spark.createDataFrame([(0, 1.0), (1, float("nan")), (2, 3.0), (3, None)], "k long, a double")
+    model = impute.KNNImputer(2).fit(df, "k", ["a"])
+    assert model.means == {"a": 2.0}
+    assert [r["a"] for r in model.transform(df).orderBy("k").collect()] == [1.0, 2.0, 3.0, 2.0]
+
+
+def test_full_width_preprocessor_in_a_default_session(spark):
+    """163 features: the plans must stay small."""
+    import time
+
+    from faultline.operators.preprocess import Preprocessor
+    from faultline.spec import TRUCK_SPEC
+
+    feats = list(TRUCK_SPEC.features)
+    x = _points(200, len(feats), 8, missing=0.05)
+    df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)], "k long, " + ", ".join(f"{c} double" for c in feats))
+    t = time.time()
+    out = Preprocessor().fit(df, "k", feats).transform(df).toPandas()
+    assert len(out) == 200 and not out.isna().any().any()
+    print("163 columns:", time.time() - t)

@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from faultline.operators import ranking
 from faultline.operators.ranking import hash_rank_cut, running_totals
 
 
@@ -20,18 +22,17 @@ def test_running_totals_match_window_with_hot_group(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
 
 
-def test_hash_rank_cut_is_exact(spark):
-    rows = [("a" if i % 10 else "b", i) for i in range(5000)]
-    df = spark.createDataFrame(rows, "c string, k long").withColumn("h", F.md5(F.col("k").cast("string")))
+@pytest.mark.parametrize("edge_rows", [65_536, 1])
+def test_hash_rank_cut_is_exact(spark, monkeypatch, edge_rows):
+    monkeypatch.setattr(ranking, "EDGE_ROWS", edge_rows)  # 1: the boundary prefix is refined by more digits
+    rows = [("a" if i % 10 else "b", i) for i in range(5000)] + [("a", 77)] * 30
+    df = spark.createDataFrame(rows, "c string, k long").withColumn("h", F.md5((F.col("k") % 1500).cast("string")))
     quota = spark.createDataFrame([("a", 1234), ("b", 0)], "c string, _fl_k long")
-    got = {r["k"] for r in hash_rank_cut(df, "c", "h", ["k"], quota, prefix_digits=2).filter("_fl_in").collect()}
+    got = sorted(r["k"] for r in hash_rank_cut(df, "c", "h", ["k"], quota).filter("_fl_in").collect())
     w = Window.partitionBy("c").orderBy("h", "k")
-    want = {
-        r["k"]
-        for r in df.withColumn("rn", F.row_number().over(w))
-        .filter(((F.col("c") == "a") & (F.col("rn") <= 1234)))
-        .collect()
-    }
+    want = sorted(
+        r["k"] for r in df.withColumn("rn", F.row_number().over(w)).filter("c = 'a' and rn <= 1234").collect()
+    )
     assert got == want
 
 
@@ -53,19 +54,11 @@ def test_hash_rank_cut_keeps_groups_without_quota(spark):
     assert not any(r["_fl_in"] for r in out if r["c"] == "z")
 
 
-def test_hash_rank_cut_many_groups_uses_shuffle_joins(spark, monkeypatch):
-    """Beyond MAX_BROADCAST_GROUPS the per-group tables are not broadcast;
-    the result is the same exact cut."""
-    from faultline.operators import ranking
-
+def test_hash_rank_cut_many_groups(spark):
     rows = [(f"g{i % 40}", i) for i in range(4000)]
     df = spark.createDataFrame(rows, "c string, k long").withColumn("h", F.md5(F.col("k").cast("string")))
     quota = spark.createDataFrame([(f"g{j}", j * 2) for j in range(40)], "c string, _fl_k long")
-    monkeypatch.setattr(ranking, "MAX_BROADCAST_GROUPS", 10)
-    out = hash_rank_cut(df, "c", "h", ["k"], quota, prefix_digits=2)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan.lower()
-    got = {r["k"] for r in out.filter("_fl_in").collect()}
+    got = {r["k"] for r in hash_rank_cut(df, "c", "h", ["k"], quota).filter("_fl_in").collect()}
     w = Window.partitionBy("c").orderBy("h", "k")
     ranked = df.withColumn("rn", F.row_number().over(w)).join(quota, "c")
     want = {r["k"] for r in ranked.filter(F.col("rn") <= F.col("_fl_k")).collect()}

@@ -95,3 +95,86 @@ def test_etl_downsamples_and_replaces_collection(spark, tmp_uri):
     back = documents.read_documents(spark, out)
     assert n_again == n and back.count() == n
     assert back.filter(F.col("class") == "pos").count() == n_pos
+
+
+def _csv(folder, name, text):
+    import os
+
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write(text)
+
+
+def test_csv_columns_are_bound_by_each_files_header(spark, tmp_uri):
+    _csv(f"{tmp_uri}/in", "a.csv", 'a,"b",drop1\n1,2,x\nna,4,y\n')
+    _csv(f"{tmp_uri}/in", "b.csv", "drop1,b,a\nz,20,10\n")
+    got = files.read_sensor_csv(spark, f"{tmp_uri}/in").select("a", "b", "drop1").collect()
+    assert sorted(map(tuple, got), key=repr) == [("1", "2", "x"), ("10", "20", "z"), (None, "4", "y")]
+    _csv(f"{tmp_uri}/in", "c.csv", "a,b\n5,6\n")
+    with pytest.raises(ValueError, match="drop1"):
+        files.read_sensor_csv(spark, f"{tmp_uri}/in")
+
+
+def test_preamble_files_with_other_column_order(spark, tmp_uri):
+    _csv(f"{tmp_uri}/pre", "a.csv", "licence\n\nmore\na,b\n1,2\n")
+    _csv(f"{tmp_uri}/pre", "b.csv", "other\nlicence\n\nb,a\n20,10\n")
+    got = files.read_preamble_csv(spark, f"{tmp_uri}/pre", header_line=2).select("a", "b").collect()
+    assert sorted(map(tuple, got)) == [("1", "2"), ("10", "20")]
+    with pytest.raises(ValueError):
+        files.read_preamble_csv(spark, f"{tmp_uri}/pre", header_line=9)
+
+
+def test_scoring_and_training_see_the_real_columns(spark, tmp_uri):
+    from faultline.operators.validation import ValidationError
+
+    spec = ColumnSpec(features=("a", "b"), label="class", drop=("drop1",))
+    raw = spark.createDataFrame([("pos", "1", "2", "x"), ("neg", None, "4", "x")], "class string, a string, b string, drop1 string")
+    documents.write_documents(raw, f"{tmp_uri}/full")
+    assert set(documents.read_documents(spark, f"{tmp_uri}/full").columns) == {"class", "a", "b", "drop1"}
+    documents.write_documents(raw.drop("b").withColumn("zz", F.lit("1")), f"{tmp_uri}/odd")
+    with pytest.raises(ValidationError, match="b"):
+        jobs.run_training(spark, f"{tmp_uri}/odd", spec, f"{tmp_uri}/w", f"{tmp_uri}/m")
+    documents.write_documents(raw.drop("drop1"), f"{tmp_uri}/nodrop")
+    with pytest.raises(KeyError, match="drop1"):
+        jobs.run_training(spark, f"{tmp_uri}/nodrop", spec, f"{tmp_uri}/w2", f"{tmp_uri}/m")
+    with pytest.raises(ValidationError, match="b"):
+        jobs.score_frame(raw.drop("class", "b"), spec, None, None)
+
+
+def test_row_keys_do_not_depend_on_layout(spark):
+    from faultline.operators import clean
+
+    df = spark.createDataFrame([(1, None), (1, None), (2, "x"), (1, "x")], "a int, b string")
+    keys = [sorted(r["k"] for r in clean.with_row_key(df.repartition(n), "k").collect()) for n in (1, 4)]
+    assert keys[0] == keys[1] and len(set(keys[0])) == 4
+
+
+def test_folds_hold_every_class_in_equal_parts(spark):
+    df = spark.createDataFrame([(i, 1.0 if i < 7 else 0.0) for i in range(100)], "k long, label double")
+    rows = training.stratified_folds(df, "label", ["k"], 3).groupBy("label", training.FOLD_COL).count().collect()
+    assert sorted((r["label"], r["count"]) for r in rows) == [(0.0, 31)] * 3 + [(1.0, 2), (1.0, 2), (1.0, 3)]
+
+
+def test_a_single_row_class_cannot_be_split(spark):
+    from faultline.operators import sampling
+
+    df = spark.createDataFrame([(i, "neg" if i else "pos") for i in range(9)], "k long, class string")
+    with pytest.raises(ValueError):
+        sampling.stratified_split(df, "class", ["k"])
+
+
+def test_reads_raise_on_other_errors_than_a_missing_path(spark, tmp_uri):
+    from py4j.protocol import Py4JJavaError
+
+    _csv(f"{tmp_uri}/broken", "part-0.parquet", "this is no parquet file")
+    assert reports.read_history(spark, f"{tmp_uri}/nowhere").count() == 0
+    with pytest.raises(Py4JJavaError):
+        reports.read_history(spark, f"{tmp_uri}/broken").count()
+
+
+def test_drift_scans_its_table_once(spark):
+    from faultline.operators import drift
+
+    seen = fx.lineitem_sides(spark, SF_CHECK)
+    plan = drift._ks_chain(seen, "late", fx.SENSOR_MEASURES, ["double"] * 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan  # only the written counts are read, by every branch
