@@ -85,6 +85,21 @@ def running_totals(
     )
 
 
+def number_rows(df: DataFrame, out: str) -> DataFrame:
+    """Append each row's 0-based place in ``df``'s order (an ordered frame).
+
+    The ordered rows are written once; a row's place is its position in its
+    partition plus the rows of the partitions before it (one row per partition)."""
+    kept = shared_table(df.withColumn("_fl_mid", F.monotonically_increasing_id()), "ordered")
+    kept = kept.withColumn(_PID, F.shiftright("_fl_mid", 33))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = kept.groupBy(_PID).agg(F.count("*").alias("_fl_n")).select(
+        _PID, F.coalesce(F.sum("_fl_n").over(before), F.lit(0)).alias("_fl_before")
+    )
+    place = F.col("_fl_before") + F.col("_fl_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return kept.join(F.broadcast(offsets), _PID).select(*df.columns, place.alias(out))
+
+
 # A boundary bucket of more rows than this is split by four more hash digits.
 EDGE_ROWS = 65_536
 PREFIX_DIGITS = 4

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from faultline.operators import clean, drift, evaluation, impute, metrics, resample, sampling, scaling, training, validation
 from faultline.session import cut_lineage, shared_table
 from faultline.plans import fixtures as fx
+from faultline.plans import roundtrips
 from faultline.spec import ColumnSpec
 
 DIGITS = 6
@@ -216,6 +217,7 @@ def q_random_search(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **roundtrips.QUERIES,
     "drift_lineitem": q_drift_lineitem,
     "drift_events": q_drift_events,
     "drift_shifted": q_drift_shifted,

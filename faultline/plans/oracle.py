@@ -297,7 +297,7 @@ FROM vm CROSS JOIN means
 VEC_ROWS = f"SELECT CAST(vec_id AS VARCHAR) AS row_id, class, {', '.join(VF)} FROM ({VEC_WIDE})"
 
 
-def smote_sql(rows: str, seed: int = 0, k: int = 5) -> str:
+def smote_sql(rows: str, seed: int = 0, k: int = 5, feats: list[str] = VF) -> str:
     """Original rows plus synthetic minority rows (mirrors resample.smote_balance)."""
     return f"""
 WITH vr AS ({rows}),
@@ -305,31 +305,31 @@ cnt AS (SELECT class, count(*) AS n FROM vr GROUP BY class),
 par AS (SELECT (SELECT class FROM cnt ORDER BY n, class LIMIT 1) AS mclass,
                (SELECT max(n) FROM cnt) - (SELECT min(n) FROM cnt) AS n_new,
                (SELECT min(n) FROM cnt) AS n_min),
-par2 AS (SELECT *, n_new // n_min AS base, n_new % n_min AS extra, least({k}, n_min - 1) AS k_eff FROM par),
-mino AS (SELECT vr.* FROM vr, par2 WHERE vr.class = par2.mclass AND par2.n_new > 0 AND par2.n_min >= 2),
+par2 AS (SELECT *, n_new // n_min AS base, n_new % n_min AS extra, {k} AS k_eff FROM par),
+mino AS (SELECT vr.* FROM vr, par2 WHERE vr.class = par2.mclass AND par2.n_new > 0 AND par2.n_min > {k}),
 alloc AS (SELECT mino.*, row_number() OVER (ORDER BY md5(concat_ws(':', '{seed}', 'alloc', row_id)), row_id) AS ar FROM mino),
 per_row AS (SELECT alloc.*, base + CASE WHEN ar <= extra THEN 1 ELSE 0 END AS nj, k_eff FROM alloc, par2),
 draws AS (SELECT per_row.*, j FROM per_row, LATERAL (SELECT unnest(range(1, nj + 1)) AS j) WHERE nj > 0),
 draws2 AS (SELECT *, CAST(floor(({_unit(f"'{seed}'", "'nn'", "row_id", "CAST(j AS VARCHAR)")}) * k_eff) + 1 AS INTEGER) AS pick,
                   {_unit(f"'{seed}'", "'step'", "row_id", "CAST(j AS VARCHAR)")} AS u
            FROM draws),
-mp AS (SELECT a.row_id AS q, b.row_id AS b, sqrt({" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in VF)}) AS dist
+mp AS (SELECT a.row_id AS q, b.row_id AS b, sqrt({" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in feats)}) AS dist
        FROM mino a JOIN mino b ON a.row_id <> b.row_id),
 nn AS (SELECT q, b, row_number() OVER (PARTITION BY q ORDER BY dist, b) AS rk FROM mp),
 synth AS (SELECT 's' || d.row_id || ':' || CAST(d.j AS VARCHAR) AS row_id, d.class,
-                 {", ".join(f"d.{c} + d.u * (m.{c} - d.{c}) AS {c}" for c in VF)}
+                 {", ".join(f"d.{c} + d.u * (m.{c} - d.{c}) AS {c}" for c in feats)}
           FROM draws2 d JOIN nn ON nn.q = d.row_id AND nn.rk = d.pick JOIN mino m ON m.row_id = nn.b)
-SELECT row_id, class, {", ".join(VF)} FROM vr
+SELECT row_id, class, {", ".join(feats)} FROM vr
 UNION ALL
-SELECT row_id, class, {", ".join(VF)} FROM synth
+SELECT row_id, class, {", ".join(feats)} FROM synth
 """
 
 
-def tomek_sql(rows: str) -> str:
+def tomek_sql(rows: str, feats: list[str] = VF) -> str:
     """``(row_id, class, partner)`` for rows in a Tomek link of ``rows``."""
     return f"""
 WITH tr AS ({rows}),
-pd AS (SELECT a.row_id AS q, b.row_id AS b, sqrt({" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in VF)}) AS dist
+pd AS (SELECT a.row_id AS q, b.row_id AS b, sqrt({" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in feats)}) AS dist
        FROM tr a JOIN tr b ON a.row_id <> b.row_id),
 n1 AS (SELECT q, b FROM (SELECT q, b, row_number() OVER (PARTITION BY q ORDER BY dist, b) AS rk FROM pd) WHERE rk = 1)
 SELECT x.q AS row_id, lq.class, x.b AS partner
@@ -405,7 +405,118 @@ SELECT CASE WHEN 1 - quality = 0 THEN 'neg' WHEN 1 - quality = 1 THEN 'pos' END
 FROM labels
 """
 
+# -- twins of plans/roundtrips.py --------------------------------------------------------
+CUSTOMER_RAW = """
+SELECT CASE WHEN c_nationkey < 3 THEN 'pos' ELSE 'neg' END AS class, CAST(c_custkey AS VARCHAR) AS aa_000,
+       CASE WHEN c_acctbal < 0 THEN 'na' ELSE CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) END AS ab_000,
+       CAST(c_nationkey AS VARCHAR) AS br_000
+FROM customer
+"""
+CUSTOMER_NULL = f"SELECT class, aa_000, nullif(ab_000, 'na') AS ab_000, br_000 FROM ({CUSTOMER_RAW})"
+FEW = VF[:4]
+VEC_FEW = f"SELECT vec_id, class, {', '.join(FEW)} FROM ({VEC_MISSING})"
+_few_ss = " + ".join(f"coalesce((r.{c} - d.{c}) * (r.{c} - d.{c}), 0)" for c in FEW)
+_few_n = " + ".join(f"CAST((r.{c} - d.{c}) IS NOT NULL AS INTEGER)" for c in FEW)
+
+
+def _few_imputed(don: str) -> str:
+    """VEC_FEW imputed from the rows of ``don`` (k = 5)."""
+    return f"""
+WITH vm AS ({VEC_FEW}), don AS ({don}),
+recv AS (SELECT * FROM vm WHERE {" OR ".join(f"{c} IS NULL" for c in FEW)}),
+pr AS (SELECT r.vec_id AS rid, d.vec_id AS did, {_few_ss} AS ss, {_few_n} AS nsh,
+              {", ".join(f"d.{c} AS v_{c}, r.{c} IS NULL AS m_{c}" for c in FEW)} FROM recv r CROSS JOIN don d),
+dd AS (SELECT *, CASE WHEN nsh > 0 THEN sqrt(CAST({len(FEW)} AS DOUBLE) / nsh * ss) END AS dist FROM pr),
+cand AS ({" UNION ALL ".join(f"SELECT rid, '{c}' AS col, did, dist, v_{c} AS val FROM dd WHERE m_{c} AND v_{c} IS NOT NULL AND dist IS NOT NULL" for c in FEW)}),
+top AS (SELECT *, row_number() OVER (PARTITION BY rid, col ORDER BY dist, did) AS r FROM cand),
+imp AS (SELECT rid, col, avg(val) AS v FROM top WHERE r <= 5 GROUP BY rid, col),
+means AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in FEW)} FROM don)
+SELECT vm.vec_id, vm.class, {", ".join(f"coalesce(vm.{c}, i_{c}.v, means.{c}) AS {c}" for c in FEW)}
+FROM vm CROSS JOIN means {" ".join(f"LEFT JOIN imp i_{c} ON i_{c}.rid = vm.vec_id AND i_{c}.col = '{c}'" for c in FEW)}
+"""
+
+
+_FEW_TRAIN = f"SELECT * FROM ({split_sql(VEC_FEW, keys=['vec_id'])}) WHERE split = 'train'"
+PREPROCESS_STATE = f"""
+WITH filled AS ({_few_imputed(_FEW_TRAIN)}),
+tr AS (SELECT * FROM filled WHERE vec_id IN (SELECT vec_id FROM ({_FEW_TRAIN}))),
+q AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}" for c in FEW)} FROM tr)
+SELECT vec_id, class, {", ".join(f"ROUNDX(({c} - m_{c}) / CASE WHEN s_{c} < 2.220446049250313e-15 THEN 1.0 ELSE s_{c} END, {D}) AS {c}" for c in FEW)}
+FROM filled, q
+"""
+_SCORES3 = _SCORES.replace(f", {D})", ", 3)")
+METRICS_HISTORY = f"""
+WITH a AS (SELECT 1700000000 AS timestamp, {_counts('toxic', '1 - quality')} FROM labels
+           UNION ALL SELECT 1700000001, {_counts('toxic', 'toxic')} FROM labels)
+SELECT CAST(timestamp AS BIGINT) AS timestamp, {_SCORES3} FROM a
+"""
+SHUFFLED_ROWS = """
+SELECT c_custkey, row_number() OVER (ORDER BY md5(concat_ws(':', '42', CAST(c_custkey AS VARCHAR))), c_custkey) - 1 AS place
+FROM customer
+"""
+SMOTE_TOMEK_OVERLAP = f"""
+WITH bal AS ({smote_sql(f"SELECT CAST(vec_id AS VARCHAR) AS row_id, class, {', '.join(FEW)} FROM ({VEC_WIDE})", feats=FEW)}),
+links AS ({tomek_sql("SELECT * FROM bal", FEW)})
+SELECT row_id, class, {', '.join(f'ROUNDX({c}, {D}) AS {c}' for c in FEW)}
+FROM bal WHERE row_id NOT IN (SELECT row_id FROM links)
+"""
+SEARCH_FOLDS = f"""
+WITH v AS (SELECT CASE WHEN class = 'pos' THEN 1.0 ELSE 0.0 END AS label FROM ({VEC_WIDE})),
+c AS (SELECT CAST(label AS DOUBLE) AS label, count(*) AS n FROM v GROUP BY label)
+SELECT label, CAST(i AS INTEGER) AS fold, CAST(n * (i + 1) // 3 - n * i // 3 AS BIGINT) AS n FROM c, range(0, 3) r(i)
+"""
+REGISTRY_ENTRIES = f"""
+WITH c AS (SELECT {_counts('toxic', '1 - quality')} FROM labels), s AS (SELECT {_SCORES} FROM c)
+SELECT CAST(20 AS BIGINT) AS version, f1_score, roc_auc_score, false AS had_model, true AS has_model,
+       CAST(20 AS BIGINT) AS newest_run FROM s
+"""
+BATCH_SCORING = f"""
+SELECT true AS labelled, {", ".join(f"CAST(CAST(round({c} * 1000) AS BIGINT) AS DOUBLE) AS {c}" for c in FEW)} FROM ({VEC_FEW})
+"""
+# A row's key is the md5 of its columns in name order and a number among equal rows (here: 1).
+ETL_JOB = f"""
+WITH raw AS ({CUSTOMER_RAW}),
+k AS (SELECT *, md5(concat_ws(chr(31), aa_000, ab_000, br_000, class)) || ':1' AS row_key FROM raw),
+neg AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', '42', row_key)), row_key) AS rn,
+               round_even(CAST(0.3 AS DOUBLE) * count(*) OVER (), 0) AS quota FROM k WHERE class = 'neg'),
+kept AS (SELECT class, aa_000, ab_000, br_000 FROM raw WHERE class = 'pos'
+         UNION ALL SELECT class, aa_000, ab_000, br_000 FROM neg WHERE rn <= quota)
+SELECT class, aa_000, nullif(ab_000, 'na') AS ab_000, br_000, count(*) OVER () AS n_loaded FROM kept
+"""
+
+ROUNDTRIPS: dict[str, str] = {
+    "preamble_csv": CUSTOMER_NULL,
+    "headed_csv": CUSTOMER_NULL,
+    "documents_replaced": f"SELECT *, count(*) OVER () AS n_written FROM ({CUSTOMER_NULL})",
+    "feature_store": CUSTOMER_NULL,
+    "feature_matrix": f"""SELECT vec_id, CAST(CASE WHEN class = 'pos' THEN 1 ELSE 0 END AS INTEGER) AS label, {NF} AS width,
+        ROUNDX({" + ".join(f"{c} * {i}" for i, c in enumerate(VF, 1))}, 6) AS weighted FROM ({VEC_WIDE})""",
+    "drift_report_file": DRIFT_LINEITEM,
+    "metrics_history": METRICS_HISTORY,
+    "strict_drop": f"SELECT class, aa_000, ab_000 FROM ({CUSTOMER_RAW})",
+    "lenient_drop": f"SELECT class, aa_000, ab_000 FROM ({CUSTOMER_NULL})",
+    "features_target": f"""SELECT CAST(aa_000 AS DOUBLE) AS aa_000, CAST(ab_000 AS DOUBLE) AS ab_000,
+        CAST(CASE WHEN class = 'pos' THEN 1 ELSE 0 END AS INTEGER) AS label FROM ({CUSTOMER_NULL})""",
+    "class_rows": f"SELECT * FROM ({CUSTOMER_RAW}) WHERE class = 'pos'",
+    "union_missing": f"SELECT class, aa_000, CASE WHEN class = 'pos' THEN ab_000 END AS ab_000, br_000 FROM ({CUSTOMER_RAW})",
+    "shuffled_rows": SHUFFLED_ROWS,
+    "scoring_violations": f"""
+SELECT 'input' AS frame, 'column_count' AS "check", 'expected 3 columns, found 4' AS detail
+UNION ALL SELECT 'input', 'missing_numeric_column', 'zz_000'
+UNION ALL SELECT 'input', 'non_numeric_values', 'ab_000: ' || CAST(n AS VARCHAR) FROM (
+  SELECT count(*) FILTER (WHERE TRY_CAST(ab_000 AS DOUBLE) IS NULL) AS n FROM ({CUSTOMER_RAW})) WHERE n > 0""",
+    "preprocess_state": PREPROCESS_STATE,
+    "smote_tomek_overlap": SMOTE_TOMEK_OVERLAP,
+    "search_folds": SEARCH_FOLDS,
+    "gbt_scored_rows": f"""SELECT vec_id, class, CAST(CASE WHEN class = 'pos' THEN 1 ELSE 0 END AS INTEGER) AS label,
+        true AS binary, true AS beats_majority FROM ({VEC_FEW})""",
+    "registry_entries": REGISTRY_ENTRIES,
+    "batch_scoring": BATCH_SCORING,
+    "etl_job": ETL_JOB,
+}
+
 _RAW_ORACLE: dict[str, str] = {
+    **ROUNDTRIPS,
     "drift_lineitem": DRIFT_LINEITEM,
     "drift_events": DRIFT_EVENTS,
     "drift_shifted": DRIFT_SHIFTED,
