@@ -51,6 +51,9 @@ _PARTS = re.compile(r"^([\W\d_]*)(.*?)([\W\d_]*)$", re.S)
 
 
 def _marks(word: str) -> list[str]:
+    if word.isalpha():  # most words
+        caps = len(word) > 1 and word.isupper()
+        return ["w:" + word.lower(), "caps"] if caps else ["w:" + word.lower()]
     before, core, behind = _PARTS.match(word).groups()
     out = ["w:" + core.lower()] if core else []
     out += ["a:" + re.sub(r"\d", "0", before)[:16]] if before else []
