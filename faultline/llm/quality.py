@@ -115,7 +115,7 @@ def fit_ordinal(
 ) -> OrdinalModel:
     """Penalised maximum likelihood by Adam over the sampled documents' places."""
     doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    place = np.concatenate([np.empty(0, np.int64), *docs])
+    place = np.concatenate([np.empty(0, np.int32), *docs])
     places, counts = np.unique(place, return_counts=True)
     places = places[counts >= max(MIN_DOCS, MIN_SHARE * len(docs))]
     at = np.searchsorted(places, place)
@@ -173,17 +173,17 @@ def fit(
         for batch in batches:
             for part in slices(batch, 1, 8192, 8 << 20):
                 doc, place = features(part.column(1))
-                lists = np.split(place, np.searchsorted(doc, np.arange(1, part.num_rows)))
+                lists = np.split(place.astype("<i4"), np.searchsorted(doc, np.arange(1, part.num_rows)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(lists, pa.list_(pa.int64()))], names=["grade", "places"]
+                    [part.column(0), pa.array([x.tobytes() for x in lists], pa.binary())], names=["grade", "places"]
                 )
 
-    rows = texts.mapInArrow(run, "grade int, places array<long>").collect()  # the sample
+    rows = texts.mapInArrow(run, "grade int, places binary").collect()  # the sample
     if not rows:
         return None
     rows.sort(key=lambda r: (r["grade"], r["places"]))
     grades = np.array([r["grade"] for r in rows], dtype=np.int64)
-    return fit_ordinal([np.asarray(r["places"], dtype=np.int64) for r in rows], grades, n_grades)
+    return fit_ordinal([np.frombuffer(r["places"], "<i4") for r in rows], grades, n_grades)
 
 
 def score(
