@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from faultline.functions.kslaw import two_sample_pvalue
 
 # Terms of the Kolmogorov limit series; 100 is far past double precision for
 # every lambda where the series is used (small lambda is clamped to p = 1).
@@ -37,16 +41,19 @@ def kolmogorov_sf(lam: Column) -> Column:
     )
 
 
-def ks_pvalue(d: Column, n1: Column, n2: Column, method: str = "stephens") -> Column:
+def ks_pvalue(d: Column, n1: Column, n2: Column, method: str = "auto") -> Column:
     """Two-sided two-sample KS p-value from the statistic ``d``.
 
-    ``stephens`` (default): the finite-n one-sample law at the effective size
-    ``n = round_half_even(n1 n2 / (n1 + n2))`` (what SciPy uses for large
-    samples), in Stephens' closed form ``Q((sqrt(n) + 0.12 + 0.11/sqrt(n)) d)``.
+    ``auto`` (what SciPy's default computes): the exact law where neither sample has
+    more than 10,000 values, else the finite-n one-sample law at the effective
+    size ``round(n1 n2 / (n1 + n2))``.  It is evaluated in Python and meant for a
+    report with one row per column.
+    ``stephens``: Stephens' closed form of the latter,
+    ``Q((sqrt(n) + 0.12 + 0.11/sqrt(n)) d)``, as a column expression.
     ``asymptotic``: the limit law ``Q(d sqrt(n1 n2/(n1+n2)))``.
-    SciPy's exact small-sample mode is not reproduced (its cost grows with
-    ``n1 * n2``).
     """
+    if method == "auto":
+        return _ks_pvalue_udf(d, n1, n2)
     en = n1.cast("double") * n2.cast("double") / (n1 + n2).cast("double")
     if method == "asymptotic":
         lam = d * F.sqrt(en)
@@ -56,3 +63,9 @@ def ks_pvalue(d: Column, n1: Column, n2: Column, method: str = "stephens") -> Co
     else:
         raise ValueError(f"unknown KS p-value method {method!r}")
     return F.when((n1 > 0) & (n2 > 0), kolmogorov_sf(lam))
+
+
+@F.pandas_udf(T.DoubleType())
+def _ks_pvalue_udf(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    rows = zip(d, n1.fillna(0).astype("int64"), n2.fillna(0).astype("int64"))
+    return pd.Series([two_sample_pvalue(x, a, b) if pd.notna(x) and a > 0 and b > 0 else None for x, a, b in rows], dtype="float64")

@@ -4,8 +4,7 @@ Plan: one scan, unpivoted to ``(column, value, side)``, is counted per
 ``(column, value)`` and side (map-side partial aggregation collapses repeated
 readings before the shuffle) and written; from these counts take exact cumulative counts per column with
 the range-partitioned running totals (no per-column task), then
-``D = max |F_base - F_current|`` per column and a p-value from the
-Kolmogorov limit law.  Ties are handled by comparing cumulative counts only at
+``D = max |F_base - F_current|`` per column and its p-value.  Ties are handled by comparing cumulative counts only at
 distinct values, which is what a searchsorted-based KS computes.
 """
 
@@ -19,7 +18,7 @@ from pyspark.sql import types as T
 
 from faultline.functions.stats import ks_pvalue
 from faultline.operators.ranking import running_totals
-from faultline.session import shared_table
+from faultline.session import shared_table, ship_package
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -118,7 +117,7 @@ def ks_drift_report(
     columns: Sequence[str] | None = None,
     threshold: float = 0.05,
     nan_policy: str = "omit",
-    pvalue_method: str = "stephens",
+    pvalue_method: str = "auto",
 ) -> DataFrame:
     """Per-column KS drift report of ``current`` against ``base`` (two tables).
 
@@ -137,7 +136,7 @@ def ks_drift_by_side(
     columns: Sequence[str],
     threshold: float = 0.05,
     nan_policy: str = "omit",
-    pvalue_method: str = "stephens",
+    pvalue_method: str = "auto",
 ) -> DataFrame:
     """Per-column KS drift report of the rows where the boolean column ``side`` is true
     against those where it is false; one scan of ``df`` (rows with a null side are
@@ -157,6 +156,7 @@ def ks_drift_by_side(
     if nan_policy not in ("omit", "propagate"):
         raise ValueError("nan_policy must be 'omit' or 'propagate'")
     cols = list(columns)
+    ship_package(df.sparkSession)
     types = {f.name: f.dataType for f in df.schema.fields}
     report = _ks_chain(df.filter(F.col(side).isNotNull()), side, cols, [_kind(types[c]) for c in cols])
     d = F.col("d_statistic")

@@ -21,6 +21,7 @@ from faultline.spec import ColumnSpec
 DIGITS = 6
 SPLIT_SEED = 1
 SAMPLE_SEED = 42
+SQL_PVALUE = fx.SQL_PVALUE
 
 
 def _round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -48,11 +49,11 @@ def sensor_split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- V5/V6 drift ---------------------------------------------------------------
 def q_drift_lineitem(spark, sf_dir):
-    return _round_doubles(drift.ks_drift_by_side(fx.lineitem_sides(spark, sf_dir), "late", fx.SENSOR_MEASURES))
+    return _round_doubles(drift.ks_drift_by_side(fx.lineitem_sides(spark, sf_dir), "late", fx.SENSOR_MEASURES, pvalue_method=SQL_PVALUE))
 
 
 def q_drift_events(spark, sf_dir):
-    return _round_doubles(drift.ks_drift_by_side(fx.events_sides(spark, sf_dir), "late", ["value", "event_type"]))
+    return _round_doubles(drift.ks_drift_by_side(fx.events_sides(spark, sf_dir), "late", ["value", "event_type"], pvalue_method=SQL_PVALUE))
 
 
 def q_drift_shifted(spark, sf_dir):
@@ -63,19 +64,19 @@ def q_drift_shifted(spark, sf_dir):
     sided = li.withColumn("shifted", half.isin(*"01234567")).withColumn(
         "l_discount", F.col("l_discount") + F.when(F.col("shifted"), F.lit(0.01)).otherwise(F.lit(0.0))
     )
-    return _round_doubles(drift.ks_drift_by_side(sided, "shifted", fx.SENSOR_MEASURES))
+    return _round_doubles(drift.ks_drift_by_side(sided, "shifted", fx.SENSOR_MEASURES, pvalue_method=SQL_PVALUE))
 
 
 def q_drift_sensor_propagate(spark, sf_dir):
     """Reference semantics: train vs test over every column, label included;
     columns with any missing value get no statistic and cannot drift."""
     split = sensor_split_frame(spark, sf_dir).withColumn("is_test", F.col("split") == "test")
-    return _round_doubles(drift.ks_drift_by_side(split, "is_test", ["class", *fx.SENSOR_MEASURES], nan_policy="propagate"))
+    return _round_doubles(drift.ks_drift_by_side(split, "is_test", ["class", *fx.SENSOR_MEASURES], nan_policy="propagate", pvalue_method=SQL_PVALUE))
 
 
 def q_drift_verdict(spark, sf_dir):
     """V6: one row, ``no_drift`` only when no column drifted."""
-    return drift.drift_verdict(drift.ks_drift_by_side(fx.lineitem_sides(spark, sf_dir), "late", fx.SENSOR_MEASURES))
+    return drift.drift_verdict(drift.ks_drift_by_side(fx.lineitem_sides(spark, sf_dir), "late", fx.SENSOR_MEASURES, pvalue_method=SQL_PVALUE))
 
 
 # -- P2-P6 cleaning ------------------------------------------------------------

@@ -19,6 +19,7 @@ SENSOR_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 SENSOR_SPEC = ColumnSpec(features=tuple(SENSOR_MEASURES), label="class", keys=tuple(SENSOR_KEYS))
 DRIFT_CUTOFF = "1998-06-01"
 EVENTS_CUTOFF = "2024-01-16"
+SQL_PVALUE = "stephens"  # the p-value formula that SQL can state; the operators' default is the finite-sample law
 VEC_DIMS = 64  # the whole embedding vector
 VEC_FEATURES = [f"f{i}" for i in range(1, VEC_DIMS + 1)]
 VEC_SPEC = ColumnSpec(features=tuple(VEC_FEATURES), label="class", keys=("vec_id",))

@@ -99,7 +99,7 @@ def q_feature_matrix(spark, sf_dir):
 
 def q_drift_report_file(spark, sf_dir):
     path = scratch(spark, "report")
-    report = drift.ks_drift_by_side(fx.lineitem_sides(spark, sf_dir), "late", fx.SENSOR_MEASURES)
+    report = drift.ks_drift_by_side(fx.lineitem_sides(spark, sf_dir), "late", fx.SENSOR_MEASURES, pvalue_method=fx.SQL_PVALUE)
     rounded = report.withColumns({c: F.round(c, 6) for c in ("d_statistic", "p_value")})
     reports.write_report(rounded, path)
     return spark.read.schema(rounded.schema).json(path)

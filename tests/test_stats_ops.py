@@ -143,3 +143,32 @@ def test_ks_single_row_sides_do_not_fail(spark):
     cur = spark.createDataFrame([(2.0,)], "x double")
     r = drift.ks_drift_report(base, cur, ["x"]).first()
     assert r["d_statistic"] == 1.0 and 0.0 <= r["p_value"] <= 1.0
+
+
+def test_ks_laws_against_published_and_enumerated_values(spark):
+    """Tabulated 5 % points of the one-sample statistic, and orderings counted one by one."""
+    import itertools
+
+    from faultline.functions import kslaw
+
+    for n, d in ((5, 0.56328), (10, 0.40925), (20, 0.29408), (100, 0.13403)):
+        assert abs(kslaw.one_sample_sf(d, n) - 0.05) < 1e-4
+    for z in (0.6, 0.9, 1.36, 2.2):  # the expansion takes over where the matrix ends
+        d = z / 2000**0.5
+        assert abs(kslaw._durbin_cdf(d, 2000) - kslaw._pelz_good_cdf(d, 2000)) < 2e-6
+    for n1, n2, d in ((4, 5, 0.6), (6, 4, 0.5), (7, 3, 2 / 3)):
+        hits = []
+        for c in itertools.combinations(range(n1 + n2), n1):
+            i = j = worst = 0
+            for k in range(n1 + n2):
+                i, j = (i + 1, j) if k in c else (i, j + 1)
+                worst = max(worst, abs(i * n2 - j * n1))
+            hits.append(worst >= round(d * n1 * n2))
+        assert abs(kslaw.two_sample_exact(d, n1, n2) - sum(hits) / len(hits)) < 1e-12
+    base = spark.createDataFrame([(float(i),) for i in range(4)], "x double")
+    cur = spark.createDataFrame([(float(i) + 1.5,) for i in range(5)], "x double")
+    r = drift.ks_drift_report(base, cur, ["x"]).first()
+    assert abs(r["p_value"] - kslaw.two_sample_exact(r["d_statistic"], 4, 5)) < 1e-12
+    # whole numbers above 2**53 stay apart
+    big = [spark.createDataFrame([(2**53 + k,)] * 50, "x long") for k in (0, 1)]
+    assert drift.ks_drift_report(*big, ["x"]).first()["d_statistic"] == 1.0
