@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.operators.neighbors import DEFAULT_BLOCK_ROWS, knn_impute_candidates
-from faultline.session import cut_lineage
+from faultline.session import shared_table
 
 
 def _any_null(features: Sequence[str]):
@@ -45,10 +45,11 @@ class KNNImputerModel:
         """Impute ``df``; ``key`` (default: the training key) must identify its rows."""
         feats = self.features
         key = key or self.key
-        df = _nan_to_null(df, feats)
-        incomplete = _any_null(feats)
-        complete_rows = df.filter(~incomplete)
-        receivers = df.filter(incomplete)
+        # Written once with its flag: both branches read it, and their filters name one
+        # boolean column instead of an expression over every feature.
+        flagged = shared_table(_nan_to_null(df, feats).withColumn("_fl_missing", _any_null(feats)), "rows")
+        complete_rows = flagged.filter(~F.col("_fl_missing")).drop("_fl_missing")
+        receivers = flagged.filter("_fl_missing").drop("_fl_missing")
         key_type = df.schema[key].dataType
         donors = self.donors.select(F.col(self.key).cast(key_type).alias(key), *feats)
         cand = knn_impute_candidates(receivers, donors, key, feats, self.k, self.block_rows)
@@ -93,7 +94,7 @@ class KNNImputer:
     def fit(self, df: DataFrame, key: str, features: Sequence[str]) -> KNNImputerModel:
         feats = list(features)
         # The donor rows are the fitted state; written once, then read by every block.
-        donors = cut_lineage(_nan_to_null(df.select(key, *feats), feats))
+        donors = shared_table(_nan_to_null(df.select(key, *feats), feats), "donors")
         row = donors.agg(*[F.avg(c).alias(c) for c in feats]).first()  # one value per column
         empty = [c for c in feats if row[c] is None]
         if empty:

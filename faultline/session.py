@@ -31,11 +31,6 @@ def get_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Sensor tables are wide (163 features in the reference).  Constraint
-        # propagation rewrites every inferred predicate once per aliased
-        # column, which grows without bound on the driver for such plans;
-        # filters are still pushed down without it.
-        "spark.sql.constraintPropagation.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
