@@ -25,8 +25,6 @@ from faultline.llm import (
 )
 from faultline.llm.common import table
 
-TOKENIZER_DIR_PACKAGE = "public_tokenizers"
-
 # --- Fixed values: the URL rules of op2. ---------------------------------------------
 URL_RULES = [
     url_filter.Rule("allow", "com/"),
