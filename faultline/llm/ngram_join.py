@@ -352,7 +352,9 @@ def _joined(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     reps = rows.select("row", "sig", "bands").join(classes.select(F.col("rep").alias("row"), "size"), "row")
     reps = materialize(reps, "reps")
     near = components(materialize(candidate_edges(reps, threshold, tolerance), "candidates"))
-    members = near.join(reps.select("row", "size"), "row").join(rows.select("row", F.col("c1").alias("text")), "row")
+    # written: few rows beside the texts, and their size tells Spark how to fetch the texts
+    near = materialize(near.join(reps.select("row", "size"), "row"), "near")
+    members = near.join(rows.select("row", F.col("c1").alias("text")), "row")
     found = materialize(verified_links(members, threshold), "links")
     final = components(found.filter("b is not null").select("a", "b"))
     links = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
@@ -392,7 +394,11 @@ def keep_one(
     """The input with one row of each near-duplicate class: the one with the smallest id."""
     others = tuple(c for c in docs.columns if c not in (id_col, text_col))
     rows = signatures(docs, id_col, text_col, others)
+    joined = _joined(rows, threshold, tolerance)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("first")
-    kept = _joined(rows, threshold, tolerance).groupBy("class_row").agg(first).select(F.col("first.row").alias("row"))
+    several = materialize(joined.groupBy("class_row").agg(F.count("*").alias("n"), first).filter("n > 1"), "several")
+    # The rows to drop are the smaller part: only they are looked for among the texts.
+    dropped = joined.select("row", "class_row").join(several.select("class_row", F.col("first.row").alias("kept")), "class_row")
+    dropped = materialize(dropped.filter("row <> kept").select("row"), "dropped")
     at = {c: f"c{i}" for i, c in enumerate([id_col, text_col, *others])}
-    return rows.join(kept, "row", "left_semi").select(*[F.col(at[c]).alias(c) for c in docs.columns])
+    return rows.join(dropped, "row", "left_anti").select(*[F.col(at[c]).alias(c) for c in docs.columns])
