@@ -38,7 +38,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +48,7 @@ from faultline.session import ship_package
 
 UNDETERMINED = "und"
 SAMPLE_ROWS = 300
-SAMPLE_CHARS = 120_000
+SAMPLE_CHARS = 60_000
 MIN_CHARS, MAX_CHARS = 200, 8_000
 BLOCK = 512  # characters parsed in one run
 LANES = 2048  # blocks parsed side by side
@@ -123,13 +122,16 @@ def _parser(table: np.ndarray) -> np.ndarray:
     only met at the start and after a symbol that the sample does not have,
     which is a phrase of its own."""
     width = table.shape[1]
-    step = table.astype(np.int64) * width * 2
-    restart = np.broadcast_to(step[0], step.shape)
-    step = np.where(table > 0, step, restart | 1)
-    step[0] |= 1
-    if len(step) * width * 2 >= 2**31:
+    if table.size * 2 >= 2**31:
         raise ValueError("the language sample is too large for 32-bit states")
-    return step.astype(np.int32).ravel()
+    step = table * np.int32(2 * width)
+    unknown = table == 0
+    step |= unknown
+    restart = step[0].copy()  # where a phrase that starts with the symbol leads
+    for c in range(width):
+        step[unknown[:, c], c] = (restart[c] | 1) if table[0, c] else 1
+    step[0] |= 1
+    return step.ravel()
 
 
 @dataclass
