@@ -8,6 +8,10 @@ normalised by length, estimates the cross entropy; the language that needs the
 fewest wins.  Languages whose sample is smaller know fewer substrings, so
 phrases are weighted with the log of the sample's length.
 
+Every letter of the samples is a symbol of its own, however many there are.  The
+transitions are kept sparsely, in a hash table without collisions, so a language
+takes space by its sample and not by the alphabet.
+
 Texts are read whole, as lower-case letters with every run of other characters
 turned into one space.  They are parsed in blocks of ``BLOCK`` characters, each
 block starting a new phrase for all languages alike, so that a task parses
@@ -52,7 +56,7 @@ SAMPLE_CHARS = 60_000
 MIN_CHARS, MAX_CHARS = 200, 8_000
 BLOCK = 512  # characters parsed in one run
 LANES = 2048  # blocks parsed side by side
-_SYMBOLS = 64  # 0: no transition ever; 1: space; 2..: the sample's most frequent letters
+_MIX = np.uint64(0x9E3779B97F4A7C15)  # spreads keys over the high bits
 
 
 # -- text to symbols -----------------------------------------------------------------
@@ -78,9 +82,9 @@ def _is_letter(cp: np.ndarray) -> np.ndarray:
 
 
 # -- automata --------------------------------------------------------------------------
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``symbols`` as a table of states by
-    symbols; 0 (the root) stands for "no transition"."""
+def suffix_automaton(symbols: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Transitions of the suffix automaton of ``symbols``: from state (0: the root), by
+    symbol, to state."""
     nxt: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -107,31 +111,66 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    out = np.zeros((len(nxt), width), dtype=np.int32)
     state = np.repeat(np.arange(len(nxt)), [len(d) for d in nxt])
-    out[state, np.fromiter((c for d in nxt for c in d), np.int64, len(state))] = np.fromiter(
-        (t for d in nxt for t in d.values()), np.int64, len(state)
-    )
-    return out
-
-
-def _parser(table: np.ndarray) -> np.ndarray:
-    """The automaton with the restart folded in: entry (state, symbol) is the next
-    state times the table's width, shifted left by one; the low bit says that a
-    phrase starts with this symbol.  The root is left by starting a phrase and is
-    only met at the start and after a symbol that the sample does not have,
-    which is a phrase of its own."""
-    width = table.shape[1]
-    if table.size * 2 >= 2**31:
-        raise ValueError("the language sample is too large for 32-bit states")
-    step = table * np.int32(2 * width)
-    unknown = table == 0
-    step |= unknown
-    restart = step[0].copy()  # where a phrase that starts with the symbol leads
-    for c in range(width):
-        step[unknown[:, c], c] = (restart[c] | 1) if table[0, c] else 1
-    step[0] |= 1
-    return step.ravel()
+    by = np.fromiter((c for d in nxt for c in d), np.int64, len(state))
+    to = np.fromiter((t for d in nxt for t in d.values()), np.int64, len(state))
+    return state, by, to
+
+
+class _Parser:
+    """Transitions of an automaton with the restart folded in.
+
+    States are carried times the number of symbols, so state + symbol is a
+    transition's key.  A key's bucket (its mixed high bits) names an odd
+    multiplier under which the bucket's keys fall on free slots: one look tells
+    whether the transition is there.  Where it is not, a phrase starts with the
+    symbol.  The root (0) has no entries: it is left by starting a phrase, and is
+    only met at the start and after a symbol that the sample does not have, which
+    is a phrase of its own."""
+
+    def __init__(self, symbols: list[int], width: int) -> None:
+        state, by, to = suffix_automaton(symbols)
+        state, by, to = (x[by > 0] for x in (state, by, to))  # symbol 0 never continues a match
+        root = state == 0
+        self.restart = np.zeros(width, dtype=np.int64)  # where a phrase that starts with the symbol leads
+        self.restart[by[root]] = to[root] * width
+        self._place(state[~root] * width + by[~root], to[~root] * width)
+
+    def _place(self, keys: np.ndarray, to: np.ndarray) -> None:
+        bits = max(int(2 * len(keys)).bit_length(), 3)
+        slot_shift, bucket_shift = np.uint64(64 - bits), np.uint64(64 - bits + 2)
+        mixed = keys.astype(np.uint64) * _MIX
+        bucket = (mixed >> bucket_shift).astype(np.int64)
+        self.slot_shift, self.bucket_shift = slot_shift, bucket_shift
+        self.odd = np.ones(1 << (bits - 2), dtype=np.uint64)
+        self.keys = np.full(1 << bits, -1)  # -1: free
+        self.to = np.zeros(1 << bits, dtype=np.int64)
+        r = np.random.default_rng(17)
+        size = np.bincount(bucket, minlength=len(self.odd))
+        for n in range(int(size.max(initial=0)), 0, -1):  # the largest buckets while most slots are free
+            left = np.flatnonzero(size[bucket] == n)
+            while len(left):
+                b = bucket[left]
+                odd = r.integers(0, 2**63, len(self.odd), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+                slot = ((mixed[left] * odd[b]) >> slot_shift).astype(np.int64)
+                claim = np.zeros(len(self.keys), dtype=np.int64)
+                claim[slot] = keys[left]
+                bad = (claim[slot] != keys[left]) | (self.keys[slot] >= 0)
+                failed = np.bincount(b[bad], minlength=len(self.odd)) > 0
+                ok = ~failed[b]
+                self.keys[slot[ok]], self.to[slot[ok]] = keys[left[ok]], to[left[ok]]
+                self.odd[b[ok]] = odd[b[ok]]
+                left = left[~ok]
+
+    def step(self, state: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and where a phrase starts."""
+        key = state + codes
+        mixed = key.view(np.uint64) * _MIX
+        mixed *= self.odd.take((mixed >> self.bucket_shift).view(np.int64))
+        mixed >>= self.slot_shift
+        slot = mixed.view(np.int64)
+        starts = self.keys.take(slot) != key
+        return np.where(starts, self.restart.take(codes), self.to.take(slot)), starts
 
 
 @dataclass
@@ -147,9 +186,8 @@ class Model:
     def build(self) -> "Model":
         texts = {lang: [_letters(t) for t in self.samples[lang]] for lang in self.languages}
         every = np.concatenate([np.empty(0, np.uint32), *[t for ts in texts.values() for t in ts]])
-        letters, counts = np.unique(every[every != 32], return_counts=True)
-        letters = letters[np.lexsort((letters, -counts))][: _SYMBOLS - 2]
-        self.symbol = np.zeros(0x110000, dtype=np.uint8)
+        letters = np.unique(every[every != 32])
+        self.symbol = np.zeros(0x110000, dtype=np.int32)  # 0: no sample has it; 1: space; 2..: letters
         self.symbol[32] = 1
         self.symbol[letters] = np.arange(2, 2 + len(letters))
         self.parsers, self.weight = [], []
@@ -157,9 +195,7 @@ class Model:
             joined: list[int] = []
             for t in texts[lang]:
                 joined += self.symbol[t].tolist() + [0]  # symbol 0 parts the texts
-            table = suffix_automaton(joined, _SYMBOLS)
-            table[:, 0] = 0  # and never continues a match
-            self.parsers.append(_parser(table))
+            self.parsers.append(_Parser(joined, 2 + len(letters)))
             self.weight.append(np.log2(max(len(joined), 2)))
         return self
 
@@ -169,7 +205,7 @@ class Model:
         has_letter = np.fromiter((any(map(str.isalpha, t or "")) for t in texts), bool, len(texts))
         sizes = np.where(has_letter, np.fromiter(map(len, symbols), np.int64, len(texts)), 0)
         out = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
-        flat = np.concatenate([np.empty(0, np.uint8), *[s for s, n in zip(symbols, sizes) if n]])
+        flat = np.concatenate([np.empty(0, np.int32), *[s for s, n in zip(symbols, sizes) if n]])
         blocks = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(texts)), blocks)
         first = np.repeat(np.cumsum(sizes) - sizes, blocks) + BLOCK * (
@@ -177,20 +213,19 @@ class Model:
         )
         length = np.minimum(BLOCK, np.repeat(np.cumsum(sizes), blocks) - first)
         order = np.argsort(-length, kind="stable")  # longest first: the lanes still running come first
-        padded = np.concatenate((flat, np.zeros(BLOCK, np.uint8)))
+        padded = np.concatenate((flat, np.zeros(BLOCK, np.int32)))
         for a in range(0, len(order), LANES):
             lanes = order[a : a + LANES]
             n = length[lanes]
-            codes = padded[first[lanes][:, None] + np.arange(n[0])[None, :]].T.astype(np.int32)
+            codes = padded[first[lanes][:, None] + np.arange(n[0])[None, :]].T.astype(np.int64, order="C")
             running = np.searchsorted(-n, -np.arange(n[0]), side="left")  # lanes longer than the position
             for j, parser in enumerate(self.parsers):
-                state = np.zeros(len(lanes), dtype=np.int32)
+                state = np.zeros(len(lanes), dtype=np.int64)
                 count = np.zeros(len(lanes), dtype=np.int32)
                 for i in range(int(n[0])):
                     r = running[i]
-                    step = parser.take(state[:r] + codes[i, :r])
-                    count[:r] += step & 1
-                    np.right_shift(step, 1, out=state[:r])
+                    state[:r], starts = parser.step(state[:r], codes[i, :r])
+                    count[:r] += starts
                 out[:, j] += np.bincount(owner[lanes], weights=count, minlength=len(texts)).astype(np.int64)
         return out, sizes
 

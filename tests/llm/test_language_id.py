@@ -47,6 +47,25 @@ def test_phrases_match_brute_force():
         assert got.tolist() == [_brute_phrases(norm, known["xx"]), _brute_phrases(norm, known["yy"])]
 
 
+def test_every_letter_counts():
+    """Hundreds of letters: phrases as by brute force, and every script keeps its language."""
+    r = random.Random(2)
+    scripts = {"el": (0x3B1, 17), "ja": (0x3042, 80), "ru": (0x430, 32), "xa": (0x4E00, 300), "xb": (0x5000, 300), "xc": (0x20000, 150)}
+    alphabet = {lang: [chr(a + i) for i in range(n)] for lang, (a, n) in scripts.items()}
+    alphabet["en"] = list("abcdefghijklmnopqrstuvwxyz")
+    vocab = {lang: ["".join(r.choices(letters, k=r.randint(1, 4))) for _ in range(80)] for lang, letters in alphabet.items()}
+    make = lambda lang, n: " ".join(r.choices(vocab[lang], k=n))
+    samples = {lang: [make(lang, 150 if lang == "en" else 250) for _ in range(2)] for lang in vocab}
+    model = li.Model(samples).build()
+    texts = {lang: [make(lang, 30) for _ in range(3)] for lang in vocab}
+    phrases, _ = model.phrases([t for ts in texts.values() for t in ts])
+    known = [[_norm(s) for s in samples[lang]] for lang in model.languages]
+    want = [[_brute_phrases(_norm(t), k) for k in known] for ts in texts.values() for t in ts]
+    assert phrases.tolist() == want
+    for lang, ts in texts.items():
+        assert model.predict(ts)[0] == [lang] * 3
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
     got = op10_language_id(spark, SF_CHECK).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
