@@ -6,7 +6,9 @@ longest matches: walk while the automaton has a transition, and where it has non
 close the phrase and start the next one at the root.  The number of phrases,
 normalised by length, estimates the cross entropy; the language that needs the
 fewest wins.  Languages whose sample is smaller know fewer substrings, so
-phrases are weighted with the log of the sample's length.
+phrases are weighted with the log of the sample's length; a letter that the
+sample does not have also costs the log of the number of symbols, so that a
+language with a few letters of sample does not win by its small weight.
 
 Every letter of the samples is a symbol of its own, however many there are.  The
 transitions are kept sparsely, in a hash table without collisions, so a language
@@ -17,19 +19,20 @@ turned into one space.  They are parsed in blocks of ``BLOCK`` characters, each
 block starting a new phrase for all languages alike, so that a task parses
 thousands of blocks side by side with array operations.
 
-The fit uses a bounded sample of the labelled rows: about ``sample_rows``
-rows per language, drawn by a hash over all labelled rows of ``min_chars`` to
-``max_chars`` characters (rows outside are only predicted), then whole texts in
-hash order up to ``sample_chars`` characters.  The automata follow from the
-sample; their size is bounded by it (below 2 * ``sample_chars`` states a
-language).  The sample is sent to the tasks, and each Python worker builds the
-automata once.
+The fit uses a bounded sample of the labelled rows.  Every labelled text with a
+letter may be drawn, whatever its length; of a longer one the first ``MAX_CHARS``
+characters.  Rows are drawn by a hash, for each language about ``sample_rows`` or,
+where texts are short, as many as hold about twice ``sample_chars`` characters.
+Then texts are taken up to ``sample_chars`` characters in hash order, whole ones
+before the starts of longer ones.  The automata follow from the sample; their size
+is bounded by it (below 2 * ``sample_chars`` states a language).  The sample is
+sent to the tasks, and each Python worker builds the automata once.
 
 Defined cases
 - null text, or text without a letter: ``und`` with score 0;
 - ties go to the language that comes first by code point;
 - no labelled rows: every document is ``und`` with score 0;
-- null labels are not learned; repeated rows are predicted alike;
+- null labels and labelled texts without a letter are not learned; repeated rows are predicted alike;
 - an empty table gives an empty result;
 - only id, text and (for the fit) the label are read, so extra columns never
   clash; a prediction sees the text alone.
@@ -53,7 +56,7 @@ from faultline.session import ship_package
 UNDETERMINED = "und"
 SAMPLE_ROWS = 300
 SAMPLE_CHARS = 60_000
-MIN_CHARS, MAX_CHARS = 200, 8_000
+MAX_CHARS = 8_000  # of a labelled text
 BLOCK = 512  # characters parsed in one run
 LANES = 2048  # blocks parsed side by side
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # spreads keys over the high bits
@@ -190,7 +193,7 @@ class Model:
         self.symbol = np.zeros(0x110000, dtype=np.int32)  # 0: no sample has it; 1: space; 2..: letters
         self.symbol[32] = 1
         self.symbol[letters] = np.arange(2, 2 + len(letters))
-        self.parsers, self.weight = [], []
+        self.parsers, self.weight, self.literal = [], [], np.log2(2 + len(letters))
         for lang in self.languages:
             joined: list[int] = []
             for t in texts[lang]:
@@ -201,11 +204,22 @@ class Model:
 
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases per (text, language) and symbols per text (0: no letter)."""
+        phrases, _, sizes = self._parse(texts)
+        return phrases, sizes
+
+    def _parse(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases and symbols that the language's sample does not have, both per (text,
+        language), and symbols per text (0: no letter)."""
         symbols = [self.symbol[_letters(t or "")] for t in texts]
         has_letter = np.fromiter((any(map(str.isalpha, t or "")) for t in texts), bool, len(texts))
         sizes = np.where(has_letter, np.fromiter(map(len, symbols), np.int64, len(texts)), 0)
         out = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
         flat = np.concatenate([np.empty(0, np.int32), *[s for s, n in zip(symbols, sizes) if n]])
+        absent = np.zeros_like(out)
+        ends = np.cumsum(sizes)
+        for j, parser in enumerate(self.parsers):
+            upto = np.append(0, np.cumsum(parser.restart.take(flat) == 0))
+            absent[:, j] = upto[ends] - upto[ends - sizes]
         blocks = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(texts)), blocks)
         first = np.repeat(np.cumsum(sizes) - sizes, blocks) + BLOCK * (
@@ -227,14 +241,14 @@ class Model:
                     state[:r], starts = parser.step(state[:r], codes[i, :r])
                     count[:r] += starts
                 out[:, j] += np.bincount(owner[lanes], weights=count, minlength=len(texts)).astype(np.int64)
-        return out, sizes
+        return out, absent, sizes
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score (1 - phrases of the best / of the second) per text."""
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        phrases, sizes = self.phrases(texts)
-        cost = phrases * np.asarray(self.weight)[None, :]
+        phrases, absent, sizes = self._parse(texts)
+        cost = phrases * np.asarray(self.weight)[None, :] + absent * self.literal
         best = cost.argmin(axis=1)
         if len(self.languages) > 1:
             two = np.partition(cost, 1, axis=1)[:, :2]
@@ -258,19 +272,24 @@ def fit(
     seed: int = 5,
 ) -> Model:
     """Sample labelled rows (where ``train`` holds).  What reaches the driver is about
-    ``sample_rows`` texts of at most ``MAX_CHARS`` characters per language."""
+    ``sample_rows`` texts of at most ``MAX_CHARS`` characters per language, or twice
+    ``sample_chars`` characters where that is more."""
     h = F.pmod(F.xxhash64(F.lit(seed), docs[id_col], docs[text_col]), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = docs.filter(docs[lang_col].isNotNull() & (F.lit(True) if train is None else train)).select(
-        docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text"), h.alias("h")
-    ).filter(F.length("text").between(MIN_CHARS, MAX_CHARS))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
-    if not counts:
+        docs[lang_col].cast("string").alias("lang"),
+        F.substring(docs[text_col], 1, MAX_CHARS).alias("text"),
+        (F.length(docs[text_col]) > MAX_CHARS).alias("cut"),
+        h.alias("h"),
+    ).filter(F.col("text").rlike("\\p{L}"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()  # one row per language
+    if not sizes:
         return Model({})
-    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, sample_rows / n)))])
+    shares = {r["lang"]: min(1.0, max(sample_rows / r["n"], 2 * sample_chars / r["chars"])) for r in sizes}
+    share = F.create_map(*[x for lang, part in shares.items() for x in (F.lit(lang), F.lit(part))])
     picked = rows.filter(F.col("h") < F.element_at(share, F.col("lang"))).collect()
     samples: dict[str, list[str]] = {}
-    left = dict.fromkeys(counts, sample_chars)
-    for r in sorted(picked, key=lambda r: (r["lang"], r["h"], r["text"])):
+    left = dict.fromkeys(shares, sample_chars)
+    for r in sorted(picked, key=lambda r: (r["lang"], r["cut"], r["h"], r["text"])):
         if left[r["lang"]] > 0:
             samples.setdefault(r["lang"], []).append(r["text"])
             left[r["lang"]] -= len(r["text"])

@@ -96,3 +96,24 @@ def test_edge_cases(spark):
     assert li.predict(docs.limit(0), model).count() == 0
     none = li.fit(docs.limit(0))
     assert none.samples == {} and {(r.lang_pred, r.score) for r in li.predict(docs, none).collect()} == {("und", 0.0)}
+
+
+def _texts(seed, lang, n, words):
+    r = random.Random(f"{seed}{lang}")
+    vocab = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 8))) for _ in range(200)]
+    return [" ".join(r.choices(vocab, k=words)) for _ in range(n)]
+
+
+def test_labelled_texts_of_any_length(spark):
+    """Titles and books are learned alike; a few letters of label do not win; no letter is no sample."""
+    kinds = {"title": (400, 6), "page": (40, 120), "book": (6, 3000)}
+    rows = [(lang, t) for lang, (n, words) in kinds.items() for t in _texts(0, lang, n, words)]
+    rows += [("tiny", "abc"), ("none", " 12 !"), ("none", None)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = li.fit(docs, sample_chars=10_000)
+    assert model.languages == ["book", "page", "tiny", "title"]
+    assert all(sum(map(len, ts)) <= 10_000 + li.MAX_CHARS for ts in model.samples.values())
+    assert sum(map(len, model.samples["title"])) >= 10_000  # more rows than sample_rows where texts are short
+    got = {r.doc_id: r.lang_pred for r in li.predict(docs, model).collect()}
+    wrong = [i for i, (lang, _) in enumerate(rows) if got[i] != lang and lang in kinds]
+    assert not wrong

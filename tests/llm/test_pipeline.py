@@ -49,3 +49,10 @@ def test_stages_in_order(spark):
 def test_run_reads_documents(spark):
     out = cp.run(spark, SF_SMALL)
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
+
+
+def test_corpus_of_short_labelled_texts_is_kept(spark):
+    rows = [(i, t, lang, "src1", len(t)) for i, (t, lang) in enumerate([("the dog", "en"), ("der hund", "de"), ("a cat sat", "en")] * 5)]
+    docs = spark.createDataFrame(rows + [(99, " 12 ", "en", "src1", 4)], spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema)
+    kept = cp.STAGES[0][1](spark, docs, SF_SMALL).collect()
+    assert sorted(tuple(r) for r in kept) == rows
