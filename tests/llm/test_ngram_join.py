@@ -1,5 +1,7 @@
 import random
+from math import comb
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -93,3 +95,15 @@ def test_ngram_sets_of_short_texts():
     sets = nj.ngram_sets(pa.array(["a b", "a  b", "a b c d e", None, "", "b a"]))
     assert [len(s) for s in sets] == [1, 1, 1, 0, 0, 1]
     assert sets[0][0] == sets[1][0] != sets[5][0]
+
+
+def test_pruning_loses_less_than_the_bands():
+    """Exact loss of a pair at the threshold: matches after each step are binomial."""
+    p = nj.THRESHOLD + (1 - nj.THRESHOLD) / 256
+    alive, done, lost = np.ones(1), 0, 0.0
+    for upto, least in zip(nj.STEPS, nj.min_matches()):
+        k = upto - done
+        alive = np.convolve(alive, [comb(k, i) * p**i * (1 - p) ** (k - i) for i in range(k + 1)])
+        lost += alive[:least].sum()
+        alive[:least], done = 0, upto
+    assert lost < (1 - nj.THRESHOLD**nj.BAND_ROWS) ** nj.BANDS
