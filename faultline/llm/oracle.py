@@ -76,3 +76,42 @@ f AS (SELECT e.doc_id, e.n_bytes, e.depth, e.prefix, b.shard_bytes,
 SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth, '0') END AS shard, depth, shard_bytes
 FROM f WHERE k = 1
 """
+
+ORACLE["op13_spelling_variants"] = """
+WITH RECURSIVE
+bits AS (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+grouped AS (SELECT doc_id, w, count(*) AS k, row_number() OVER () AS id FROM runs GROUP BY doc_id, w),
+-- crc32 is linear: what a byte adds depends on its value and on the number of bytes behind it
+chars AS (SELECT id, unnest(string_split(doc_id::VARCHAR || ':' || w, '')) AS ch, generate_subscripts(string_split(doc_id::VARCHAR || ':' || w, ''), 1) AS pos FROM grouped WHERE doc_id IS NOT NULL),
+bytes AS (
+  SELECT id, pos, 0 AS part, CASE WHEN unicode(ch) < 128 THEN unicode(ch) ELSE 195 END AS b FROM chars
+  UNION ALL SELECT id, pos, 1, unicode(ch) - 64 FROM chars WHERE unicode(ch) >= 128),
+placed AS (SELECT id, b, row_number() OVER (PARTITION BY id ORDER BY pos DESC, part DESC) - 1 AS behind FROM bytes),
+adds AS (
+  SELECT i AS b, 0::BIGINT AS behind, v FROM bits
+  UNION ALL SELECT a.b, a.behind + 1, xor(a.v >> 8, t.v) FROM adds a JOIN bits t ON t.i = (a.v & 255) WHERE a.behind < (SELECT max(behind) FROM placed)),
+zeros AS (
+  SELECT 0::BIGINT AS n, 4294967295::BIGINT AS c
+  UNION ALL SELECT z.n + 1, xor(z.c >> 8, t.v) FROM zeros z JOIN bits t ON t.i = (z.c & 255) WHERE z.n <= (SELECT max(behind) FROM placed)),
+crcs AS (SELECT id, xor(xor(max(z.c), bit_xor(a.v)), 4294967295) AS h FROM (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM placed) p JOIN adds a USING (b, behind) JOIN zeros z USING (n) GROUP BY id),
+written AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, k
+  FROM grouped LEFT JOIN crcs USING (id)),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM written WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+inserted AS (SELECT DISTINCT c.word AS long, c.n AS long_n, s.word AS short, s.n AS short_n FROM cut c JOIN words s ON c.rest = s.word),
+near AS (
+  SELECT long AS word, long_n AS n, short AS other, short_n AS other_n FROM inserted
+  UNION ALL SELECT short, short_n, long, long_n FROM inserted
+  UNION ALL SELECT a.word, a.n, b.word, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n) AS form_n FROM near GROUP BY word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS here, 0 AS steps FROM formed
+  UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN formed f ON c.here = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN (SELECT word, arg_max(here, steps) AS root FROM chain GROUP BY word) r USING (word)
+"""

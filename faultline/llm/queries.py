@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import (
+    byte_bpe,
     exact_dedup,
     language_id,
     lm_scoring,
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     quality,
     sharding,
+    spelling,
     topk,
     url_filter,
 )
@@ -108,6 +111,27 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as pt
+
+    docs = table(spark, sf_dir, "documents")
+    return byte_bpe.round_trip(docs, pt.path("byte_bpe_multi_50k.tiktoken"), pt.PATTERN)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    looped = docs.select("doc_id", periodic_runs.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic_runs.summarize(looped)
+
+
+SLIP_MODULUS = 97
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), slip_modulus=SLIP_MODULUS)
+    return spelling.variants(words)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
@@ -119,4 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
