@@ -12,7 +12,9 @@
    ``tolerance``.  By the binomial law a pair at 0.8 is pruned with probability
    5.6e-9, in all buckets alike, so bands and pruning together lose 5.3e-8 of
    such pairs.  A bucket reports a spanning forest of its surviving pairs,
-   never the pairs.
+   never the pairs.  A large bucket is cut into blocks: first each block reports its
+   forest; then pairs of blocks compare only members that those forests, taken over all
+   buckets, have not connected yet, and report only what connects them.
 4. Connected components of those forests bring possible partners together.
    Inside a component all pairs are verified exactly on their sets, block
    against block; each block pair reports link counts and a spanning forest.
@@ -39,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,7 +56,7 @@ HASHES = BANDS * BAND_ROWS
 TOLERANCE = 1e-9  # pruning then loses less than the bands
 STEPS = (16, 32, 64, 96, 128)
 BUCKET_BLOCK = 2048  # members of a bucket compared with one another in a task
-VERIFY_BLOCK = 512
+VERIFY_BLOCK = 256
 VERIFY_BYTES = 8 << 20  # text of one block
 
 
@@ -214,15 +216,28 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield rest
 
 
-def _block_pairs(members: DataFrame, key: str, n_blocks) -> DataFrame:
+def _own_block(n_blocks: Column) -> Column:
+    """The block of a member, by a hash of the row alone: in buckets of about one size the same
+    members meet again, in order of their rows, so they report mostly the same edges."""
+    return F.pmod(F.xxhash64("row"), n_blocks).cast("int")
+
+
+def _block_pairs(members: DataFrame, key: str, n_blocks: Column) -> DataFrame:
     """Members replicated to the pairs of blocks they meet in: columns ``bi`` <= ``bj``
-    and ``own`` (the member's block).  Blocks are dealt by a hash of the row."""
-    own = F.pmod(F.xxhash64("row", key), n_blocks).cast("int")
-    m = members.withColumn("nb", n_blocks.cast("int")).withColumn("own", own)
+    and ``own`` (the member's block)."""
+    m = members.withColumn("nb", n_blocks.cast("int")).withColumn("own", _own_block(n_blocks))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     return m.withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other")).drop("other", "nb")
 
 
+def _deal(cells: DataFrame, key: str) -> DataFrame:
+    """Pairs of blocks dealt to tasks by a number: those of one key go to tasks one after another,
+    so that a large key is spread evenly."""
+    n = shuffle_partitions(cells.sparkSession)
+    number = F.pmod(F.xxhash64(key), F.lit(n)) + F.expr("bj * (bj + 1L) div 2 + bi")
+    return cells.repartitionById(n, F.pmod(number, F.lit(n)).cast("int")).sortWithinPartitions(key, "bi", "bj")
+
+
 def _pairs_of(one: int, own: np.ndarray, bi: int, bj: int) -> np.ndarray:
     """Members that ``one`` meets in this pair of blocks (each pair of members once)."""
     if bi == bj:
@@ -235,25 +250,29 @@ def _forest_edges(rows: np.ndarray, forest: _Forest) -> tuple[np.ndarray, np.nda
     return rows[away], rows[forest.label[away]]
 
 
+def _sigs(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(t.num_rows, HASHES)
+
+
 def candidate_edges(reps: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """Spanning edges (``a``, ``b``) of the pairs that survive pruning, by bucket."""
+    """Written table of edges (``a``, ``b``) that connect what the pairs surviving in any bucket connect."""
     need = min_matches(threshold, tolerance)
     banded = reps.select("row", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = banded.join(shared, "key").join(reps.select("row", "sig"), "row")
-    cells = _block_pairs(members, "key", F.ceil(F.col("n") / BUCKET_BLOCK)).select("key", "bi", "bj", "own", "row", "sig")
+    shared = materialize(banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    blocks = F.ceil(F.col("n") / BUCKET_BLOCK)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def members(buckets: DataFrame) -> DataFrame:
+        return banded.join(buckets, "key").join(reps.select("row", "sig"), "row")
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_a, out_b = [], []
-        for t in _runs(batches, ["key", "bi", "bj"]):
+        for t in _runs(batches, ["key", "own"]):
             if t.num_rows < 2:
                 continue
-            rows, own = t.column("row").to_numpy(), t.column("own").to_numpy()
-            sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(rows), HASHES)
-            bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
+            rows, sig = t.column("row").to_numpy(), _sigs(t)
             forest = _Forest(len(rows))
             for one in range(len(rows)):
-                left = surviving(sig, one, _pairs_of(one, own, bi, bj), need)
+                left = surviving(sig, one, np.arange(one + 1, len(rows)), need)
                 if len(left):
                     forest.join(one, left)
             a, b = _forest_edges(rows, forest)
@@ -265,8 +284,36 @@ def candidate_edges(reps: DataFrame, threshold: float = THRESHOLD, tolerance: fl
         if out_a:
             yield _edge_batch(out_a, out_b)
 
-    dealt = cells.repartition(shuffle_partitions(reps.sparkSession), "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _runs(batches, ["key", "bi", "bj"]):
+            rows, own, sig = t.column("row").to_numpy(), t.column("own").to_numpy(), _sigs(t)
+            _, group = np.unique(t.column("comp").to_numpy(), return_inverse=True)
+            forest = _Forest(int(group.max()) + 1)
+            bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
+            theirs = np.flatnonzero(own == bj)
+            out_a, out_b = [], []
+            for one in np.flatnonzero(own == bi):
+                apart = theirs[forest.label[group[theirs]] != forest.label[group[one]]]
+                left = surviving(sig, one, apart, need) if len(apart) else apart
+                if len(left):
+                    _, first = np.unique(forest.label[group[left]], return_index=True)
+                    out_a.append(np.full(len(first), rows[one]))
+                    out_b.append(rows[left[first]])
+                    forest.join(int(group[one]), group[left])
+            if out_a:
+                yield _edge_batch(out_a, out_b)
+
+    cells = members(shared).select("key", _own_block(blocks).alias("own"), "row", "sig")
+    dealt = cells.repartition(shuffle_partitions(reps.sparkSession), "key", "own").sortWithinPartitions("key", "own", "row")
+    edges = materialize(dealt.mapInArrow(within, "a long, b long").distinct(), "candidates")
+    large = shared.filter(F.col("n") > BUCKET_BLOCK)
+    if large.isEmpty():
+        return edges
+    known = components(edges)
+    apart = members(large).join(known, "row", "left").withColumn("comp", F.coalesce("comp", "row"))
+    pairs = _block_pairs(apart, "key", blocks).filter("bi < bj").select("key", "bi", "bj", "own", "row", "comp", "sig")
+    more = _deal(pairs, "key").mapInArrow(across, "a long, b long").distinct()
+    return materialize(edges.union(more), "candidates")
 
 
 def _edge_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
@@ -276,21 +323,39 @@ def _edge_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components: (``row``, ``comp``), comp being the smallest row.
 
-    Labels spread along the edges and then jump to their label's label, so the
-    number of rounds follows the logarithm of the longest chain.  Each round is
-    written, and nothing but a count reaches the driver."""
-    both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("row")).agg(F.least(F.min("b"), F.min("a")).alias("comp")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("row").alias("b"), F.col("comp").alias("seen")), "b")
-        near = near.groupBy(F.col("a").alias("row")).agg(F.min("seen").alias("seen"))
-        spread = labels.join(near, "row").select("row", F.col("comp").alias("was"), F.least("comp", "seen").alias("comp"))
+    By contraction: each row points to its smallest neighbour, pointers are doubled until
+    they name the root of their tree, and the edges are put between the roots.  Loops and
+    repeated edges go, and every tree has two rows or more, so the rows left at least halve
+    in each round; the edges of a star are gone after one.  Each table is written, and
+    nothing but emptiness reaches the driver."""
+    edges = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    edges = materialize(edges.distinct(), "edges")
+    trees: list[DataFrame] = []
+    while not trees or not edges.isEmpty():
+        ends = edges.select(F.col("a").alias("row"), F.col("b").alias("near")).union(edges.select("b", "a"))
+        tree = _roots(ends.groupBy("row").agg(F.least(F.min("near"), F.col("row")).alias("comp")))
+        root_a, root_b = (tree.select(F.col("row").alias(c), F.col("comp").alias(f"root_{c}")) for c in "ab")
+        joined = edges.join(root_a, "a").join(root_b, "b").filter("root_a <> root_b")
+        edges = joined.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b"))
+        edges = materialize(edges.distinct(), "edges")
+        trees.append(tree)
+    labels = trees.pop()
+    while trees:  # a root of an earlier round is a row of the next, or its component is done
         up = labels.select(F.col("row").alias("comp"), F.col("comp").alias("up"))
-        jumped = spread.join(up, "comp", "left").select("row", "was", F.least("comp", F.coalesce("up", "comp")).alias("comp"))
-        now = materialize(jumped, "labels")
-        if now.filter("comp <> was").isEmpty():
-            return now.select("row", "comp")
-        labels = now.select("row", "comp")
+        labels = materialize(trees.pop().join(up, "comp", "left").select("row", F.coalesce("up", "comp").alias("comp")), "labels")
+    return labels
+
+
+def _roots(pointers: DataFrame) -> DataFrame:
+    """(``row``, ``comp``) with comp the end of the row's chain of pointers, by doubling."""
+    now = materialize(pointers, "pointers")
+    while True:
+        up = now.select(F.col("row").alias("comp"), F.col("comp").alias("up"))
+        moved = F.col("up") != F.col("comp")
+        nxt = materialize(now.join(up, "comp").select("row", F.col("up").alias("comp"), moved.alias("moved")), "pointers")
+        if nxt.filter("moved").isEmpty():
+            return nxt.select("row", "comp")
+        now = nxt.select("row", "comp")
 
 
 # -- exact verification --------------------------------------------------------------------
@@ -342,8 +407,7 @@ def verified_links(members: DataFrame, threshold: float = THRESHOLD) -> DataFram
                 names=["a", "b", "links"],
             )
 
-    dealt = cells.repartition(shuffle_partitions(members.sparkSession), "comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
-    return dealt.mapInArrow(run, "a long, b long, links long")
+    return _deal(cells, "comp").mapInArrow(run, "a long, b long, links long")
 
 
 # -- the join --------------------------------------------------------------------------------
@@ -353,7 +417,7 @@ def _joined(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     classes = materialize(grouped, "classes")
     reps = rows.select("row", "sig", "bands").join(classes.select(F.col("rep").alias("row"), "size"), "row")
     reps = materialize(reps, "reps")
-    near = components(materialize(candidate_edges(reps, threshold, tolerance), "candidates"))
+    near = components(candidate_edges(reps, threshold, tolerance))
     # written: few rows beside the texts, and their size tells Spark how to fetch the texts
     near = materialize(near.join(reps.select("row", "size"), "row"), "near")
     members = near.join(rows.select("row", F.col("c1").alias("text")), "row")

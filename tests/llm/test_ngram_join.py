@@ -107,3 +107,61 @@ def test_pruning_loses_less_than_the_bands():
         lost += alive[:least].sum()
         alive[:least], done = 0, upto
     assert lost < (1 - nj.THRESHOLD**nj.BAND_ROWS) ** nj.BANDS
+
+
+def _large_group(spark, n, seed=3):
+    """Representatives of ``n`` near copies of one text, a word of each replaced."""
+    r = np.random.default_rng(seed)
+    sets = []
+    for _ in range(n):
+        words = np.arange(200, dtype=np.uint64)
+        words[r.integers(200)] = r.integers(1000, 2**40)
+        sets.append(np.unique(nj.ngram_hashes(words, np.zeros(200, np.int64), 5)[0]))
+    values = nj.minhashes(sets)
+    sig, bands = (values & np.uint32(255)).astype(np.uint8), nj.band_keys(values)
+    rows = [(i, bytearray(sig[i].tobytes()), bands[i].tolist()) for i in range(n)]
+    return spark.createDataFrame(rows, "row long, sig binary, bands array<long>")
+
+
+def test_a_large_group_sends_few_edges_per_member(spark):
+    """Linear in the group, whatever the number of blocks its buckets are cut into."""
+    reps = _large_group(spark, 10_000)
+    edges = nj.candidate_edges(reps)
+    assert edges.count() < 8 * 10_000
+    assert {r.comp for r in nj.components(edges).collect()} == {0}
+
+
+def test_blocks_do_not_make_the_edges_of_a_group_grow(spark, monkeypatch):
+    monkeypatch.setattr(nj, "BUCKET_BLOCK", 64)
+    per_member = []
+    for n in (600, 1200):
+        edges = nj.candidate_edges(_large_group(spark, n))
+        assert {r.comp for r in nj.components(edges).collect()} == {0}
+        per_member.append(edges.count() / n)
+    assert max(per_member) < 10 and per_member[1] < 1.3 * per_member[0]
+
+
+def test_components_of_stars_chains_and_nothing(spark):
+    r = random.Random(4)
+    chain = list(range(100, 400))
+    star = [(1000, 1000 + i) for i in range(1, 300)]
+    mixed = chain[:]
+    r.shuffle(mixed)
+    edges = list(zip(chain, chain[1:])) + star + [(b + 5000, a + 5000) for a, b in zip(mixed, mixed[1:])] + [(7, 7)]
+    got = {x.row: x.comp for x in nj.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = dict.fromkeys(chain, 100) | dict.fromkeys(range(1000, 1300), 1000) | {c + 5000: 5100 for c in chain}
+    assert got == want
+    assert nj.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_texts_and_ties(spark):
+    r = random.Random(9)
+    long = [f"w{r.randrange(3000)}" for _ in range(60_000)]
+    near = long[:]
+    for k in range(0, 60_000, 150):
+        near[k] = "changed"
+    five = [["a", "b", "c", "d", "e", "f", "g", "h", str(i)] for i in (1, 2)]  # 4 of 6 n-grams in common
+    rows = [(5, " ".join(long)), (4, " ".join(near)), (3, " ".join(long)), (2, "x " * 50_000), (1, "x " * 40_000)]
+    rows += [(10 + i, " ".join(w)) for i, w in enumerate(five)]
+    got = sorted(tuple(r) for r in nj.similarity_join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == _brute(rows)
