@@ -8,22 +8,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions.labels import decode_label, encode_label
+from faultline.operators.ranking import number_rows
+from faultline.session import shared_table
 from faultline.spec import MISSING_TOKEN, ColumnSpec
 
 
 def with_row_key(df: DataFrame, out: str) -> DataFrame:
     """Append a row key that depends on the rows alone, not on files or partitions:
-    ``<md5 of the row>:<n>``, n numbering equal rows (which are interchangeable)."""
+    ``<md5 of the row>:<n>``, n numbering equal rows (which are interchangeable).
+
+    The rows are range-partitioned by their md5 and a running id, so equal rows, however
+    many, are spread over tasks; n is a row's place among all rows less that of its md5's first."""
     null = F.lit("\\N")
     content = F.md5(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), null) for c in sorted(df.columns)]))
-    nth = F.row_number().over(Window.partitionBy("_fl_md5").orderBy("_fl_md5"))
-    return df.withColumn("_fl_md5", content).select(
-        *df.columns, F.concat_ws(":", F.col("_fl_md5"), nth.cast("string")).alias(out)
+    by = ["_fl_md5", "_fl_uid"]
+    ordered = df.withColumns({"_fl_md5": content, "_fl_uid": F.monotonically_increasing_id()})
+    placed = number_rows(ordered.repartitionByRange(*by).sortWithinPartitions(*by), "_fl_place")
+    # only values that occur more than once need their first place
+    first = placed.groupBy("_fl_md5").agg(F.min("_fl_place").alias("_fl_first"), F.count("*").alias("_fl_n"))
+    first = shared_table(first.filter("_fl_n > 1").drop("_fl_n"), "repeated")
+    nth = F.coalesce(F.col("_fl_place") - F.col("_fl_first"), F.lit(0)) + 1
+    return placed.join(first, "_fl_md5", "left").select(
+        *[placed[c] for c in df.columns], F.concat_ws(":", "_fl_md5", nth.cast("string")).alias(out)
     )
 
 

@@ -52,7 +52,8 @@ class KNNImputerModel:
         receivers = flagged.filter("_fl_missing").drop("_fl_missing")
         key_type = df.schema[key].dataType
         donors = self.donors.select(F.col(self.key).cast(key_type).alias(key), *feats)
-        cand = knn_impute_candidates(receivers, donors, key, feats, self.k, self.block_rows)
+        fill = [self.means[c] for c in feats]
+        cand = knn_impute_candidates(receivers, donors, key, feats, self.k, self.block_rows, fill)
         # One map column -> value per receiver, not one column per feature: the plan
         # stays as small for 163 features as for 4.
         means = cand.groupBy("q_key", "column").agg(F.avg("value").alias("value"))

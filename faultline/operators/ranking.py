@@ -8,10 +8,8 @@ billions of distinct readings) becomes one straggler.
 a hot group over many partitions.  Each partition computes local running sums;
 a tiny table of per-(partition, group) totals (at most ``P + G - 1`` rows for
 ``P`` partitions and ``G`` groups) supplies each partition's starting offset.
-The range exchange is read by both branches, so the input is narrowed to
-exactly the columns both need: the two subtrees are then identical and Spark
-reuses one exchange (one set of range bounds).  If exchange reuse is switched
-off, the ranged rows are checkpointed instead.
+Both branches must see the same partitions, so the ranged rows are written
+once and both read what is written.
 
 ``hash_rank_cut`` answers "is this row among the first k of its class by
 ``md5(seed:key)``" exactly, using a histogram of hash prefixes (uniform, so
@@ -25,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.session import cut_lineage, shared_table, shuffle_partitions
+from faultline.session import shared_table, shuffle_partitions
 
 _PID = "_fl_pid"
 
@@ -59,8 +57,7 @@ def running_totals(
     ranged = narrow.repartitionByRange(n_parts, *[F.col(c) for c in group_cols], *order_exprs).withColumn(
         _PID, F.spark_partition_id()
     )
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        ranged = cut_lineage(ranged)
+    ranged = shared_table(ranged, "ranged")
     totals = ranged.groupBy(_PID, *group_cols).agg(*[F.sum(c).alias(f"_fl_t_{c}") for c in sum_cols])
     w_before = (
         Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))

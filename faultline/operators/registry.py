@@ -1,11 +1,14 @@
 """Versioned model registry: saved model directories plus a registry table.
 
 Layout under ``root`` (any Hadoop-compatible URI):
-``version=<epoch>/model`` (Spark ML ``PipelineModel``),
-``version=<epoch>/preprocessor`` (fitted imputer + scaler state) and
-``_registry`` (Parquet, one row per promoted version).  "Latest" is the
+``version=<epoch>/model`` (Spark ML ``PipelineModel``: imputer, scaler and trees as one
+object), ``version=<epoch>/preprocessor`` (only where a preprocessor is saved
+apart) and ``_registry`` (Parquet, one row per promoted version).  "Latest" is the
 largest version number (recency, not score), as in the reference; model and
 preprocessor always come from the same version.
+
+A version is claimed before anything is written under it, by creating its marker file; the
+file system lets one writer create it, so two promotions at one time get two versions.
 """
 
 from __future__ import annotations
@@ -16,9 +19,8 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from faultline.sources.reports import read_or_empty
+from faultline.sources.reports import claim, path_exists, read_or_empty
 
 REGISTRY_SCHEMA = "version long, model_path string, preprocessor_path string, created_at timestamp, f1_score double, roc_auc_score double"
 
@@ -52,12 +54,7 @@ class ModelRegistry:
         row = self.latest().first()
         if row is None:
             return False
-        try:
-            return not self.spark.read.text(f"{row['model_path']}/metadata").isEmpty()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return False
+        return path_exists(self.spark, f"{row['model_path']}/metadata")
 
     def newest_run(self) -> DataFrame:
         """One row (or none): the entry created last."""
@@ -73,23 +70,28 @@ class ModelRegistry:
             raise FileNotFoundError(f"no model registered under {self.root}")
         return row["model_path"]
 
-    def load_latest(self) -> tuple[PipelineModel, str, int]:
+    def load_latest(self) -> tuple[PipelineModel, str | None, int]:
+        """The model, the path of a preprocessor saved apart (null if the model has it in itself), the version."""
         row = self.latest().first()
         if row is None:
             raise FileNotFoundError(f"no model registered under {self.root}")
         return PipelineModel.load(row["model_path"]), row["preprocessor_path"], row["version"]
 
-    def promote(self, model: PipelineModel, save_preprocessor, scores: dict | None = None, version: int | None = None) -> int:
-        """Save model and preprocessor under a new version and append the
-        registry row.  ``save_preprocessor(path)`` writes the fitted state."""
+    def promote(self, model: PipelineModel, save_preprocessor=None, scores: dict | None = None, version: int | None = None) -> int:
+        """Save the model under a new version and append the registry row.
+        ``save_preprocessor(path)`` writes a fitted state that the model does not hold itself."""
         version = version or int(time.time())
         newest = self.entries().agg(F.max("version")).first()[0]
         version = max(version, (newest or 0) + 1)
+        while not claim(self.spark, f"{self.root.rstrip('/')}/_claims", str(version)):
+            version += 1
         vdir = self.version_dir(version)
         model.write().overwrite().save(f"{vdir}/model")
-        save_preprocessor(f"{vdir}/preprocessor")
+        if save_preprocessor is not None:
+            save_preprocessor(f"{vdir}/preprocessor")
+        apart = f"{vdir}/preprocessor" if save_preprocessor is not None else None
         scores = scores or {}
-        row = [(version, f"{vdir}/model", f"{vdir}/preprocessor", None, scores.get("f1_score"), scores.get("roc_auc_score"))]
+        row = [(version, f"{vdir}/model", apart, None, scores.get("f1_score"), scores.get("roc_auc_score"))]
         self.spark.createDataFrame(row, REGISTRY_SCHEMA).withColumn("created_at", F.current_timestamp()).coalesce(
             1
         ).write.mode("append").parquet(self.table_path)

@@ -191,7 +191,7 @@ def q_champion_challenger(spark, sf_dir):
     return _round_doubles(evaluation.compare_models(scored, "y_true", "trained_pred", "best_pred"))
 
 
-# -- M1-M4 boosted trees, M2 random search (rows-only: tree output has no SQL twin)
+# -- M1-M4 boosted trees, M2 random search
 def _vec_labelled(spark, sf_dir):
     vw = fx.vec_wide(spark, sf_dir).withColumn("label", F.when(F.col("class") == "pos", 1).otherwise(0))
     return cut_lineage(sampling.stratified_split(vw, "class", ["vec_id"], 0.2, SPLIT_SEED))
@@ -200,7 +200,7 @@ def _vec_labelled(spark, sf_dir):
 def q_gbt_predict(spark, sf_dir):
     split = _vec_labelled(spark, sf_dir)
     train, test = sampling.train_test_frames(split)
-    model = training.fit_gbt(train, fx.VEC_FEATURES, "label", {"learning_rate": 0.1, "max_depth": 3, "n_estimators": 20})
+    model = training.fit_gbt(train, fx.VEC_FEATURES, "label", fx.TREES)
     return training.predict(model, test.select("vec_id", "class", "label", *fx.VEC_FEATURES)).select(
         "vec_id", "class", "label", "prediction"
     )

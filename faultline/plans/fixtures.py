@@ -22,6 +22,9 @@ EVENTS_CUTOFF = "2024-01-16"
 SQL_PVALUE = "stephens"  # the p-value formula that SQL can state; the operators' default is the finite-sample law
 VEC_DIMS = 64  # the whole embedding vector
 VEC_FEATURES = [f"f{i}" for i in range(1, VEC_DIMS + 1)]
+# trees that SQL can state: two levels, three rounds
+TREES = {"learning_rate": 0.9, "max_depth": 2, "n_estimators": 3, "max_bins": 16}
+SEARCH_GRID = {"learning_rate": [0.5, 0.9], "max_depth": [1, 2], "n_estimators": [2, 4], "max_bins": [16]}
 VEC_SPEC = ColumnSpec(features=tuple(VEC_FEATURES), label="class", keys=("vec_id",))
 # -------------------------------------------------------------------------------
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from faultline.functions.labels import decode_label, encode_label
 from faultline.operators import clean, drift, evaluation, metrics, registry, resample, sampling, training, validation
 from faultline.operators.preprocess import Preprocessor, PreprocessorModel
+from faultline.operators.stages import sensor_pipeline
 from faultline.sources import documents, files, reports
 from faultline.session import shared_table
 from faultline.spec import ColumnSpec
@@ -147,12 +148,8 @@ def run_training(
     eval_rows = sampling.union_frames([train_p, test_p], allow_missing=True).withColumn(lab, encode_label(label))
     trained_pred = training.predict(model, eval_rows).select(ROW_ID, lab, F.col("prediction").alias("trained_pred"))
     if reg.has_model():
-        best_model, best_prep_path, _ = reg.load_latest()
-        best_prep = PreprocessorModel.load(spark, best_prep_path, spec.features)
         raw_rows = sampling.union_frames([train, test], allow_missing=True).select(ROW_ID, *spec.features)
-        best_pred = training.predict(best_model, best_prep.transform(raw_rows, ROW_ID)).select(
-            ROW_ID, F.col("prediction").alias("best_pred")
-        )
+        best_pred = _predict_raw(spark, reg, spec, raw_rows).select(ROW_ID, F.col("prediction").alias("best_pred"))
         verdict = evaluation.compare_models(trained_pred.join(best_pred, ROW_ID), lab, "trained_pred", "best_pred")
         reports.write_report(verdict, f"{run_dir}/evaluation_report")
         verdict = spark.read.schema(verdict.schema).json(f"{run_dir}/evaluation_report")
@@ -170,14 +167,25 @@ def run_training(
     version = None
     if accepted:
         row = test_scores.first()
-        version = reg.promote(model, prep.save, {"f1_score": row["f1_score"], "roc_auc_score": row["roc_auc_score"]})
+        whole = sensor_pipeline(prep, model, ROW_ID)
+        version = reg.promote(whole, scores={"f1_score": row["f1_score"], "roc_auc_score": row["roc_auc_score"]})
     return TrainingResult(run_dir, report, no_drift, train_scores, test_scores, verdict, accepted, version, search)
 
 
+def _predict_raw(spark: SparkSession, reg: registry.ModelRegistry, spec: ColumnSpec, rows: DataFrame) -> DataFrame:
+    """``rows`` (``row_id``, raw features) predicted by the latest model of ``reg``."""
+    model, prep_path, _ = reg.load_latest()
+    if prep_path:  # a version whose preprocessor was saved apart
+        rows = PreprocessorModel.load(spark, prep_path, spec.features).transform(rows, ROW_ID)
+    return training.predict(model, rows)
+
+
 # -- J3 ---------------------------------------------------------------------------
-def score_frame(raw: DataFrame, spec: ColumnSpec, model, prep: PreprocessorModel, materialise: bool = False) -> DataFrame:
+def score_frame(
+    raw: DataFrame, spec: ColumnSpec, model, prep: PreprocessorModel | None = None, materialise: bool = False
+) -> DataFrame:
     """Clean, validate, transform once, predict; output the decoded class
-    followed by the *raw* feature values.
+    followed by the *raw* feature values.  ``model`` preprocesses itself unless ``prep`` is given.
 
     Rows get a key from their content for the imputation join; ``materialise``
     writes the keyed rows, which are read several times."""
@@ -188,7 +196,7 @@ def score_frame(raw: DataFrame, spec: ColumnSpec, model, prep: PreprocessorModel
     keep = df.select(ROW_ID, *[F.col(c).alias(f"_fl_raw_{c}") for c in spec.features], *spec.features)
     if materialise:
         keep = shared_table(keep)
-    scored = training.predict(model, prep.transform(keep, ROW_ID))
+    scored = training.predict(model, keep if prep is None else prep.transform(keep, ROW_ID))
     return scored.select(
         decode_label(F.col("prediction")).alias(spec.label),
         *[F.col(f"_fl_raw_{c}").alias(c) for c in spec.features],
@@ -199,7 +207,7 @@ def run_scoring(spark: SparkSession, input_path: str, spec: ColumnSpec, registry
     raw = files.read_sensor_csv(spark, input_path, null_value=None)  # the copy keeps "na"
     files.write_csv(raw, f"{out_dir.rstrip('/')}/sensor_raw")
     model, prep_path, _ = registry.ModelRegistry(spark, registry_root).load_latest()
-    prep = PreprocessorModel.load(spark, prep_path, spec.features)
+    prep = PreprocessorModel.load(spark, prep_path, spec.features) if prep_path else None
     out = score_frame(raw, spec, model, prep, materialise=True)
     files.write_csv(out, f"{out_dir.rstrip('/')}/sensor_output")
     return spark.read.option("header", True).csv(f"{out_dir.rstrip('/')}/sensor_output")

@@ -7,6 +7,7 @@ neighbour joins) of what the Spark plans compute in a distributed way.
 
 from __future__ import annotations
 
+from faultline.operators.training import sample_grid
 from faultline.plans import fixtures as fx
 
 D = 6  # rounding digits, as in catalog.DIGITS
@@ -414,36 +415,143 @@ FROM customer
 """
 CUSTOMER_NULL = f"SELECT class, aa_000, nullif(ab_000, 'na') AS ab_000, br_000 FROM ({CUSTOMER_RAW})"
 FEW = VF[:4]
-VEC_FEW = f"SELECT vec_id, class, {', '.join(FEW)} FROM ({VEC_MISSING})"
-_few_ss = " + ".join(f"coalesce((r.{c} - d.{c}) * (r.{c} - d.{c}), 0)" for c in FEW)
-_few_n = " + ".join(f"CAST((r.{c} - d.{c}) IS NOT NULL AS INTEGER)" for c in FEW)
 
-
-def _few_imputed(don: str) -> str:
-    """VEC_FEW imputed from the rows of ``don`` (k = 5)."""
+def imputed_sql(rows: str, don: str) -> str:
+    """``rows`` (vec_id, class, features with NULLs) imputed from the rows of ``don`` (k = 5)."""
+    ss = " + ".join(f"coalesce((r.{c} - d.{c}) * (r.{c} - d.{c}), 0)" for c in VF)
+    nsh = " + ".join(f"CAST((r.{c} - d.{c}) IS NOT NULL AS INTEGER)" for c in VF)
     return f"""
-WITH vm AS ({VEC_FEW}), don AS ({don}),
-recv AS (SELECT * FROM vm WHERE {" OR ".join(f"{c} IS NULL" for c in FEW)}),
-pr AS (SELECT r.vec_id AS rid, d.vec_id AS did, {_few_ss} AS ss, {_few_n} AS nsh,
-              {", ".join(f"d.{c} AS v_{c}, r.{c} IS NULL AS m_{c}" for c in FEW)} FROM recv r CROSS JOIN don d),
-dd AS (SELECT *, CASE WHEN nsh > 0 THEN sqrt(CAST({len(FEW)} AS DOUBLE) / nsh * ss) END AS dist FROM pr),
-cand AS ({" UNION ALL ".join(f"SELECT rid, '{c}' AS col, did, dist, v_{c} AS val FROM dd WHERE m_{c} AND v_{c} IS NOT NULL AND dist IS NOT NULL" for c in FEW)}),
-top AS (SELECT *, row_number() OVER (PARTITION BY rid, col ORDER BY dist, did) AS r FROM cand),
-imp AS (SELECT rid, col, avg(val) AS v FROM top WHERE r <= 5 GROUP BY rid, col),
-means AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in FEW)} FROM don)
-SELECT vm.vec_id, vm.class, {", ".join(f"coalesce(vm.{c}, i_{c}.v, means.{c}) AS {c}" for c in FEW)}
-FROM vm CROSS JOIN means {" ".join(f"LEFT JOIN imp i_{c} ON i_{c}.rid = vm.vec_id AND i_{c}.col = '{c}'" for c in FEW)}
+WITH vm AS MATERIALIZED ({rows}), don AS MATERIALIZED ({don}),
+pr AS MATERIALIZED (SELECT r.vec_id AS rid, d.vec_id AS did, {ss} AS ss, {nsh} AS nsh FROM vm r CROSS JOIN don d),
+dd AS MATERIALIZED (SELECT rid, did, sqrt(CAST({NF} AS DOUBLE) / nsh * ss) AS dist FROM pr WHERE nsh > 0),
+gone AS (SELECT vec_id AS rid, unnest(range(0, {NF})) AS j, unnest([{", ".join(VF)}]) AS x FROM vm),
+have AS (SELECT vec_id AS did, unnest(range(0, {NF})) AS j, unnest([{", ".join(VF)}]) AS x FROM don),
+cand AS (SELECT g.rid, g.j, dd.did, dd.dist, h.x AS val FROM gone g JOIN dd USING (rid) JOIN have h ON h.did = dd.did AND h.j = g.j
+         WHERE g.x IS NULL AND h.x IS NOT NULL),
+top AS (SELECT *, row_number() OVER (PARTITION BY rid, j ORDER BY dist, did) AS r FROM cand),
+imp AS (SELECT rid, map_from_entries(list((j, v))) AS m FROM (SELECT rid, j, avg(val) AS v FROM top WHERE r <= 5 GROUP BY rid, j) GROUP BY rid),
+means AS (SELECT {", ".join(f"avg({c}) AS m_{c}" for c in VF)} FROM don)
+SELECT vm.vec_id, vm.class, {", ".join(f"coalesce(vm.{c}, imp.m[{j}], m_{c}) AS {c}" for j, c in enumerate(VF))}
+FROM vm CROSS JOIN means LEFT JOIN imp ON imp.rid = vm.vec_id
+"""
+
+
+def preprocessed_sql(rows: str, don: str) -> str:
+    """``rows`` imputed from ``don`` and scaled by the quantiles of the imputed rows that ``don`` holds."""
+    return f"""
+WITH filled AS MATERIALIZED ({imputed_sql(rows, don)}),
+tr AS (SELECT * FROM filled WHERE vec_id IN (SELECT vec_id FROM ({don}))),
+q AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}" for c in VF)} FROM tr)
+SELECT vec_id, class, {", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} < 2.220446049250313e-15 THEN 1.0 ELSE s_{c} END AS {c}" for c in VF)}
+FROM filled, q
 """
 
 
-_FEW_TRAIN = f"SELECT * FROM ({split_sql(VEC_FEW, keys=['vec_id'])}) WHERE split = 'train'"
+_VEC_TRAIN = f"SELECT * EXCLUDE (split) FROM ({split_sql(VEC_MISSING, keys=['vec_id'])}) WHERE split = 'train'"
 PREPROCESS_STATE = f"""
-WITH filled AS ({_few_imputed(_FEW_TRAIN)}),
-tr AS (SELECT * FROM filled WHERE vec_id IN (SELECT vec_id FROM ({_FEW_TRAIN}))),
-q AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}" for c in FEW)} FROM tr)
-SELECT vec_id, class, {", ".join(f"ROUNDX(({c} - m_{c}) / CASE WHEN s_{c} < 2.220446049250313e-15 THEN 1.0 ELSE s_{c} END, {D}) AS {c}" for c in FEW)}
-FROM filled, q
+SELECT vec_id, class, {", ".join(f"ROUNDX({c}, {D}) AS {c}" for c in VF)} FROM ({preprocessed_sql(VEC_MISSING, _VEC_TRAIN)})
+"""
+
+
+def trees_sql(rows: str, params: dict, train: str = "true", cut_rows: str = "tr") -> str:
+    """CTEs that grow trees on the ``rows`` (vec_id, class, features) for which ``train`` holds, with
+    bins from the rows for which ``cut_rows`` holds.  They end with ``scored`` (vec_id, y, tr, m: the margin) and ``nodes`` (tree, node, feature, cut_no, default_left, weight)."""
+    eta, depth, rounds, bins = (params[k] for k in ("learning_rate", "max_depth", "n_estimators", "max_bins"))
+    s = "16777216.0::DOUBLE"
+    out = [
+        f"rws AS MATERIALIZED (SELECT *, CASE WHEN class = 'pos' THEN 1 ELSE 0 END AS y, ({train}) AS tr FROM ({rows}))",
+        f"lng AS MATERIALIZED (SELECT vec_id, tr, unnest(range(0, {NF})) AS f, unnest([{', '.join(VF)}]) AS x FROM rws)",
+        f"cuts AS (SELECT f, list_sort(list_distinct(quantile_cont(x, [{', '.join(str(i / bins) for i in range(1, bins))}]))) AS c"
+        f" FROM lng WHERE {cut_rows} AND x IS NOT NULL GROUP BY f)",
+        "binned AS MATERIALIZED (SELECT vec_id, f, CASE WHEN x IS NULL THEN 255 ELSE len(list_filter(c, lambda v: v <= x)) END AS b"
+        " FROM lng JOIN cuts USING (f))",
+        "m0 AS (SELECT vec_id, y, tr, 0.0::DOUBLE AS m FROM rws)",
+    ]
+    nodes = []
+    for t in range(rounds):
+        out.append(
+            f"n{t}_0 AS MATERIALIZED (SELECT vec_id, tr, 1 AS node, CAST(round((p - y) * {s}) AS BIGINT) AS g, CAST(round(p * (1.0 - p) * {s}) AS BIGINT) AS h"
+            f" FROM (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-m)) AS p FROM m{t}))"
+        )
+        for d in range(depth):
+            at = f"{t}_{d}"
+            out += [
+                f"h{at} AS (SELECT node, f, b, sum(g) AS g, sum(h) AS h FROM n{at} JOIN binned USING (vec_id) WHERE tr AND node >= {2 ** d} GROUP BY node, f, b)",
+                f"w{at} AS (SELECT node, f, b, sum(g) OVER nf / {s} AS g, sum(h) OVER nf / {s} AS h,"
+                f" sum(g) OVER up / {s} AS gl, sum(h) OVER up / {s} AS hl,"
+                f" coalesce(sum(g) FILTER (WHERE b = 255) OVER nf, 0) / {s} AS gm, coalesce(sum(h) FILTER (WHERE b = 255) OVER nf, 0) / {s} AS hm"
+                f" FROM h{at} WINDOW nf AS (PARTITION BY node, f), up AS (PARTITION BY node, f ORDER BY b ROWS UNBOUNDED PRECEDING))",
+                f"s{at} AS (SELECT node, f, b, lft, g, h, gl + CASE WHEN lft THEN gm ELSE 0 END AS gl, hl + CASE WHEN lft THEN hm ELSE 0 END AS hl"
+                f" FROM w{at}, (VALUES (false), (true)) v(lft) WHERE b < 255)",
+                f"g{at} AS (SELECT *, gl * gl / (hl + 1.0) + (g - gl) * (g - gl) / (h - hl + 1.0) - g * g / (h + 1.0) AS gain"
+                f" FROM s{at} WHERE hl >= 1.0 AND h - hl >= 1.0)",
+                f"b{at} AS MATERIALIZED (SELECT node, f, b + 1 AS cut, lft FROM g{at} WHERE gain > 1e-6"
+                f" QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, b, lft) = 1)",
+                f"n{t}_{d + 1} AS MATERIALIZED (SELECT n.vec_id, n.tr, n.g, n.h, CASE WHEN s.node IS NULL THEN n.node"
+                f" WHEN CASE WHEN x.b = 255 THEN s.lft ELSE x.b < s.cut END THEN 2 * n.node ELSE 2 * n.node + 1 END AS node"
+                f" FROM n{at} n LEFT JOIN b{at} s ON s.node = n.node LEFT JOIN binned x ON x.vec_id = n.vec_id AND x.f = s.f)",
+            ]
+            nodes.append(f"SELECT {t} AS tree, node, f, cut, lft, NULL::DOUBLE AS weight FROM b{at}")
+        out += [
+            f"l{t} AS MATERIALIZED (SELECT node, -(sum(g) / {s}) / (sum(h) / {s} + 1.0) * {eta}::DOUBLE AS w FROM n{t}_{depth} WHERE tr GROUP BY node)",
+            f"m{t + 1} AS MATERIALIZED (SELECT r.vec_id, r.y, r.tr, r.m + l.w AS m FROM m{t} r JOIN n{t}_{depth} n USING (vec_id) JOIN l{t} l USING (node))",
+        ]
+        nodes.append(f"SELECT {t}, node, NULL, NULL, NULL, w FROM l{t}")
+    out += [f"scored AS (SELECT * FROM m{rounds})", "nodes AS (" + " UNION ALL ".join(nodes) + ")"]
+    return ",\n".join(out)
+
+
+_PREDICTION = "CAST(CASE WHEN m > 0 THEN 1 ELSE 0 END AS INTEGER)"
+_CLASS = "CASE WHEN y = 1 THEN 'pos' ELSE 'neg' END"
+GBT_PREDICT = f"""
+WITH {trees_sql(split_sql(VEC_WIDE, keys=["vec_id"]), fx.TREES, "split = 'train'")}
+SELECT vec_id, {_CLASS} AS class, CAST(y AS INTEGER) AS label, {_PREDICTION} AS prediction FROM scored WHERE NOT tr
+"""
+GBT_SCORED_ROWS = f"""
+WITH {trees_sql(VEC_MISSING, fx.TREES)}
+SELECT vec_id, {_CLASS} AS class, CAST(y AS INTEGER) AS label, {_PREDICTION} AS prediction,
+       ROUNDX(1.0::DOUBLE / (1.0::DOUBLE + exp(-m)), {D}) AS probability FROM scored
+"""
+GBT_NODES = f"""
+WITH {trees_sql(VEC_MISSING, fx.TREES)}
+SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS BIGINT) AS node, coalesce('f' || CAST(f + 1 AS VARCHAR), '') AS feature,
+       CAST(coalesce(cut, 0) AS INTEGER) AS cut_no, coalesce(lft, false) AS default_left, ROUNDX(coalesce(weight, 0), {D}) AS weight
+FROM nodes
+"""
+_READY = preprocessed_sql(VEC_MISSING, VEC_MISSING)
+SENSOR_MODEL = f"""
+WITH {trees_sql(_READY, fx.TREES)}
+SELECT s.vec_id, {_CLASS} AS class, {_PREDICTION} AS prediction, {", ".join(f"ROUNDX({c}, {D}) AS {c}" for c in VF[:2])}
+FROM scored s JOIN rws r USING (vec_id, y)
 """
+BATCH_SCORING = f"""
+WITH {trees_sql(_READY, fx.TREES)}
+SELECT CASE WHEN m > 0 THEN 'pos' ELSE 'neg' END AS class, {", ".join(f"ROUNDX(v.{c}, {D}) AS {c}" for c in VF)}
+FROM scored JOIN ({VEC_MISSING}) v USING (vec_id)
+"""
+
+
+def _search_accuracy() -> str:
+    points = sample_grid(fx.SEARCH_GRID, 2, 1)
+    folds = f"""
+SELECT *, CASE WHEN rn <= n // 3 THEN 0 WHEN rn <= n * 2 // 3 THEN 1 ELSE 2 END AS fold FROM (
+  SELECT *, row_number() OVER (PARTITION BY class ORDER BY md5(concat_ws(':', '1', CAST(vec_id AS VARCHAR))), vec_id) AS rn,
+         count(*) OVER (PARTITION BY class) AS n FROM ({VEC_MISSING}))"""
+    parts = []
+    for i, p in enumerate(points):
+        for k in range(3):
+            parts.append(
+                f"SELECT {i} AS candidate, avg(CASE WHEN (m > 0) = (y = 1) THEN 1.0::DOUBLE ELSE 0.0 END) AS a FROM"
+                f" (WITH {trees_sql(folds, p, f'fold <> {k}', 'true')} SELECT * FROM scored WHERE NOT tr)"
+            )
+    known = ", ".join(f"({i}, {p['learning_rate']}::DOUBLE, {p['max_depth']}, {p['n_estimators']})" for i, p in enumerate(points))
+    return f"""
+WITH acc AS (SELECT candidate, sum(a) / 3 AS a FROM ({" UNION ALL ".join(parts)}) GROUP BY candidate)
+SELECT learning_rate, max_depth, n_estimators, ROUNDX(a, {D}) AS cv_accuracy, row_number() OVER (ORDER BY a DESC, candidate) = 1 AS chosen
+FROM acc JOIN (VALUES {known}) p(candidate, learning_rate, max_depth, n_estimators) USING (candidate)
+"""
+
+
 _SCORES3 = _SCORES.replace(f", {D})", ", 3)")
 METRICS_HISTORY = f"""
 WITH a AS (SELECT 1700000000 AS timestamp, {_counts('toxic', '1 - quality')} FROM labels
@@ -470,9 +578,6 @@ WITH c AS (SELECT {_counts('toxic', '1 - quality')} FROM labels), s AS (SELECT {
 SELECT CAST(20 AS BIGINT) AS version, f1_score, roc_auc_score, false AS had_model, true AS has_model,
        CAST(20 AS BIGINT) AS newest_run FROM s
 """
-BATCH_SCORING = f"""
-SELECT true AS labelled, {", ".join(f"CAST(CAST(round({c} * 1000) AS BIGINT) AS DOUBLE) AS {c}" for c in FEW)} FROM ({VEC_FEW})
-"""
 # A row's key is the md5 of its columns in name order and a number among equal rows (here: 1).
 ETL_JOB = f"""
 WITH raw AS ({CUSTOMER_RAW}),
@@ -508,8 +613,10 @@ UNION ALL SELECT 'input', 'non_numeric_values', 'ab_000: ' || CAST(n AS VARCHAR)
     "preprocess_state": PREPROCESS_STATE,
     "smote_tomek_overlap": SMOTE_TOMEK_OVERLAP,
     "search_folds": SEARCH_FOLDS,
-    "gbt_scored_rows": f"""SELECT vec_id, class, CAST(CASE WHEN class = 'pos' THEN 1 ELSE 0 END AS INTEGER) AS label,
-        true AS binary, true AS beats_majority FROM ({VEC_FEW})""",
+    "gbt_scored_rows": GBT_SCORED_ROWS,
+    "gbt_nodes": GBT_NODES,
+    "sensor_model": SENSOR_MODEL,
+    "search_accuracy": _search_accuracy(),
     "registry_entries": REGISTRY_ENTRIES,
     "batch_scoring": BATCH_SCORING,
     "etl_job": ETL_JOB,
@@ -531,6 +638,7 @@ _RAW_ORACLE: dict[str, str] = {
     "robust_scaler_fit": ROBUST_SCALER_FIT,
     "robust_scale": ROBUST_SCALE,
     "knn_impute": KNN_IMPUTE,
+    "gbt_predict": GBT_PREDICT,
     "smote": SMOTE,
     "tomek_links": TOMEK_LINKS,
     "smote_tomek": SMOTE_TOMEK,

@@ -7,15 +7,16 @@ folder of its own under the shared checkpoint folder.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.operators import clean, drift, metrics, ranking, registry, resample, sampling, training, validation
+from faultline.operators import boosting, clean, drift, metrics, ranking, registry, resample, sampling, stages, training, validation
 from faultline.operators.preprocess import Preprocessor, PreprocessorModel
 from faultline.plans import fixtures as fx
 from faultline.plans import jobs
@@ -26,8 +27,7 @@ from faultline.spec import ColumnSpec
 PREAMBLE_LINES = 14
 N_FILES = 4
 STAMP = 1_700_000_000
-FEW = fx.VEC_FEATURES[:4]
-FEW_SPEC = ColumnSpec(features=tuple(FEW), label="class", drop=("extra",), keys=("vec_id",))
+FEW = fx.VEC_FEATURES[:4]  # only for smote_tomek_overlap: in four dimensions the classes overlap
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -151,18 +151,14 @@ def q_scoring_violations(spark, sf_dir):
 
 
 # -- fitted state, folds, registry, jobs ------------------------------------------------------
-def _few(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.vec_missing(spark, sf_dir).select("vec_id", "class", *FEW)
-
-
 def q_preprocess_state(spark, sf_dir):
     """Imputer and scaler fitted on the training rows, saved, loaded, applied to all rows."""
-    rows = _few(spark, sf_dir)
+    rows = fx.vec_missing(spark, sf_dir)
     train, _ = sampling.train_test_frames(sampling.stratified_split(rows, "class", ["vec_id"], 0.2, 1))
     path = scratch(spark, "state")
-    Preprocessor().fit(train, "vec_id", FEW).save(path)
-    out = PreprocessorModel.load(spark, path, FEW).transform(rows, "vec_id")
-    return out.select("vec_id", "class", *[F.round(c, 6).alias(c) for c in FEW])
+    Preprocessor().fit(train, "vec_id", fx.VEC_FEATURES).save(path)
+    out = PreprocessorModel.load(spark, path, fx.VEC_FEATURES).transform(rows, "vec_id")
+    return out.select("vec_id", "class", *[F.round(c, 6).alias(c) for c in fx.VEC_FEATURES])
 
 
 def q_smote_tomek_overlap(spark, sf_dir):
@@ -179,25 +175,54 @@ def q_search_folds(spark, sf_dir):
     return folds.groupBy("label", F.col(training.FOLD_COL).alias("fold")).agg(F.count("*").alias("n"))
 
 
-def _train_few(spark: SparkSession, sf_dir: str):
-    rows = _few(spark, sf_dir).withColumn("label", F.when(F.col("class") == "pos", 1).otherwise(0))
-    prep = Preprocessor().fit(rows, "vec_id", FEW)
-    ready = prep.transform(rows, "vec_id")
-    return prep, ready, training.fit_gbt(ready, FEW, "label", {"learning_rate": 0.3, "max_depth": 3, "n_estimators": 5})
+def _label() -> Column:
+    return F.when(F.col("class") == "pos", 1).otherwise(0)
 
 
 def q_gbt_scored_rows(spark, sf_dir):
-    """Training rows scored: every key once, labels kept, predictions 0 or 1, and the model
-    at least as accurate on them as always saying the larger class."""
-    _, ready, model = _train_few(spark, sf_dir)
-    scored = training.predict(model, ready)
-    hit, share = scored.agg(
-        F.avg((F.col("prediction") == F.col("label")).cast("double")), F.avg(F.col("label").cast("double"))
-    ).first()
-    return scored.select(
-        "vec_id", "class", "label", F.col("prediction").isin(0, 1).alias("binary"),
-        F.lit(hit >= max(share, 1 - share)).alias("beats_majority"),
-    )
+    """Trees grown on rows with missing values, which go to each split's default side."""
+    rows = fx.vec_missing(spark, sf_dir).withColumn("label", _label())
+    trees = boosting.fit(rows, fx.VEC_FEATURES, "label", fx.TREES)
+    scored = trees.predict(rows, probability="probability")
+    return scored.select("vec_id", "class", "label", "prediction", F.round("probability", 6).alias("probability"))
+
+
+def q_gbt_nodes(spark, sf_dir):
+    """The trees themselves: one row per node; leaves have no feature ('') and cut 0, splits weight 0."""
+    rows = fx.vec_missing(spark, sf_dir).withColumn("label", _label())
+    nodes = boosting.fit(rows, fx.VEC_FEATURES, "label", fx.TREES).frame(spark)
+    none = {"feature": "", "cut_no": 0, "default_left": False, "weight": 0.0}
+    return nodes.drop("cut").fillna(none).withColumn("weight", F.round("weight", 6))
+
+
+def _fitted_pipeline(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineModel]:
+    """Imputer, scaler and trees fitted by one ``Pipeline``."""
+    rows = fx.vec_missing(spark, sf_dir).withColumn("label", _label())
+    imputer = stages.NeighborImputer(inputCols=fx.VEC_FEATURES, keyCol="vec_id")
+    scaler = stages.QuantileScaler(inputCols=fx.VEC_FEATURES)
+    trees = stages.BoostedTreesClassifier(inputCols=fx.VEC_FEATURES, treeParams=json.dumps(fx.TREES))
+    return rows, Pipeline(stages=[imputer, scaler, trees]).fit(rows)
+
+
+def q_sensor_model(spark, sf_dir):
+    """The pipeline saved and loaded as one object; it preprocesses and predicts raw rows."""
+    rows, model = _fitted_pipeline(spark, sf_dir)
+    path = scratch(spark, "pipeline")
+    model.write().save(path)
+    scored = PipelineModel.load(path).transform(rows.drop("label"))
+    return scored.select("vec_id", "class", "prediction", *[F.round(c, 6).alias(c) for c in fx.VEC_FEATURES[:2]])
+
+
+def q_search_accuracy(spark, sf_dir):
+    """Random search: accuracy of each candidate over the out-of-fold predictions, and the choice."""
+    rows = fx.vec_missing(spark, sf_dir).withColumn("label", _label())
+    res = training.random_search(rows, fx.VEC_FEATURES, "label", ["vec_id"], fx.SEARCH_GRID, n_iter=2, n_folds=3)
+    found = [
+        (p["learning_rate"], p["max_depth"], p["n_estimators"], round(a, 6), p == res.best_params)
+        for p, a in zip(res.candidates, res.cv_accuracy)
+    ]
+    schema = "learning_rate double, max_depth int, n_estimators int, cv_accuracy double, chosen boolean"
+    return spark.createDataFrame(found, schema)
 
 
 def q_registry_entries(spark, sf_dir):
@@ -221,16 +246,18 @@ def q_registry_entries(spark, sf_dir):
 
 
 def q_batch_scoring(spark, sf_dir):
-    """The scoring job over CSV files: the raw feature values come back, with a class each."""
-    prep, _, model = _train_few(spark, sf_dir)
+    """The scoring job over CSV files, columns in another order and one too many: predicted class
+    and the raw values as they came."""
+    rows, model = _fitted_pipeline(spark, sf_dir)
+    model.stages[0].set(model.stages[0].keyCol, jobs.ROW_ID)  # the job's row key
     reg = registry.ModelRegistry(spark, scratch(spark, "models"))
-    reg.promote(model, prep.save)
-    rows = _few(spark, sf_dir)
-    text = [F.coalesce(F.round(F.col(c) * 1000).cast("long").cast("string"), F.lit("na")).alias(c) for c in reversed(FEW)]
+    reg.promote(model)
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("na")).alias(c) for c in reversed(fx.VEC_FEATURES)]
     incoming = scratch(spark, "incoming")
     files.write_csv(rows.select(F.lit("x").alias("extra"), *text), incoming)
-    out = jobs.run_scoring(spark, incoming, FEW_SPEC, reg.root, scratch(spark, "scored"))
-    return out.select(F.col("class").isin("neg", "pos").alias("labelled"), *[F.col(c).cast("double").alias(c) for c in FEW])
+    spec = ColumnSpec(features=tuple(fx.VEC_FEATURES), label="class", drop=("extra",), keys=("vec_id",))
+    out = jobs.run_scoring(spark, incoming, spec, reg.root, scratch(spark, "scored"))
+    return out.select("class", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in fx.VEC_FEATURES])
 
 
 def q_etl_job(spark, sf_dir):
@@ -260,6 +287,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "smote_tomek_overlap": q_smote_tomek_overlap,
     "search_folds": q_search_folds,
     "gbt_scored_rows": q_gbt_scored_rows,
+    "gbt_nodes": q_gbt_nodes,
+    "sensor_model": q_sensor_model,
+    "search_accuracy": q_search_accuracy,
     "registry_entries": q_registry_entries,
     "batch_scoring": q_batch_scoring,
     "etl_job": q_etl_job,

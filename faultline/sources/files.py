@@ -9,20 +9,30 @@
 * ``write_csv`` / ``write_parquet`` - sinks; callers pass URIs, the job never
   writes over the input it is reading.
 
-Lines are numbered by a JVM-side scan (``monotonically_increasing_id`` within a
-file's first split); no Python code runs per line.
+A line with more fields than its header is an error that names the file and the line; a
+line with fewer has NULLs in the columns it lacks (both as ``pandas.read_csv`` has it).
+
+Headers are read by one task per split that ends after the first lines; the rows are then
+read in one scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faultline.session import ship_package
 from faultline.spec import MISSING_TOKEN
 
+_BAD = "_fl_bad"
+_TOP_BATCH = 64  # lines that a header task takes at a time
+
 
 def _csv_names(spark: SparkSession, line: str) -> list[str]:
     """Column names of a header line, quoted names included."""
@@ -35,25 +45,89 @@ def _text_schema(n: int) -> str:
 
 
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Non-blank lines with their file, the start of their split and an order within it."""
-    return (
-        spark.read.text(path)
-        .select(
-            F.col("value").alias("line"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("no"),
-        )
-        .filter(F.trim("line") != "")
+    """Lines with their file and the start of their split."""
+    return spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
 
 
-def _header_files(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
-    """Files by header line: one row per file reaches the driver, which already lists them."""
-    first = _lines(spark, path).filter("start = 0").groupBy("file").agg(F.min_by("line", "no").alias("line"))
+def _filled(lines: pa.Array) -> np.ndarray:
+    """Which lines are not blank."""
+    return pc.greater(pc.utf8_length(pc.utf8_trim_whitespace(pc.fill_null(lines, ""))), 0).to_numpy(zero_copy_only=False)
+
+
+def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.RecordBatch]]:
+    """The parts of a batch that come from one split of one file: its name, its start, the rows."""
+    files, starts = batch.column("file").to_pylist(), batch.column("start").to_pylist()
+    a = 0
+    for b in range(1, len(files) + 1):
+        if b == len(files) or files[b] != files[a] or starts[b] != starts[a]:
+            yield files[a], starts[a], batch.slice(a, b - a)
+            a = b
+
+
+def _top_lines(spark: SparkSession, path: str | Sequence[str], n: int) -> dict[str, list[str]]:
+    """The first ``n`` non-blank lines of each file: ``n`` short rows per file reach the driver.
+
+    Read in a session of its own, whose scan puts no two files into one task, so a task is
+    done as soon as it has its lines, or sees that its split is not a file's first."""
+    ship_package(spark)
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_TOP_BATCH))
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}
+        for batch in batches:
+            for file, start, rows in _stretches(batch):
+                if start == 0 and seen.get(file, 0) < n:
+                    first = rows.column("line").filter(pa.array(_filled(rows.column("line")))).slice(0, n - seen.get(file, 0))
+                    at = np.arange(len(first), dtype=np.int64) + seen.get(file, 0)
+                    seen[file] = seen.get(file, 0) + len(first)
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(first), pa.string()), pa.array(at), first], names=["file", "nth", "line"])
+            if len(seen) <= 1 and (start > 0 or seen.get(file, 0) >= n):
+                return  # one file in this task: what it has is read
+
+    found: dict[str, list[str]] = {}
+    for r in sorted(_lines(own, path).mapInArrow(top, "file string, nth long, line string").collect()):
+        found.setdefault(r["file"], []).append(r["line"])
+    return found
+
+
+def _by_header(top: dict[str, list[str]], n: int, path) -> list[tuple[str, list[str]]]:
+    """Header lines (the ``n``-th non-blank ones) with their files, by text order."""
+    short = sorted(f for f, lines in top.items() if len(lines) < n)
+    if short or not top:
+        raise ValueError(f"{short[0] if short else path}: fewer than {n} non-blank lines, so no header line")
     out: dict[str, list[str]] = {}
-    for r in first.collect():  # one row per file
-        out.setdefault(r["line"].removeprefix("\ufeff"), []).append(r["file"])
+    for file, lines in top.items():
+        out.setdefault(lines[n - 1].removeprefix("\ufeff"), []).append(file)
+    return sorted(out.items())
+
+
+def _names(spark: SparkSession, line: str, file: str) -> list[str]:
+    names = _csv_names(spark, line)
+    if len(set(names)) != len(names):
+        raise ValueError(f"{file}: a column name repeats in the header")
+    return names
+
+
+def _no_surplus(n: int, first: Column, file: Column) -> Column:
+    """True, or an error if the line kept in ``_BAD`` has more than ``n`` fields.  ``first``, a data
+    column, is named because Spark refuses to read that column alone."""
+    unquoted = F.regexp_replace(_BAD, r'"(?:[^"\\]|\\.)*"', "")
+    commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(",")))
+    message = F.concat(file, F.lit(f": a line has more than {n} fields: "), F.substring(_BAD, 1, 200), F.coalesce(F.substring(first, 1, 0), F.lit("")))
+    return F.when(F.col(_BAD).isNotNull() & (commas >= n), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
+def _joined(parts: list[tuple[str, DataFrame]]) -> DataFrame:
+    out = parts[0][1]
+    for file, df in parts[1:]:
+        if set(df.columns) != set(out.columns):
+            odd = sorted(set(df.columns) ^ set(out.columns))
+            raise ValueError(f"{file}: columns differ from those of other files: {odd}")
+        out = out.unionByName(df)
     return out
 
 
@@ -62,26 +136,17 @@ def read_sensor_csv(spark: SparkSession, path: str | Sequence[str], null_value:
     ``clean.clean_sensor_table`` then casts the declared features.
 
     The column order is that of the first header by text order."""
-    by_header = sorted(_header_files(spark, path).items())
-    if not by_header:
-        raise ValueError(f"{path}: no header line")
-    parts: list[DataFrame] = []
-    for line, paths in by_header:
-        names = _csv_names(spark, line)
-        if len(set(names)) != len(names):
-            raise ValueError(f"{paths[0]}: a column name repeats in the header")
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        reader = spark.read.schema(schema).option("header", True)
+    parts: list[tuple[str, DataFrame]] = []
+    for line, files in _by_header(_top_lines(spark, path, 1), 1, path):
+        names = _names(spark, line, files[0])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
+        reader = spark.read.schema(schema).options(header=True, columnNameOfCorruptRecord=_BAD, columnPruning=False)
         if null_value is not None:
             reader = reader.option("nullValue", null_value)
-        parts.append(reader.csv(paths))
-    out = parts[0]
-    for (_, paths), df in zip(by_header[1:], parts[1:]):
-        if set(df.columns) != set(out.columns):
-            odd = sorted(set(df.columns) ^ set(out.columns))
-            raise ValueError(f"{paths[0]}: columns differ from those of other files: {odd}")
-        out = out.unionByName(df)
-    return out
+        rows = reader.csv(files)
+        rows = rows.filter(_no_surplus(len(names), F.col(f"`{names[0]}`"), F.col("_metadata.file_path")))
+        parts.append((files[0], rows.select(*[F.col(f"`{n}`") for n in names])))
+    return _joined(parts)
 
 
 def read_preamble_csv(
@@ -95,30 +160,29 @@ def read_preamble_csv(
 
     Preamble and header must lie in a file's first split.  All files must have
     the same columns."""
-    lines = _lines(spark, path)
-    nth = F.row_number().over(Window.partitionBy("file").orderBy("no"))
-    # header_line + 1 lines of each file's first split: the row_number filter cuts them on the map side
-    top = lines.filter("start = 0").withColumn("nth", nth).filter(F.col("nth") <= header_line + 1)
-    headers = top.groupBy("file").agg(F.max("nth").alias("n"), F.max_by("line", "nth").alias("line")).collect()  # one row per file
-    short = [r["file"] for r in headers if r["n"] <= header_line]
-    if short or not headers:
-        raise ValueError(f"{short[0] if short else path}: fewer than {header_line + 1} non-blank lines")
-    by_header: dict[str, list[str]] = {}
-    for r in headers:
-        by_header.setdefault(r["line"], []).append(r["file"])
-    opts = {"nullValue": null_value} if null_value is not None else {}
-    out: DataFrame | None = None
-    for line, files in sorted(by_header.items()):
-        names = _csv_names(spark, line)
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        own = _lines(spark, files)
-        last = own.filter("start = 0").withColumn("nth", nth).filter(F.col("nth") == header_line + 1)
-        body = own.join(last.select("file", F.col("no").alias("header_no")), "file").filter("start > 0 OR no > header_no")
-        df = body.select(F.from_csv("line", schema.simpleString(), opts).alias("r")).select("r.*")
-        if out is not None and set(out.columns) != set(names):
-            raise ValueError(f"{files[0]}: columns differ from those of other files")
-        out = df if out is None else out.unionByName(df)
-    return out
+    n = header_line + 1
+    opts = {"columnNameOfCorruptRecord": _BAD} | ({"nullValue": null_value} if null_value is not None else {})
+    parts: list[tuple[str, DataFrame]] = []
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}  # non-blank lines of the files that begin in this task
+        for batch in batches:
+            for file, start, rows in _stretches(batch):
+                keep = _filled(rows.column("line"))
+                if start == 0 and seen.get(file, 0) < n:
+                    before = seen.get(file, 0)
+                    seen[file] = before + int(keep.sum())
+                    keep &= np.cumsum(keep) + before > n
+                yield rows.select(["line", "file"]).filter(pa.array(keep))
+
+    for line, files in _by_header(_top_lines(spark, path, n), n, path):
+        names = _names(spark, line, files[0])
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _BAD]])
+        rows = _lines(spark, files).mapInArrow(body, "line string, file string")
+        rows = rows.select("file", F.from_csv("line", schema.simpleString(), opts).alias("r")).select("file", "r.*")
+        rows = rows.filter(_no_surplus(len(names), F.col(f"`{names[0]}`"), F.col("file")))
+        parts.append((files[0], rows.select(*[F.col(f"`{c}`") for c in names])))
+    return _joined(parts)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

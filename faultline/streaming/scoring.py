@@ -29,7 +29,7 @@ def start_scoring_stream(
     max_files_per_trigger: int = 10,
 ) -> StreamingQuery:
     model, prep_path, version = ModelRegistry(spark, registry_root).load_latest()
-    prep = PreprocessorModel.load(spark, prep_path, spec.features)
+    prep = PreprocessorModel.load(spark, prep_path, spec.features) if prep_path else None
     # The stream delivers files; a micro-batch reads them with the batch reader, so
     # columns are bound by each file's own header and checked against the spec.
     stream = (

@@ -1,7 +1,6 @@
 """Blocked k-NN, imputation and rebalancing against brute force."""
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,13 +142,11 @@ def test_pruned_knn_string_keys_with_unvisited_cells(spark):
 
 
 def test_equal_rows_give_k_neighbours_each(spark):
-    """5,000 equal rows in one cell: ties are cut by key inside the cell."""
-    from faultline.operators.neighbors import _local_top_k, knn_join_pruned, top_k_mask
+    """5,000 equal rows: ties are cut by key, and one row is searched for all of them."""
+    from faultline.operators.neighbors import knn_join_pruned, top_k_mask
 
     keys = np.random.default_rng(0).permutation(5000)
     assert (top_k_mask(np.zeros((3, 5000)), 2, keys).sum(axis=1) == 2).all()
-    pdf = pd.DataFrame({"k": keys[:2000], "f0": 1.0})
-    assert len(_local_top_k(pdf, pdf, "k", ["f0"], 1, True)) == 2000
     df = spark.range(5000).select(F.col("id").alias("k"), F.lit(1.0).alias("f0"))
     got = {r["q_key"]: r["b_key"] for r in knn_join_pruned(df.filter("k < 50"), df, "k", ["f0"], 1, True).collect()}
     assert got == {i: (0 if i else 1) for i in range(50)}
@@ -190,3 +187,66 @@ def test_full_width_preprocessor_in_a_default_session(spark):
     out = Preprocessor().fit(df, "k", feats).transform(df).toPandas()
     assert len(out) == 200 and not out.isna().any().any()
     print("163 columns:", time.time() - t)
+
+
+def _clusters(n_clusters, each, d, seed, missing=0.0):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(n_clusters, d)) * 200
+    x = np.concatenate([c + r.normal(size=(each, d)) for c in centres])
+    if missing:
+        x[r.random(x.shape) < missing] = np.nan
+    return x
+
+
+def _pruned_pairs(spark, x, block_rows, missing, monkeypatch, group_rows=256):
+    """Pairs of blocks compared, and blocks, of a self-search."""
+    from faultline.operators import neighbors as nb
+
+    monkeypatch.setattr(nb, "GROUP_ROWS", group_rows)
+    feats = [f"f{j}" for j in range(x.shape[1])]
+    kept = nb._copies(nb._points(_frame(spark, x), "k", feats), 6).cache()
+    if missing:
+        s = nb.impute_search(nb._copies(nb._points(_frame(spark, x), "k", feats), 1).cache(), kept, x.shape[1], 3, block_rows, np.nanmean(x, axis=0))
+    else:
+        s = nb.euclidean_search(kept, kept, x.shape[1], 5, block_rows)
+    return s.first.count(), s.first.count() + s.later.count()
+
+
+@pytest.mark.parametrize("missing", [0.0, 0.05])
+def test_far_blocks_are_never_sent(spark, monkeypatch, missing):
+    """20 clusters: a block meets few blocks of others, and ten times the rows (in ten times
+    the clusters; with missing values in the same ones) cost far less than a hundred times the pairs."""
+    d = 10 if missing else 4
+    blocks, pairs = _pruned_pairs(spark, _clusters(20, 40, d, 1, missing), 32, missing, monkeypatch)
+    print("pairs", blocks, pairs)
+    assert blocks >= 12 and pairs < blocks * (800 / 32) / 3  # at least 25 base blocks
+    more_blocks, more_pairs = _pruned_pairs(spark, _clusters(20, 400, d, 1, missing) if missing else _clusters(200, 40, d, 1), 32, missing, monkeypatch)
+    print("pairs of ten times the rows", more_blocks, more_pairs)
+    assert more_blocks > 5 * blocks and more_pairs < (80 if missing else 25) * pairs
+
+
+def test_pruned_imputer_matches_definition_on_clusters(spark, monkeypatch):
+    from faultline.operators import neighbors as nb
+
+    monkeypatch.setattr(nb, "GROUP_ROWS", 64)
+    monkeypatch.setattr(nb, "HEADS", 3)  # heads are cut into parts
+    x = _clusters(6, 30, 4, 5, missing=0.2)
+    x[40:60] = x[40]  # equal rows, with missing values
+    feats = [f"f{j}" for j in range(4)]
+    model = impute.KNNImputer(4, block_rows=8).fit(_frame(spark, x), "k", feats)
+    got = model.transform(_frame(spark, x)).orderBy("k").select(*feats).toPandas().to_numpy()
+    assert np.allclose(got, _sk_like_impute(x, x, 4))
+
+
+def test_pruned_search_of_other_rows_in_small_groups(spark, monkeypatch):
+    from faultline.operators import neighbors as nb
+
+    monkeypatch.setattr(nb, "GROUP_ROWS", 32)
+    monkeypatch.setattr(nb, "HEADS", 2)
+    base, queries = _clusters(5, 40, 3, 6), np.concatenate((_clusters(5, 9, 3, 6), np.zeros((4, 3))))
+    base[10:30] = base[10]
+    feats = ["f0", "f1", "f2"]
+    got = nb.knn_join_pruned(_frame(spark, queries), _frame(spark, base), "k", feats, 4, block_rows=8).collect()
+    d = np.sqrt(((queries[:, None, :] - base[None, :, :]) ** 2).sum(-1))
+    want = {(i, r): int(j) for i in range(len(queries)) for r, j in enumerate(np.lexsort((np.arange(len(base)), d[i]))[:4], 1)}
+    assert {(r["q_key"], r["nn_rank"]): r["b_key"] for r in got} == want

@@ -41,7 +41,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle_or_is_model_output():
     rows_only = set(QUERIES) - set(entry.oracle_sql())
-    assert rows_only <= {"gbt_predict", "random_search"}
+    assert rows_only <= {"random_search"}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) & set(QUERIES)))

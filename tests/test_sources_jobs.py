@@ -178,3 +178,89 @@ def test_drift_scans_its_table_once(spark):
     seen = fx.lineitem_sides(spark, SF_CHECK)
     plan = drift._ks_chain(seen, "late", fx.SENSOR_MEASURES, ["double"] * 4)._jdf.queryExecution().optimizedPlan().toString()
     assert "lineitem" not in plan  # only the written counts are read, by every branch
+
+
+def _write(path, text):
+    import os
+
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_malformed_lines(spark, tmp_uri):
+    """A surplus field is an error that names file and line; missing ones are NULL; quotes are no fields."""
+    import pytest
+
+    from faultline.sources import files
+
+    top = "".join(f"text {i}\n\n" for i in range(3))
+    for name, head, read in (
+        ("plain", "", lambda p: files.read_sensor_csv(spark, p)),
+        ("preamble", top, lambda p: files.read_preamble_csv(spark, p, 3)),
+    ):
+        _write(f"{tmp_uri}/{name}/ok/a.csv", head + 'a,b\n3\n4,na\n"x,y","z"\n\n5,6\n')
+        _write(f"{tmp_uri}/{name}/ok/b.csv", head + "b,a\n8,7\n")
+        got = sorted(map(tuple, read(f"{tmp_uri}/{name}/ok").select("a", "b").collect()), key=str)
+        assert got == sorted([("3", None), ("4", None), ("x,y", "z"), ("5", "6"), ("7", "8")], key=str)
+        assert read(f"{tmp_uri}/{name}/ok").count() == 5
+        for k, line in enumerate(("4,5,6", "4,5,,7", '"4,4",5,6')):
+            _write(f"{tmp_uri}/{name}/bad{k}/a.csv", head + f"a,b\n1,2\n{line}\n")
+            with pytest.raises(Exception, match=r"a\.csv: a line has more than 2 fields") as e:
+                read(f"{tmp_uri}/{name}/bad{k}").count()
+            assert line.split(",")[-1] in str(e.value)
+        _write(f"{tmp_uri}/{name}/short/a.csv", "\n")
+        with pytest.raises(ValueError, match="header"):
+            read(f"{tmp_uri}/{name}/short")
+
+
+def test_headers_of_many_splits_and_one_scan(spark, tmp_uri):
+    """A file of several splits and small files: one scan in the plan, every row once."""
+    from faultline.sources import files
+
+    for i, n in enumerate((5_000, 3, 0)):
+        _write(f"{tmp_uri}/many/{i}.csv", "licence\n\na,b\n" + "".join(f"{i},{k}\n" for k in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = files.read_preamble_csv(spark, f"{tmp_uri}/many", 1)
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+        got = sorted((r.a, int(r.b)) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted([("0", k) for k in range(5_000)] + [("1", k) for k in range(3)])
+
+
+def test_row_keys_of_a_hot_row(spark):
+    """A third of the rows are equal: they are numbered without a group in one task, whatever the layout."""
+    from faultline.operators.clean import with_row_key
+
+    rows = [(1, "x")] * 400 + [(None, "y")] * 3 + [(i, "z") for i in range(800)]
+    keys = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "a int, b string").repartition(parts)
+        out = with_row_key(df, "k")
+        keys.append(sorted(r.k for r in out.collect()))
+        assert out.columns == ["a", "b", "k"]
+    assert keys[0] == keys[1] and len(set(keys[0])) == len(rows)
+    hot = [k for k in keys[0] if k.split(":")[0] == max(keys[0], key=lambda k: int(k.split(":")[1])).split(":")[0]]
+    assert sorted(int(k.split(":")[1]) for k in hot) == list(range(1, 401))
+
+
+def test_two_writers_with_one_timestamp(spark, tmp_uri):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from faultline.operators.metrics import SCORE_COLUMNS
+    from faultline.sources import reports
+
+    row = spark.createDataFrame([(7, *[0.5] * 5)], "timestamp long, " + ", ".join(f"{c} double" for c in SCORE_COLUMNS))
+
+    def write(_):
+        try:
+            return reports.append_scores(spark, f"{tmp_uri}/history", row)
+        except reports.DuplicateTimestamp:
+            return 0
+
+    with ThreadPoolExecutor(4) as pool:
+        assert sorted(pool.map(write, range(4))) == [0, 0, 0, 1]
+    assert reports.read_history(spark, f"{tmp_uri}/history").count() == 1
