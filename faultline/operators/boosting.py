@@ -12,8 +12,8 @@ How it runs on Spark:
   row), and the binned rows are written.
 - Each level of the trees is one pass: a task adds up gradients and Hessians per (model,
   node, feature, bin) over its rows, so that what is shuffled follows the number of cells, not
-  of rows.  The best split of each node is found by a window over the summed cells.  Only
-  the splits reach the driver, one row per node.
+  of rows.  The cells of a node and feature meet in one task, which finds their best split.
+  Only the best split of each node reaches the driver.
 - Several models (candidates of a search, each on all rows but one fold's) are grown in
   the same passes.
 - Gradients are summed as integers of 2^-24, so sums, and with them the trees, do not depend on how
@@ -33,12 +33,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.operators.scaling import exact_quantiles
-from faultline.session import shared_table, ship_package
+from faultline.session import shared_table, ship_package, shuffle_partitions
 
 SCALE = 1 << 24
 WRITE_EVERY = 8
@@ -310,39 +310,69 @@ def _best_splits(
         )
 
     per_task = data.mapInArrow(run, "slot long, feature long, bin long, g long, h long")
-    limits = [(slot[i, n], float(specs[i].get("reg_lambda")), float(specs[i].get("min_child_weight"))) for i, own in active.items() for n in own]
-    splits = best_split_rows(per_task, data.sparkSession.createDataFrame(limits, "slot long, lam double, least double"))
+    limits = {slot[i, n]: (float(specs[i].get("reg_lambda")), float(specs[i].get("min_child_weight"))) for i, own in active.items() for n in own}
+    splits = best_split_rows(per_task, limits)
     names = {k: name for name, k in slot.items()}
     return {names[r["slot"]]: r.asDict() for r in splits.collect()}  # one row per node
 
 
-def best_split_rows(cells: DataFrame, limits: DataFrame) -> DataFrame:
-    """Per ``slot``: ``g``, ``h``, and of its best split ``gain`` (null: none), ``feature``, ``cut``, ``left``."""
-    per = cells.groupBy("slot", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    every = Window.partitionBy("slot", "feature")
-    upto = every.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    missing = F.col("bin") == MISSING_BIN
-    scale = F.lit(float(SCALE))
-    summed = per.select(
-        "slot", "feature", "bin",
-        *[F.sum(c).over(every).alias(c) for c in "gh"],
-        *[(F.sum(c).over(upto) / scale).alias(f"{c}l") for c in "gh"],
-        *[(F.coalesce(F.sum(F.when(missing, F.col(c))).over(every), F.lit(0)) / scale).alias(f"{c}m") for c in "gh"],
-    )
-    # ``limits`` has a row per node
-    both = summed.join(F.broadcast(limits), "slot").withColumn("left", F.explode(F.array(F.lit(False), F.lit(True))))
-    gl, hl = (F.col(f"{c}l") + F.when(F.col("left"), F.col(f"{c}m")).otherwise(0.0) for c in "gh")
-    both = both.withColumn("gl", gl).withColumn("hl", hl)
-    both = both.withColumn("gr", F.col("g") / scale - F.col("gl")).withColumn("hr", F.col("h") / scale - F.col("hl"))
-
-    def part(g: str, h: str):
-        return F.col(g) * F.col(g) / (F.col(h) + F.col("lam"))
-
-    whole = (F.col("g") / scale) * (F.col("g") / scale) / (F.col("h") / scale + F.col("lam"))
-    allowed = ~missing & (F.col("hl") >= F.col("least")) & (F.col("hr") >= F.col("least")) & (F.col("hl") > 0) & (F.col("hr") > 0)
-    gain = F.when(allowed, part("gl", "hl") + part("gr", "hr") - whole)
-    first = F.struct((-gain).alias("minus"), "feature", (F.col("bin") + 1).alias("cut"), "left")
-    best = both.withColumn("gain", gain).groupBy("slot").agg(
-        F.max("g").alias("g"), F.max("h").alias("h"), F.min(F.when(gain.isNotNull(), first)).alias("s")
-    )
-    return best.select("slot", "g", "h", (-F.col("s.minus")).alias("gain"), F.col("s.feature").alias("feature"), F.col("s.cut").alias("cut"), F.col("s.left").alias("left"))
+def best_split_rows(cells: DataFrame, limits: dict[int, tuple[float, float]]) -> DataFrame:
+    """Per ``slot``: ``g``, ``h``, and of its best split ``gain`` (null: none), ``feature``, ``cut``, ``left``.
+
+    One shuffle brings the cells of a node and feature together; ``limits`` has lambda and the
+    least Hessian of each node."""
+    lam_of = np.array([limits[k][0] for k in range(len(limits))])
+    least_of = np.array([limits[k][1] for k in range(len(limits))])
+
+    def best(slot, feature, bins, g, h) -> pa.RecordBatch:
+        order = np.lexsort((bins, feature, slot))
+        slot, feature, bins, g, h = (v[order] for v in (slot, feature, bins, g, h))
+        head = np.flatnonzero(np.append(True, (slot[1:] != slot[:-1]) | (feature[1:] != feature[:-1]) | (bins[1:] != bins[:-1])))
+        g, h = np.add.reduceat(g, head), np.add.reduceat(h, head)  # cells of several tasks
+        slot, feature, bins = slot[head], feature[head], bins[head]
+        start = np.flatnonzero(np.append(True, (slot[1:] != slot[:-1]) | (feature[1:] != feature[:-1])))
+        size = np.diff(np.append(start, len(slot)))
+        lam, least, gone = lam_of[slot], least_of[slot], bins == MISSING_BIN
+
+        def spread(v):
+            """Sum of the node and feature, running sum, and sum of the rows that miss the feature."""
+            run = np.cumsum(v)
+            before = np.repeat(run[start] - v[start], size)
+            missing = np.repeat(np.add.reduceat(np.where(gone, v, 0), start), size)
+            return np.repeat(np.add.reduceat(v, start), size), (run - before) / SCALE, missing / SCALE
+
+        (gs, gl, gm), (hs, hl, hm) = spread(g), spread(h)
+        found = []
+        for left in (False, True):
+            a, b = (gl + gm, hl + hm) if left else (gl, hl)
+            c, d = gs / SCALE - a, hs / SCALE - b
+            ok = ~gone & (b >= least) & (d >= least) & (b > 0) & (d > 0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = a * a / (b + lam) + c * c / (d + lam) - (gs / SCALE) * (gs / SCALE) / (hs / SCALE + lam)
+            found.append((slot[ok], gain[ok], feature[ok], bins[ok] + 1, np.full(int(ok.sum()), left)))
+        own, gain, f, cut, left = (np.concatenate(v) for v in zip(*found))
+        by = np.lexsort((left, cut, f, -gain, own))
+        by = by[np.append(True, own[by][1:] != own[by][:-1])] if len(by) else by
+        slots, at = np.unique(slot, return_index=True)
+        where = np.searchsorted(slots, own[by])
+        gains, fs, cuts, lefts = (np.zeros(len(slots), dtype=t) for t in (np.float64, np.int64, np.int64, bool))
+        gains[where], fs[where], cuts[where], lefts[where] = gain[by], f[by], cut[by], left[by]
+        none = np.ones(len(slots), dtype=bool)
+        none[where] = False
+        split = [pa.array(v, mask=none) for v in (-gains, fs, cuts, lefts)]
+        return pa.RecordBatch.from_arrays([pa.array(slots), pa.array(gs[at]), pa.array(hs[at]), *split], names=_SPLIT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [b for b in batches if b.num_rows]
+        if rows:
+            t = pa.Table.from_batches(rows)
+            yield best(*(t.column(c).to_numpy() for c in ("slot", "feature", "bin", "g", "h")))
+
+    dealt = cells.repartition(shuffle_partitions(cells.sparkSession), "slot", "feature")
+    per = dealt.mapInArrow(run, "slot long, g long, h long, minus double, feature long, cut long, left boolean")
+    first = F.min(F.when(F.col("minus").isNotNull(), F.struct("minus", "feature", "cut", "left"))).alias("s")
+    out = per.groupBy("slot").agg(F.max("g").alias("g"), F.max("h").alias("h"), first)
+    return out.select("slot", "g", "h", (-F.col("s.minus")).alias("gain"), F.col("s.feature").alias("feature"), F.col("s.cut").alias("cut"), F.col("s.left").alias("left"))
+
+
+_SPLIT = ["slot", "g", "h", "minus", "feature", "cut", "left"]
