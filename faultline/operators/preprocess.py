@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from faultline.operators.impute import KNNImputer, KNNImputerModel
 from faultline.operators.neighbors import DEFAULT_BLOCK_ROWS
 from faultline.operators.scaling import RobustScaler, RobustScalerModel
+from faultline.session import shared_table
 
 
 @dataclass
@@ -47,10 +48,15 @@ class Preprocessor:
     def fit(self, df: DataFrame, key: str, features: Sequence[str]) -> PreprocessorModel:
         """Imputer donors are the raw training rows; the scaler is fitted on
         the imputed training rows (as a two-step pipeline does)."""
+        return self.fit_transform(df, key, features)[0]
+
+    def fit_transform(self, df: DataFrame, key: str, features: Sequence[str]) -> tuple[PreprocessorModel, DataFrame]:
+        """The fitted model and ``df`` (all its columns) transformed by it; the training rows
+        are imputed once, written, and read by the scaler's fit and by the result."""
         imp = self.imputer.fit(df, key, features)
-        imputed = imp.transform(df.select(key, *features))
+        imputed = shared_table(imp.transform(df), "imputed")
         sc = self.scaler.fit(imputed, features)
-        return PreprocessorModel(imp, sc, list(features))
+        return PreprocessorModel(imp, sc, list(features)), sc.transform(imputed)
 
 
 @dataclass

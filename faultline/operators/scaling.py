@@ -2,10 +2,8 @@
 
 Quantiles are exact with linear interpolation between order statistics
 (NumPy's default).  Spark's ``percentile`` aggregate would keep every distinct
-value of a column in one task's memory; instead the values are counted per
-``(column, value)``, ranked with range-partitioned running totals, and the
-order statistics are picked with a broadcast join against a table of target
-ranks (at most ``2 x columns x quantiles`` rows).
+value of a column in one task's memory; instead histograms of the values' leading bits are
+refined around the wanted ranks (see ``quantiles``), without a sort or an exchange of rows.
 ``method="approx"`` uses ``percentile_approx`` (one bounded-memory pass).
 
 Zero (or near-zero) IQR divides by 1, as scikit-learn does; Spark ML's
@@ -21,54 +19,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.operators.drift import column_names, long_form
-from faultline.operators.ranking import running_totals
-from faultline.session import shared_table
+from faultline.operators.quantiles import exact_quantiles
 
 _EPS10 = 10 * 2.220446049250313e-16
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """``(column, prob, value)`` for every column and probability (NULLs ignored)."""
-    cols = list(columns)
-    long = long_form(df, cols).filter(F.col("value").isNotNull())
-    # Counted once and written; the running totals and the column sizes both read it.
-    counts = shared_table(long.groupBy("col_idx", "value").agg(F.count("*").alias("w")), "value-counts")
-    cum = running_totals(counts, ["col_idx"], ["value"], ["w"], groups_bounded=True)
-    sizes = counts.groupBy("col_idx").agg(F.sum("w").alias("n"))
-    prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (
-        sizes.select("col_idx", "n", F.explode(prob_arr).alias("prob"))
-        .withColumn("h", (F.col("n") - 1).cast("double") * F.col("prob"))
-        .withColumn("lo", F.floor("h"))
-        .withColumn("hi", F.ceil("h"))
-        .withColumn("frac", F.col("h") - F.col("lo"))
-    )
-    wanted = targets.select(
-        F.col("col_idx").alias("t_col"),
-        "prob",
-        "frac",
-        F.explode(F.array(F.struct(F.lit("lo").alias("which"), F.col("lo").alias("r")),
-                          F.struct(F.lit("hi").alias("which"), F.col("hi").alias("r")))).alias("t"),
-    ).select("t_col", "prob", "frac", "t.which", "t.r")
-    # Bounded by columns x quantiles x 2: safe to broadcast.
-    hit = cum.join(
-        F.broadcast(wanted),
-        (cum["col_idx"] == wanted["t_col"])
-        & (wanted["r"] >= cum["cum_w"] - cum["w"])
-        & (wanted["r"] < cum["cum_w"]),
-    )
-    picked = hit.groupBy("t_col", "prob").agg(
-        F.max(F.when(F.col("which") == "lo", F.col("value"))).alias("v_lo"),
-        F.max(F.when(F.col("which") == "hi", F.col("value"))).alias("v_hi"),
-        F.max("frac").alias("frac"),
-    )
-    value = (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value")
-    return column_names(df.sparkSession, cols).join(
-        picked.select(F.col("t_col").alias("col_idx"), "prob", value), "col_idx"
-    ).drop("col_idx")
-
-
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10000) -> DataFrame:
     cols = list(columns)
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])

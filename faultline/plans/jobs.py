@@ -105,16 +105,16 @@ def run_training(
     no_drift = bool(drift.drift_verdict(report).first()["no_drift"])  # informational, as in the reference
 
     # transform: fit on train only, replay on test
-    prep = Preprocessor().fit(train, ROW_ID, spec.features)
+    used = [ROW_ID, label, *spec.features]
+    prep, train_out = Preprocessor().fit_transform(train.select(*used), ROW_ID, spec.features)
     lab = "label"
 
     def prepared(df: DataFrame) -> DataFrame:
-        out = prep.transform(df.select(ROW_ID, label, *spec.features), ROW_ID)
-        return out.select(F.col(ROW_ID).alias(resample.ROW_ID), label, *spec.features)
+        return df.select(F.col(ROW_ID).alias(resample.ROW_ID), label, *spec.features)
 
     # imputed and scaled once each; resampling and the evaluation below read what is written
-    files.write_parquet(prepared(train), f"{run_dir}/prepared/train")
-    files.write_parquet(prepared(test), f"{run_dir}/prepared/test")
+    files.write_parquet(prepared(train_out), f"{run_dir}/prepared/train")
+    files.write_parquet(prepared(prep.transform(test.select(*used), ROW_ID)), f"{run_dir}/prepared/test")
     train_p = spark.read.parquet(f"{run_dir}/prepared/train")
     test_t = test_p = spark.read.parquet(f"{run_dir}/prepared/test")
     train_bal = resample.smote_tomek(train_p, label, spec.features, seed=resample_seed)
