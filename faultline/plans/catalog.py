@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.operators import clean, drift, evaluation, impute, metrics, resample, sampling, scaling, training, validation
+from faultline.operators import clean, drift, evaluation, impute, metrics, profile, resample, sampling, scaling, training, validation
 from faultline.session import cut_lineage, shared_table
 from faultline.plans import fixtures as fx
 from faultline.plans import roundtrips
@@ -79,6 +79,17 @@ def q_drift_verdict(spark, sf_dir):
     return drift.drift_verdict(drift.ks_drift_by_side(fx.lineitem_sides(spark, sf_dir), "late", fx.SENSOR_MEASURES, pvalue_method=SQL_PVALUE))
 
 
+def q_drift_profile(spark, sf_dir):
+    """V5/V6 against a stored profile: the early rows' sketches are written and read back;
+    the early rows themselves are read again only for columns that the sketches leave open."""
+    sides = fx.lineitem_sides(spark, sf_dir)
+    early, late = sides.filter(~F.col("late")), sides.filter("late")
+    cols = [c for c in fx.SENSOR_MEASURES if profile.sketchable(sides.schema[c].dataType)]
+    stored = shared_table(profile.profile(early, cols), "stored-profile")
+    report = profile.drift_by_profile(stored, late, fx.SENSOR_MEASURES, lambda: early, pvalue_method=SQL_PVALUE)
+    return report.drop("d_low", "d_high", "settled")
+
+
 # -- P2-P6 cleaning ------------------------------------------------------------
 def q_sensor_clean(spark, sf_dir):
     df = sensor_clean_frame(spark, sf_dir)
@@ -224,6 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_shifted": q_drift_shifted,
     "drift_sensor_propagate": q_drift_sensor_propagate,
     "drift_verdict": q_drift_verdict,
+    "drift_profile": q_drift_profile,
     "sensor_clean": q_sensor_clean,
     "decoded_predictions": q_decoded_predictions,
     "schema_violations": q_schema_violations,

@@ -147,6 +147,8 @@ DRIFT_LINEITEM = ks_sql(
     MEASURE_LIST,
 )
 
+DRIFT_PROFILE = f"SELECT \"column\", n_base, n_current, null_base, null_current, drift_status FROM ({DRIFT_LINEITEM})"
+
 DRIFT_EVENTS = ks_sql(
     f"SELECT * FROM events WHERE ts < TIMESTAMP '{fx.EVENTS_CUTOFF}'",
     f"SELECT * FROM events WHERE ts >= TIMESTAMP '{fx.EVENTS_CUTOFF}'",
@@ -625,6 +627,7 @@ UNION ALL SELECT 'input', 'non_numeric_values', 'ab_000: ' || CAST(n AS VARCHAR)
 _RAW_ORACLE: dict[str, str] = {
     **ROUNDTRIPS,
     "drift_lineitem": DRIFT_LINEITEM,
+    "drift_profile": DRIFT_PROFILE,
     "drift_events": DRIFT_EVENTS,
     "drift_shifted": DRIFT_SHIFTED,
     "drift_sensor_propagate": DRIFT_SENSOR_PROPAGATE,
