@@ -136,7 +136,8 @@ def emit(
     repeat are matched to their own counts."""
     num = fresh_name("row_num", docs.columns)
     keyed = materialize(docs.withColumn(num, F.monotonically_increasing_id()), "numbered")
+    own, copies, copy = (fresh_name(c, [*docs.columns, num]) for c in ("own_row", "n_copies", "copy"))
     counts = mix(keyed, id_col, text_col, source_col, carry=(num,), **kw)
-    counts = counts.filter(F.col("copies") > 0).select(F.col(num).alias("_n"), F.col("copies").alias("_c"))
-    taken = keyed.join(counts, keyed[num] == counts["_n"])
-    return taken.select(*[keyed[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_c"))).alias("_e")).drop("_e")
+    counts = counts.filter(F.col("copies") > 0).select(F.col(num).alias(own), F.col("copies").alias(copies))
+    taken = keyed.join(counts, keyed[num] == counts[own])
+    return taken.select(*[keyed[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy)).drop(copy)

@@ -80,3 +80,16 @@ def test_repeated_ids_empty_texts_and_empty_table(spark):
     assert [(r.target, r.taken) for r in got if r.source is None] == [(0.0, 0)]
     assert sum(r.doc_id == 1 for r in mixing.emit(docs).collect()) == 6
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.emit(docs.limit(0)).count() == 0
+
+
+def test_emit_keeps_columns_of_any_name(spark):
+    rows = [(i, "w " * (i % 7), "s" if i % 3 else "t", i, f"c{i}", -i, i * 10, "row", "own", "n", "k") for i in range(60)]
+    names = "_e long, _n string, _c long, _h long, row_num string, own_row string, n_copies string, copy string"
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, source string, {names}")
+    got = mixing.emit(docs)
+    assert got.columns == docs.columns
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix(docs).collect()}
+    by = {r[0]: r for r in rows}
+    out = [tuple(r) for r in got.collect()]
+    assert all(r == by[r[0]] for r in out)
+    assert {i: n for i, n in copies.items() if n} == dict(Counter(r[0] for r in out))
