@@ -76,7 +76,7 @@ def q_documents_replaced(spark, sf_dir):
     path = scratch(spark, "documents")
     raw = customer_raw(spark, sf_dir)
     documents.write_documents(raw.withColumn("old", F.lit("1")), path)
-    n = documents.write_documents(raw.withColumn("_id", F.lit("x")), path)
+    n = documents.write_documents(raw.withColumn("_id", F.lit("x")), path, partition_by=["class"])
     return documents.read_documents(spark, path).withColumn("n_written", F.lit(n).cast("long"))
 
 

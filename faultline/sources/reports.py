@@ -30,6 +30,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def read_bytes(spark: SparkSession, path: str) -> bytes | None:
+    """A small file of the driver's (a column list, say); None if it does not exist."""
+    where, fs = _path(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    where, fs = _path(spark, path)
+    stream = fs.create(where, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where, fs = _path(spark, path)
+    fs.delete(where, False)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet table, or no rows if its path does not exist.  The path is looked up first: a
     read that fails would leave a Java stack trace in the driver's output."""
@@ -72,8 +98,7 @@ def claim(spark: SparkSession, folder: str, key: str) -> bool:
 
 
 def release(spark: SparkSession, folder: str, key: str) -> None:
-    path, fs = _path(spark, f"{folder.rstrip('/')}/{key}")
-    fs.delete(path, False)
+    remove(spark, f"{folder.rstrip('/')}/{key}")
 
 
 def append_scores(spark: SparkSession, path: str, scores: DataFrame) -> int:

@@ -36,6 +36,45 @@ def test_documents_roundtrip_counts(spark, tmp_uri):
     assert back.filter(F.col("ab_000").isNotNull()).count() == 0
 
 
+def test_listed_collections_are_read_in_one_scan(spark, tmp_uri):
+    df = spark.createDataFrame([("pos", 1, "na"), ("neg", 2, None), (None, 3, 'x"y')], "class string, aa_000 int, ab_000 string")
+    assert documents.write_documents(df, f"{tmp_uri}/c", partition_by=["class"]) == 3
+    back = documents.read_documents(spark, f"{tmp_uri}/c")
+    assert back.columns == df.columns
+    assert {tuple(r) for r in back.collect()} == {("pos", "1", None), ("neg", "2", None), (None, "3", 'x"y')}
+    plan = back.filter("class = 'pos'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "= pos" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    with open(f"{tmp_uri}/c/class=neg/broken.json", "w") as f:
+        f.write("no record\n")
+    assert [r["aa_000"] for r in documents.read_documents(spark, f"{tmp_uri}/c").filter("class = 'pos'").collect()] == ["1"]
+    with pytest.raises(Exception, match="not a JSON object in .*broken.json"):  # read only where its folder is wanted
+        documents.read_documents(spark, f"{tmp_uri}/c").collect()
+
+
+def test_collection_edges(spark, tmp_uri):
+    path = f"{tmp_uri}/c"
+    one = spark.createDataFrame([("1", "2")], "a string, b string")
+    documents.write_documents(one, path)
+    documents.write_documents(one.withColumn("z", F.lit("9")), path, mode="append")  # a new column joins the list
+    assert sorted(map(tuple, documents.read_documents(spark, path).fillna("").collect())) == [("1", "2", ""), ("1", "2", "9")]
+    with pytest.raises(ValueError, match="partitioned"):
+        documents.write_documents(one, path, mode="append", partition_by=["a"])
+    documents.write_documents(one.limit(0), path)
+    assert documents.read_documents(spark, path).columns == ["a", "b"] and documents.read_documents(spark, path).count() == 0
+    for name, text, said in (("extra", '{"a": "1", "b": "2", "q": "3"}', "q in .*odd.json"), ("broken", '{"a": ', "not a JSON object")):
+        documents.write_documents(one, f"{tmp_uri}/{name}")
+        with open(f"{tmp_uri}/{name}/odd.json", "w") as f:
+            f.write(text + "\n")
+        with pytest.raises(Exception, match=said):
+            documents.read_documents(spark, f"{tmp_uri}/{name}").collect()
+    import os
+
+    os.makedirs(f"{tmp_uri}/foreign")  # no list: columns come from the records
+    with open(f"{tmp_uri}/foreign/x.json", "w") as f:
+        f.write('{"_id": 1, "a": 2}\n{"a": "na", "b": 3.5}\n')
+    assert sorted(map(str, documents.read_documents(spark, f"{tmp_uri}/foreign").collect())) == ["Row(a='2', b=None)", "Row(a=None, b='3.5')"]
+
+
 def test_metrics_history_rejects_duplicate_timestamp(spark, tmp_uri):
     row = spark.createDataFrame([(100, 0.12345, 0.5, 0.5, 0.5, 0.5)], "timestamp long, f1_score double, precision_score double, recall_score double, cohen_kappa_score double, roc_auc_score double")
     assert reports.append_scores(spark, f"{tmp_uri}/hist", row) == 1
