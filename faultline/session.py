@@ -10,6 +10,9 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROW_GROUP_BYTES = 8 << 20  # of tables shared between jobs
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "faultline",
@@ -79,10 +82,11 @@ def shared_table(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Like a checkpoint it cuts lineage, and the planner knows the size of what
-    it reads (a small table is broadcast, a large one is not) and prunes columns."""
+    it reads (a small table is broadcast, a large one is not) and prunes columns.  Small row
+    groups let many tasks read what few tasks wrote."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
