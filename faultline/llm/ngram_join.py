@@ -58,6 +58,8 @@ STEPS = (16, 32, 64, 96, 128)
 BUCKET_BLOCK = 2048  # members of a bucket compared with one another in a task
 VERIFY_BLOCK = 256
 VERIFY_BYTES = 8 << 20  # text of one block
+EDGE_ROWS = 8192  # edges worth a task and a file
+EDGE_TASKS = 8  # tasks for fewer edges
 
 
 # -- sets and signatures -----------------------------------------------------------------
@@ -326,33 +328,42 @@ def components(edges: DataFrame) -> DataFrame:
     By contraction: each row points to its smallest neighbour, pointers are doubled until
     they name the root of their tree, and the edges are put between the roots.  Loops and
     repeated edges go, and every tree has two rows or more, so the rows left at least halve
-    in each round; the edges of a star are gone after one.  Each table is written, and
-    nothing but emptiness reaches the driver."""
+    in each round; the edges of a star are gone after one.  Each table is written by as many
+    tasks as its edges are worth, and nothing but their number reaches the driver."""
     edges = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    edges = materialize(edges.distinct(), "edges")
-    trees: list[DataFrame] = []
+    tasks = _edge_tasks(edges)
+    edges = materialize(edges.distinct().coalesce(tasks), "edges")
+    trees: list[tuple[DataFrame, int]] = []
     while not trees or not edges.isEmpty():
+        tasks = _edge_tasks(edges)
         ends = edges.select(F.col("a").alias("row"), F.col("b").alias("near")).union(edges.select("b", "a"))
-        tree = _roots(ends.groupBy("row").agg(F.least(F.min("near"), F.col("row")).alias("comp")))
+        tree = _roots(ends.groupBy("row").agg(F.least(F.min("near"), F.col("row")).alias("comp")), tasks)
         root_a, root_b = (tree.select(F.col("row").alias(c), F.col("comp").alias(f"root_{c}")) for c in "ab")
         joined = edges.join(root_a, "a").join(root_b, "b").filter("root_a <> root_b")
         edges = joined.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b"))
-        edges = materialize(edges.distinct(), "edges")
-        trees.append(tree)
-    labels = trees.pop()
+        edges = materialize(edges.distinct().coalesce(tasks), "edges")
+        trees.append((tree, tasks))
+    labels, _ = trees.pop()
     while trees:  # a root of an earlier round is a row of the next, or its component is done
         up = labels.select(F.col("row").alias("comp"), F.col("comp").alias("up"))
-        labels = materialize(trees.pop().join(up, "comp", "left").select("row", F.coalesce("up", "comp").alias("comp")), "labels")
+        tree, tasks = trees.pop()
+        known = tree.join(up, "comp", "left").select("row", F.coalesce("up", "comp").alias("comp"))
+        labels = materialize(known.coalesce(tasks), "labels")
     return labels
 
 
-def _roots(pointers: DataFrame) -> DataFrame:
+def _edge_tasks(edges: DataFrame) -> int:
+    return min(shuffle_partitions(edges.sparkSession), max(EDGE_TASKS, -(-edges.count() // EDGE_ROWS)))
+
+
+def _roots(pointers: DataFrame, tasks: int) -> DataFrame:
     """(``row``, ``comp``) with comp the end of the row's chain of pointers, by doubling."""
-    now = materialize(pointers, "pointers")
+    now = materialize(pointers.coalesce(tasks), "pointers")
     while True:
         up = now.select(F.col("row").alias("comp"), F.col("comp").alias("up"))
         moved = F.col("up") != F.col("comp")
-        nxt = materialize(now.join(up, "comp").select("row", F.col("up").alias("comp"), moved.alias("moved")), "pointers")
+        doubled = now.join(up, "comp").select("row", F.col("up").alias("comp"), moved.alias("moved"))
+        nxt = materialize(doubled.coalesce(tasks), "pointers")
         if nxt.filter("moved").isEmpty():
             return nxt.select("row", "comp")
         now = nxt.select("row", "comp")

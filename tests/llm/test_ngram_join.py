@@ -154,6 +154,19 @@ def test_components_of_stars_chains_and_nothing(spark):
     assert nj.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_edges_are_written_by_few_tasks(spark):
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        labels = nj.components(spark.createDataFrame([(i, i + 1) for i in range(0, 1000, 2)], "a long, b long"))
+        assert {(r.row, r.comp) for r in labels.collect()} == {(i, i - i % 2) for i in range(1000)}
+        assert len(labels.inputFiles()) <= nj.EDGE_TASKS
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 def test_long_texts_and_ties(spark):
     r = random.Random(9)
     long = [f"w{r.randrange(3000)}" for _ in range(60_000)]
