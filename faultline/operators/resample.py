@@ -58,7 +58,7 @@ def smote(
     if n_min <= k:
         raise ValueError(f"class {minority!r} has {n_min} rows; {k} neighbours need at least {k + 1}")
     base, extra = divmod(n_new, n_min)
-    quota = spark.createDataFrame([("m", extra)], "_fl_grp string, _fl_k long")
+    quota = spark.range(1).select(F.lit("m").alias("_fl_grp"), F.lit(extra).cast("long").alias("_fl_k"))
     counted = hash_rank_cut(
         mino.withColumn("_fl_grp", F.lit("m")).withColumn("_fl_h", seeded_md5(seed, F.lit("alloc"), F.col(ROW_ID))),
         "_fl_grp", "_fl_h", [ROW_ID], quota,

@@ -348,3 +348,38 @@ def test_pruned_knn_leaves_incomplete_rows_out(spark):
     df = spark.createDataFrame([(0, 1.0, 2.0), (1, None, 2.0), (2, 1.5, float("nan")), (3, 4.0, 4.0)], "k long, f0 double, f1 double")
     got = knn_join_pruned(df, df, "k", ["f0", "f1"], 2, exclude_self=True).collect()
     assert {(r["q_key"], r["b_key"]) for r in got} == {(0, 3), (3, 0)}
+
+
+@pytest.mark.parametrize("missing", [0.0, 0.06])
+def test_two_sided_bounds_hold_some_rows_at_a_time(monkeypatch, missing):
+    """1,024 unbounded rows and a block of 2,048: no arrays of doubles as large as all their pairs (16 MB each)."""
+    import tracemalloc
+
+    from faultline.operators import neighbors as nb
+
+    x, y, ub = _points(1024, 4, 1, missing), _points(2048, 4, 2, missing), np.full(1024, np.inf)
+    tracemalloc.start()
+    rows, cols = nb._candidates(x, y, ub, 5, bool(missing))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    monkeypatch.setattr(nb, "RANGED", 1 << 30)
+    whole = nb._candidates(x, y, ub, 5, bool(missing))
+    assert (rows == whole[0]).all() and (cols == whole[1]).all()
+
+
+def test_search_and_smote_start_no_second_set_of_python_workers(spark, monkeypatch):
+    """A local list made a frame by Python's RDDs starts workers (and a daemon) beside those of the Arrow functions."""
+    x = _points(300, 2, 5)
+    df = resample.with_row_id(_frame(spark, x, ["pos" if i < 70 else "neg" for i in range(300)]), "k").drop("k").cache()
+    assert df.count() == 300
+    made, real = [], type(spark).createDataFrame
+
+    def create(self, data, *args, **kwargs):
+        made.extend(data)
+        return real(self, data, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "createDataFrame", create)
+    kept = resample.smote_tomek(df, "class", ["f0", "f1"], k=5, seed=0, block_rows=32).count()
+    df.unpersist()
+    assert 0 < kept < 460 and not made
