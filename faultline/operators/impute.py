@@ -60,6 +60,7 @@ class KNNImputerModel:
         filled = means.groupBy(F.col("q_key").alias("_fl_key")).agg(
             F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("_fl_imp")  # at most one entry per feature
         )
+        filled = shared_table(filled, "filled")  # the search is done once, however often the result is read
         joined = receivers.join(filled, receivers[key] == filled["_fl_key"], "left")
         out_cols = [
             F.coalesce(F.col(c), F.try_element_at("_fl_imp", F.lit(c)), F.lit(self.means[c])).alias(c)

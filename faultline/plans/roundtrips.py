@@ -20,7 +20,7 @@ from faultline.operators import boosting, clean, drift, metrics, ranking, regist
 from faultline.operators.preprocess import Preprocessor, PreprocessorModel
 from faultline.plans import fixtures as fx
 from faultline.plans import jobs
-from faultline.session import checkpoint_dir
+from faultline.session import checkpoint_dir, shared_table
 from faultline.sources import documents, files, reports
 from faultline.spec import ColumnSpec
 
@@ -196,8 +196,8 @@ def q_gbt_nodes(spark, sf_dir):
 
 
 def _fitted_pipeline(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineModel]:
-    """Imputer, scaler and trees fitted by one ``Pipeline``."""
-    rows = fx.vec_missing(spark, sf_dir).withColumn("label", _label())
+    """Imputer, scaler and trees fitted by one ``Pipeline``.  The rows are read several times, so they are written once."""
+    rows = shared_table(fx.vec_missing(spark, sf_dir).withColumn("label", _label()), "raw-rows")
     imputer = stages.NeighborImputer(inputCols=fx.VEC_FEATURES, keyCol="vec_id")
     scaler = stages.QuantileScaler(inputCols=fx.VEC_FEATURES)
     trees = stages.BoostedTreesClassifier(inputCols=fx.VEC_FEATURES, treeParams=json.dumps(fx.TREES))

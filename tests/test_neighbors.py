@@ -450,3 +450,45 @@ def test_query_tiles_are_not_split_by_bounds(spark):
 
     df = spark.createDataFrame([("35~-6",), ("35~-5",), ("36~1",), ("36-2~-5",)], "a string")
     assert [r[0] for r in df.select(nb._query_tile("a", 4)).collect()] == ["2-", "2-", "2-", "2-2"]
+
+
+def test_broadcast_tiles_serve_missing_values(spark, monkeypatch):
+    x = _points(260, 12, 9, missing=0.1)
+    x[30:36] = x[30]
+    feats = [f"f{i}" for i in range(12)]
+    df = _frame(spark, x)
+    model = impute.KNNImputer(4, block_rows=8).fit(df, "k", feats)
+
+    def search():
+        return model.transform(df).orderBy("k").select(*feats).toPandas().to_numpy()
+
+    by_pairs, everywhere = _old_and_new(spark, monkeypatch, search)
+    assert (by_pairs == everywhere).all()
+    assert np.allclose(everywhere, _sk_like_impute(x, x, 4))
+
+
+def test_imputed_rows_read_twice_are_searched_once(spark):
+    """The result holds values that are written: reading it again compares no rows again."""
+    x = _points(120, 4, 3, missing=0.2)
+    df, feats = _frame(spark, x), [f"f{i}" for i in range(4)]
+    out = impute.KNNImputer(3, block_rows=16).fit(df, "k", feats).transform(df)
+    plan = out._jdf.queryExecution().toString()
+    assert "FlatMapCoGroups" not in plan and "first-found" not in plan
+    assert np.allclose(out.orderBy("k").select(*feats).toPandas().to_numpy(), _sk_like_impute(x, x, 3))
+
+
+@pytest.mark.parametrize("missing", [0.0, 0.06])
+def test_rows_with_a_bound_are_measured_against_few_others(missing):
+    """Bounded rows before a tile: all pairs within their bounds are found, and few besides."""
+    import pyarrow as pa
+
+    from faultline.operators import neighbors as nb
+
+    x, y = _points(200, 64, 1, missing), _points(1000, 64, 2, missing)
+    dist = nb.distances(x, y, True)
+    ub = np.sort(dist, axis=1)[:, 4]
+    facing = nb._Facing(nb._Tile(np.arange(1000) // 300, pa.array(np.arange(1000)), y, bool(missing)), x)
+    facing.limit(ub)
+    rows, cols = facing.within(np.arange(200), slice(0, 1000))
+    assert {*zip(*(v.tolist() for v in np.nonzero(dist <= ub[:, None])))} <= {*zip(rows.tolist(), cols.tolist())}
+    assert 1000 <= len(rows) < 1010
